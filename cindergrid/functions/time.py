@@ -32,6 +32,5 @@ def utc_from_text(text: Column) -> Column:
 
 def iso_utc(ts: Column) -> Column:
     """``2024-01-01T05:00:00+00:00``, with microseconds only where there are any."""
-    micros = F.date_format(ts, "SSSSSS")
-    fraction = F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise("")
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("+00:00"))
+    text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.concat(F.replace(text, F.lit(".000000"), F.lit("")), F.lit("+00:00"))

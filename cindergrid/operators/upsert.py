@@ -74,19 +74,45 @@ def upsert_parquet(
 ) -> None:
     """Upsert into a partitioned Parquet table, touching only the batch's partitions.
 
-    Spark cannot overwrite what it reads, so the merged partitions are first written to a
-    staging folder and then moved in by dynamic partition overwrite. Running the same batch
-    again gives the same table, so a run that died half-way is simply repeated.
-    ``partition_by`` columns must be part of the key or derived from it: then a key never
-    changes its partition.
+    1. The newest row per key goes to a staging folder, so the batch is evaluated once.
+    2. Target partitions between the lowest and the highest arriving one are read (the rest
+       is pruned at run time), cut to those that really occur, and merged into the staging
+       folder: Spark cannot overwrite what it reads.
+    3. Dynamic partition overwrite moves the merged partitions in.
+
+    Running the same batch again gives the same table, so a run that died half-way is simply
+    repeated. ``partition_by`` columns must be part of the key or derived from it: then a key
+    never changes its partition.
     """
     staging = staging or work_folder(spark, "upsert")
     target = _open_or_create(spark, path, batch, partition_by)
-    touched = batch.select(*partition_by).distinct()
-    affected = _join_on(target, touched, partition_by, "left_semi")
-    write_partitioned(merge_upsert(affected, batch, keys, version), staging, partition_by)
-    merged = spark.read.schema(batch.schema).parquet(staging)
-    write_partitioned(merged, path, partition_by)
+    newest = latest_per_key(batch, keys, version).select(*batch.columns)
+    write_partitioned(newest, f"{staging}/arriving", partition_by)
+    arriving = spark.read.schema(batch.schema).parquet(f"{staging}/arriving").select(*batch.columns)
+
+    merged = merge_upsert(touched_partitions(target, arriving, partition_by), arriving, keys, version)
+    write_partitioned(merged, f"{staging}/merged", partition_by)
+    ready = spark.read.schema(batch.schema).parquet(f"{staging}/merged")
+    ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *partition_by
+    ).parquet(path)
+
+
+def touched_partitions(
+    target: DataFrame, arriving: DataFrame, partition_by: Sequence[str]
+) -> DataFrame:
+    """Target rows in the partitions that occur in the batch.
+
+    The bounds are scalar subqueries, which prune partition folders without collecting the
+    batch's values; the semi-join then drops partitions in between that did not arrive.
+    """
+    rows = target
+    for name in partition_by:
+        lowest, highest = (
+            arriving.agg(bound(name).alias("bound")).scalar() for bound in (F.min, F.max)
+        )
+        rows = rows.where(F.col(name).between(lowest, highest) | F.col(name).isNull())
+    return _join_on(rows, arriving.select(*partition_by).distinct(), partition_by, "left_semi")
 
 
 def _open_or_create(

@@ -32,8 +32,9 @@ def query(function: Query) -> Query:
 
 def cloud_fact(spark: SparkSession, sf: str) -> DataFrame:
     """The native feeds pass the staging together, so lineitem is read twice, not four times."""
-    native = staging.stage_native(testbed.native_raw(spark, sf), F.col("cloud_provider"))
-    return emissions.fact_cloud_carbon([native], staging.stage_ccf(testbed.raw_ccf(spark, sf)))
+    lines = testbed.emission_lines(spark, sf)
+    native = staging.stage_native(testbed.native_monthly(lines), F.col("cloud_provider"))
+    return emissions.fact_cloud_carbon([native], staging.stage_ccf(testbed.ccf_daily(lines)))
 
 
 def grid_fact(spark: SparkSession, sf: str) -> DataFrame:

@@ -20,6 +20,8 @@ SETTINGS = {
 
 def build_session(app: str = "cindergrid", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library relies on; ``conf`` adds or overrides."""
+    # Plans are built by library code: do not record a Python call site per column.
+    conf = {"spark.python.sql.dataFrameDebugging.enabled": "false", **conf}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -44,7 +44,9 @@ def parse_landing(lines: DataFrame, feed: str, text: Column | str = "value") ->
     text = F.col(text) if isinstance(text, str) else text
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     record = F.from_json(text, f"{LANDED[feed]}, {CORRUPT} string", options)
-    return lines.select(record.alias("record")).select("record.*")
+    # As a generator, not a projection: a later filter on the corrupt column would otherwise
+    # be moved below it together with a second copy of the parser.
+    return lines.select(F.inline(F.array(record)))
 
 
 def good_records(landed: DataFrame) -> DataFrame:

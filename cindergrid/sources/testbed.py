@@ -7,6 +7,8 @@ otherwise sorts and merges, splitting hot keys at run time.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,47 +29,46 @@ GRID_EVENTS = ["view", "click", "purchase"]
 MARGINAL_EVENTS = ["signup", "error"]
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The scan of a table. Kept per session: listing files and reading a footer costs a job."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- emissions ---------------------------------------------------------------------------
 
 
-def emission_lines(spark: SparkSession, sf_dir: str, native: bool | None = None) -> DataFrame:
-    """One emission record per lineitem; F lines are native reports, O lines daily estimates.
+def emission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One emission record per lineitem; ``feed`` F marks native reports, O daily estimates.
 
-    The feed filter sits on the lineitem scan, so the native and the estimate branch of a
-    query each shuffle their own rows only. Supplier and nation are joined first: that side
-    is small.
+    A filter on the feed moves down to the lineitem scan, so the native and the estimate
+    branch of a query each shuffle their own rows only. Every join adds one stored table,
+    whose size Spark knows: joining supplier and nation to each other first would hide it and
+    make the planner take lineitem for the small side.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    if native is not None:
-        lines = lines.where(F.col("l_linestatus") == ("F" if native else "O"))
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("region"))
-    suppliers = (
-        table(spark, sf_dir, "supplier")
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("s_suppkey").alias("l_suppkey"), "region")
-    )
-    parts = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("service_name")
+    parts = testbed_columns(spark, sf_dir, "part", l_partkey="p_partkey", service_name="p_type")
+    orders = testbed_columns(
+        spark, sf_dir, "orders", l_orderkey="o_orderkey", priority="o_orderpriority"
     )
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"
+    suppliers = testbed_columns(
+        spark, sf_dir, "supplier", l_suppkey="s_suppkey", nation="s_nationkey"
     )
+    nations = testbed_columns(spark, sf_dir, "nation", nation="n_nationkey", region="n_name")
     provider = F.lit(None).cast("string")
     for flag, name in PROVIDER_OF_FLAG.items():
         provider = F.when(F.col("l_returnflag") == flag, name).otherwise(provider)
     price = F.col("l_extendedprice")
     return (
-        lines.join(suppliers, "l_suppkey")
+        table(spark, sf_dir, "lineitem")
+        .join(suppliers, "l_suppkey")
+        .join(nations, "nation")
         .join(parts, "l_partkey")
         .join(orders, "l_orderkey")
         .withColumn("cloud_provider", provider)
         .select(
+            F.col("l_linestatus").alias("feed"),
             "cloud_provider",
-            F.concat(F.lower("cloud_provider"), F.lit("-"), "o_orderpriority").alias("account_id"),
+            F.concat(F.lower("cloud_provider"), F.lit("-"), "priority").alias("account_id"),
             "service_name",
             "region",
             F.to_date("l_shipdate").alias("usage_date"),
@@ -82,32 +83,43 @@ def emission_lines(spark: SparkSession, sf_dir: str, native: bool | None = None)
     )
 
 
-def native_raw(spark: SparkSession, sf_dir: str, provider: str | None = None) -> DataFrame:
-    """Monthly native reports with ids, of one provider or of all three in one pass."""
-    lines = emission_lines(spark, sf_dir, native=True)
-    if provider:
-        lines = lines.where(F.col("cloud_provider") == provider)
+def testbed_columns(spark: SparkSession, sf_dir: str, name: str, **columns: str) -> DataFrame:
+    return table(spark, sf_dir, name).select(*[F.col(c).alias(a) for a, c in columns.items()])
+
+
+def native_monthly(lines: DataFrame) -> DataFrame:
+    """The three providers' monthly reports, with ids and location-based totals."""
     key = ["cloud_provider", "account_id", "service_name", "region"]
     scopes = [
         "scope1_kgco2e", "scope2_location_based_kgco2e", "scope2_market_based_kgco2e", "scope3_kgco2e",
     ]
-    monthly = lines.groupBy(*key, month_of(F.col("usage_date")).alias("usage_month")).agg(
-        *[F.sum(s).alias(s) for s in scopes], F.max("extracted_at").alias("extracted_at")
-    )
     month = F.when(
         F.col("cloud_provider") == "GCP", F.date_format("usage_month", "yyyy-MM")
     ).otherwise(F.date_format("usage_month", "yyyy-MM-dd"))
     total = (
         F.col("scope1_kgco2e") + F.col("scope2_location_based_kgco2e") + F.col("scope3_kgco2e")
     )
-    return monthly.withColumns(
-        {
-            "id": joined_id(F.col("account_id"), F.col("service_name"), F.col("region"), month),
-            "total_kgco2e": total,
-        }
+    return (
+        lines.where(F.col("feed") == "F")
+        .groupBy(*key, month_of(F.col("usage_date")).alias("usage_month"))
+        .agg(*[F.sum(s).alias(s) for s in scopes], F.max("extracted_at").alias("extracted_at"))
+        .withColumns(
+            {
+                "id": joined_id(F.col("account_id"), F.col("service_name"), F.col("region"), month),
+                "total_kgco2e": total,
+            }
+        )
     )
 
 
+def native_raw(spark: SparkSession, sf_dir: str, provider: str | None = None) -> DataFrame:
+    """Native reports of one provider, or of all three in one pass."""
+    lines = emission_lines(spark, sf_dir)
+    if provider:
+        lines = lines.where(F.col("cloud_provider") == provider)
+    return native_monthly(lines)
+
+
 def raw_gcp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return native_raw(spark, sf_dir, "GCP").withColumnsRenamed(
         {"account_id": "project_id", "service_name": "service_description", "region": "location_region"}
@@ -122,11 +134,11 @@ def raw_azure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return native_raw(spark, sf_dir, "Azure").withColumnRenamed("account_id", "subscription_id")
 
 
-def raw_ccf(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ccf_daily(lines: DataFrame) -> DataFrame:
     """Daily estimates, one row per line."""
     scope1, scope3 = F.col("scope1_kgco2e"), F.col("scope3_kgco2e")
     scope2 = F.col("scope2_location_based_kgco2e")
-    return emission_lines(spark, sf_dir, native=False).select(
+    return lines.where(F.col("feed") == "O").select(
         joined_id(
             *[F.col(c) for c in ("cloud_provider", "account_id", "service_name", "region")],
             F.date_format("usage_date", "yyyy-MM-dd"),
@@ -146,6 +158,10 @@ def raw_ccf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_ccf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ccf_daily(emission_lines(spark, sf_dir))
+
+
 def landed_gcp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested table export."""
     return native_raw(spark, sf_dir, "GCP").select(
@@ -197,7 +213,7 @@ def landed_ccf(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("scope3_kgco2e").alias("scope3"),
         F.col("cost_usd").alias("cost"),
     )
-    lines = emission_lines(spark, sf_dir, native=False).select(
+    lines = emission_lines(spark, sf_dir).where(F.col("feed") == "O").select(
         F.to_json(
             F.struct(
                 F.date_format("usage_date", "yyyy-MM-dd'T00:00:00.000Z'").alias("timestamp"),

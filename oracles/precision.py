@@ -8,9 +8,11 @@ from __future__ import annotations
 
 
 def digits(column: str) -> int:
-    """Nine decimals for tonnes and rates per kWh or dollar, six for the rest."""
-    fine = ("mtco2e", "per_kwh", "per_dollar", "monthly_emissions")
-    return 9 if any(word in column for word in fine) and "gco2eq" not in column.replace("kgco2eq", "") else 6
+    """Seven decimals for tonnes, nine for rates per kWh or dollar, six for the rest."""
+    if "mtco2e" in column or column == "avg_monthly_emissions":
+        return 7
+    grams = "gco2eq" in column and "kgco2eq" not in column
+    return 9 if not grams and ("per_kwh" in column or "per_dollar" in column) else 6
 
 
 def shift(column: str) -> float:
