@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,6 +10,11 @@ def utc_now() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
 
+def stamped(rows: DataFrame) -> DataFrame:
+    """With the moment of processing, which stored marts carry."""
+    return rows.withColumn("processed_at", utc_now())
+
+
 def start_of(unit: str, ts: Column) -> Column:
     """Truncate to hour, day, week (Monday), month or year, staying zone-less."""
     return F.date_trunc(unit, ts).cast("timestamp_ntz")

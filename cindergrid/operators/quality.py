@@ -132,3 +132,26 @@ def missing_tables(
     tables: Mapping[str, DataFrame | None], required: Mapping[str, Sequence[str]]
 ) -> list[str]:
     return [name for name in required if tables.get(name) is None]
+
+
+def require_contract(
+    tables: Mapping[str, DataFrame | None], required: Mapping[str, Sequence[str]]
+) -> list[str]:
+    """Gate for dashboards: raises on an absent table or column, returns warnings on empty ones.
+
+    Emptiness is settled by the first row found, not by counting.
+    """
+    errors = [f"{name}: table is missing" for name in missing_tables(tables, required)]
+    warnings = []
+    for name, columns in required.items():
+        table = tables.get(name)
+        if table is None:
+            continue
+        missing = [c for c in columns if c not in table.columns]
+        if missing:
+            errors.append(f"{name}: missing columns {', '.join(missing)}")
+        elif table.isEmpty():
+            warnings.append(f"{name}: no rows")
+    if errors:
+        raise ValueError("; ".join(errors))
+    return warnings

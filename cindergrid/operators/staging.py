@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cindergrid.functions.measures import GRAMS_PER_KG, joined_id
 from cindergrid.functions.time import month_of, start_of
 
+# Source names.
 GRID_SOURCE = "Electricity Maps"
 MARGINAL_SOURCE = "WattTime"
 

@@ -48,16 +48,19 @@ def merge_upsert(
     return kept.unionByName(arriving.select(*target.columns))
 
 
-def write_partitioned(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace exactly the partitions that occur in ``rows``, one writer set per partition.
+def write_partitioned(
+    rows: DataFrame, path: str, partition_by: Sequence[str], replace_all: bool = False
+) -> None:
+    """Replace the partitions that occur in ``rows``, or with ``replace_all`` the whole table.
 
-    Rows are not gathered by partition value first: a month with a third of the data would
-    be one task. AQE sizes the rebalanced tasks and splits big partitions.
+    Rebalancing by the partition columns keeps the number of files low. Unlike a plain
+    repartition it lets Spark split a partition that holds a third of the data over several
+    tasks instead of one.
     """
     (
         rows.hint("rebalance", *[F.col(c) for c in partition_by])
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
@@ -85,7 +88,7 @@ def upsert_parquet(
     never changes its partition.
     """
     staging = staging or work_folder(spark, "upsert")
-    target = _open_or_create(spark, path, batch, partition_by)
+    target = open_or_create(spark, path, batch, partition_by)
     newest = latest_per_key(batch, keys, version).select(*batch.columns)
     write_partitioned(newest, f"{staging}/arriving", partition_by)
     arriving = spark.read.schema(batch.schema).parquet(f"{staging}/arriving").select(*batch.columns)
@@ -115,7 +118,7 @@ def touched_partitions(
     return _join_on(rows, arriving.select(*partition_by).distinct(), partition_by, "left_semi")
 
 
-def _open_or_create(
+def open_or_create(
     spark: SparkSession, path: str, like: DataFrame, partition_by: Sequence[str]
 ) -> DataFrame:
     """The table at ``path`` in the batch's columns; created without rows before the first load."""

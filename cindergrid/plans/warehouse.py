@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cindergrid.functions.time import stamped
 from cindergrid.operators import emissions, grid, regions, staging
 from cindergrid.operators.upsert import write_partitioned
 
@@ -36,13 +37,19 @@ def build_grid_fact(raw: Mapping[str, DataFrame]) -> DataFrame:
 def store(spark: SparkSession, table: DataFrame, folder: str, name: str) -> DataFrame:
     """Write a mart and return it read back, so later marts scan columns, not lineage."""
     path = f"{folder}/{name}"
+    table = stamped(table)
     if name in PARTITIONED_BY:
-        write_partitioned(table, path, PARTITIONED_BY[name])
+        write_partitioned(table, path, PARTITIONED_BY[name], replace_all=True)
     else:
         table.write.mode("overwrite").parquet(path)
     return spark.read.schema(table.schema).parquet(path).select(*table.columns)
 
 
+def open_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A stored mart."""
+    return spark.read.parquet(f"{folder}/{name}")
+
+
 def build_marts(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Facts first, then what derives from them; each mart is computed and stored once."""
     marts = {}

@@ -12,34 +12,27 @@ from cindergrid.session import require_utc
 
 
 def read_landing(spark: SparkSession, feed: str, paths: str | Sequence[str]) -> DataFrame:
-    """All files of all keys in one scan; an unparsable line keeps its text in ``_corrupt_record``.
+    """All files of all keys in one scan, one JSON object per line.
 
-    One path per zone or authority replaces a request loop, and a bad line or a missing
-    file of one key does not stop the others.
+    One path or pattern per zone or authority replaces a request loop, and a bad line of one
+    key does not stop the others: it keeps its text in ``_corrupt_record``. The lines are
+    read as text and parsed, because the JSON reader refuses to return that column alone.
     """
-    require_utc(spark)
-    return (
-        spark.read.schema(f"{LANDED[feed]}, {CORRUPT} string")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreMissingFiles", "true")
-        .json(paths)
-    )
+    return parse_landing(_filled(spark.read.text(paths)), feed)
 
 
 def stream_landing(spark: SparkSession, feed: str, path: str) -> DataFrame:
     """The same records as a stream; the query's checkpoint is the load cursor."""
-    require_utc(spark)
-    return (
-        spark.readStream.schema(f"{LANDED[feed]}, {CORRUPT} string")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    return parse_landing(_filled(spark.readStream.text(path)), feed)
+
+
+def _filled(lines: DataFrame) -> DataFrame:
+    """Blank lines are no records."""
+    return lines.where(F.trim("value") != "")
 
 
 def parse_landing(lines: DataFrame, feed: str, text: Column | str = "value") -> DataFrame:
-    """Records from a text column, for JSON that is already in a table."""
+    """Records from a text column."""
     require_utc(lines.sparkSession)
     text = F.col(text) if isinstance(text, str) else text
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}

@@ -62,3 +62,10 @@ def test_schema_report(spark):
     got = rows(quality.schema_report(tables, required))
     assert got == [("empty", 0, "", "warning"), ("full", 3, "", "ok"), ("narrow", 1, "b", "error")]
     assert quality.missing_tables(tables, required) == ["absent"]
+
+
+def test_contract_gate(spark):
+    one = spark.range(1).withColumnRenamed("id", "a")
+    assert quality.require_contract({"t": one, "u": one.limit(0)}, {"t": ["a"], "u": ["a"]}) == ["u: no rows"]
+    with pytest.raises(ValueError, match="t: missing columns b; |u: table is missing"):
+        quality.require_contract({"t": one}, {"t": ["a", "b"], "u": ["a"]})
