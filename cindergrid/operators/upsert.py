@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from cindergrid.session import work_folder
 
 
+# Partition values broadcast at most; a row is a few dates or short strings.
+BROADCAST_PARTITIONS = 10_000
+
+
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Null-safe, so a replayed row with a NULL key part still replaces itself."""
     same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
@@ -107,7 +111,10 @@ def touched_partitions(
     """Target rows in the partitions that occur in the batch.
 
     The bounds are scalar subqueries, which prune partition folders without collecting the
-    batch's values; the semi-join then drops partitions in between that did not arrive.
+    batch's values; the semi-join then drops partitions in between that did not arrive. Its
+    right side is one small row per arriving partition. Up to a checked number it is broadcast,
+    since a shuffle by partition value would send a big month to one task; beyond that Spark
+    decides.
     """
     rows = target
     for name in partition_by:
@@ -115,7 +122,10 @@ def touched_partitions(
             arriving.agg(bound(name).alias("bound")).scalar() for bound in (F.min, F.max)
         )
         rows = rows.where(F.col(name).between(lowest, highest) | F.col(name).isNull())
-    return _join_on(rows, arriving.select(*partition_by).distinct(), partition_by, "left_semi")
+    touched = arriving.select(*partition_by).distinct()
+    if touched.count() <= BROADCAST_PARTITIONS:
+        touched = F.broadcast(touched)
+    return _join_on(rows, touched, partition_by, "left_semi")
 
 
 def open_or_create(

@@ -6,6 +6,8 @@ from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cindergrid.functions.time import stamped
 from cindergrid.operators import emissions, grid, regions, staging
@@ -46,8 +48,10 @@ def store(spark: SparkSession, table: DataFrame, folder: str, name: str) -> Data
 
 
 def open_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A stored mart."""
-    return spark.read.parquet(f"{folder}/{name}")
+    """A stored mart. A partition folder's timestamp reads back zoned; all marts are zone-less."""
+    table = spark.read.parquet(f"{folder}/{name}")
+    zoned = [f.name for f in table.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
 
 def build_marts(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:

@@ -74,6 +74,16 @@ def test_dashboard_over_stored_marts(spark, sf, marts):
     assert stored.count() == 102
 
 
+def test_open_mart(spark, marts, folder):
+    opened = warehouse.open_mart(spark, folder, "fact_grid_intensity")
+    same = marts["fact_grid_intensity"]
+    assert sorted(opened.dtypes) == sorted(same.dtypes)
+    assert rows(opened, *same.columns) == rows(same)
+    text = plan(dashboards.current_intensity(opened))
+    lines = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+    assert any("ubquery" in line for line in lines)
+
+
 def test_backup(spark, marts, folder):
     copy = warehouse.backup(spark, folder, "dim_grid_regions", datetime(2024, 1, 2, 3, 4, 5))
     assert copy.endswith("dim_grid_regions_backup_20240102T030405")
