@@ -3,24 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cindergrid.operators.upsert import open_or_create, upsert_parquet
 from cindergrid.plans.warehouse import build_marts
-from cindergrid.schemas import NATURAL_KEYS
+from cindergrid.schemas import NATURAL_KEYS, RAW_PERIOD
 from cindergrid.sources import feeds, landing
-from cindergrid.sources.cursors import LOAD_WINDOWS, incremental_since
+from cindergrid.sources.cursors import LOAD_WINDOWS, incremental_since, load_period
 from cindergrid.streaming.upsert import run_upsert
 
-# Raw tables are partitioned by the month of their time key, so a row never changes partition.
-MONTH = "load_month"
-
 
 def normalise(landed: DataFrame, feed: str, account: str | Column | None = None) -> DataFrame:
-    """Landed records of any feed as raw rows with the partition month.
+    """Landed records of any feed as raw rows with their partition.
 
     ``account`` is the account or subscription of the two feeds whose records do not name it.
     """
@@ -35,14 +34,11 @@ def normalise(landed: DataFrame, feed: str, account: str | Column | None = None)
         raw = feeds.normalise_grid_history(landed)
     else:
         raw = feeds.normalise_moer(landed)
-    month = F.trunc(F.col(LOAD_WINDOWS[feed].cursor).cast("date"), "month")
-    return raw.withColumn(MONTH, month)
+    return raw.withColumn(RAW_PERIOD, load_period(feed))
 
 
-def _read(spark: SparkSession, feed: str, paths: str | Sequence[str]) -> DataFrame:
-    if feed in ("aws", "azure"):
-        return landing.read_landing(spark, "tonnes", paths)
-    return landing.read_landing(spark, feed, paths)
+def _record_shape(feed: str) -> str:
+    return "tonnes" if feed in ("aws", "azure") else feed
 
 
 def load_feed(
@@ -53,23 +49,24 @@ def load_feed(
     as_of: Column | None = None,
     account: str | Column | None = None,
     quarantine: str | None = None,
+    landed_after: datetime | None = None,
 ) -> DataFrame:
     """Load what a feed has landed since the last run; returns the raw table.
 
-    The high-water mark is read from the raw table itself, from its newest month only, so the
-    mark cannot disagree with the data and costs one partition.
+    The high-water mark is read from the raw table itself, from its newest partition only, so
+    the mark cannot disagree with the data and costs one partition.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     path = f"{raw_folder}/{feed}"
-    landed = _read(spark, feed, paths)
+    landed = landing.read_landing(spark, _record_shape(feed), paths, landed_after)
     if quarantine:
         landing.bad_records(landed).write.mode("append").text(f"{quarantine}/{feed}")
     rows = normalise(landing.good_records(landed), feed, account)
-    loaded = open_or_create(spark, path, rows, [MONTH])
-    newest_month = loaded.agg(F.max(MONTH).alias("month")).scalar()
-    newest = loaded.where(F.col(MONTH) == newest_month)
+    loaded = open_or_create(spark, path, rows, [RAW_PERIOD])
+    last_period = loaded.agg(F.max(RAW_PERIOD).alias("period")).scalar()
+    newest = loaded.where(F.col(RAW_PERIOD) == last_period)
     arriving = incremental_since(rows, newest, feed, as_of)
-    upsert_parquet(spark, path, arriving, NATURAL_KEYS[feed], [MONTH])
+    upsert_parquet(spark, path, arriving, NATURAL_KEYS[feed], [RAW_PERIOD])
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -82,21 +79,38 @@ def follow_feed(
     account: str | Column | None = None,
 ) -> StreamingQuery:
     """The same load as a stream over the landing folder: the checkpoint is the cursor."""
-    shape = "tonnes" if feed in ("aws", "azure") else feed
-    landed = landing.good_records(landing.stream_landing(spark, shape, path))
+    landed = landing.good_records(landing.stream_landing(spark, _record_shape(feed), path))
     return run_upsert(
         normalise(landed, feed, account), f"{raw_folder}/{feed}", checkpoint,
-        NATURAL_KEYS[feed], [MONTH],
+        NATURAL_KEYS[feed], [RAW_PERIOD],
     )
 
 
+def stored_raw(spark: SparkSession, raw_folder: str) -> dict[str, DataFrame]:
+    """The raw tables loaded so far; feeds without any data are left out."""
+    tables = {}
+    for feed in LOAD_WINDOWS:
+        try:
+            tables[feed] = spark.read.parquet(f"{raw_folder}/{feed}")
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    return tables
+
+
 def refresh(
     spark: SparkSession,
     landed: Mapping[str, str | Sequence[str]],
     raw_folder: str,
     mart_folder: str,
     as_of: Column | None = None,
+    landed_after: datetime | None = None,
+    since: date | None = None,
 ) -> dict[str, DataFrame]:
-    """Load every given feed, then rebuild the marts."""
-    raw = {feed: load_feed(spark, feed, paths, raw_folder, as_of) for feed, paths in landed.items()}
-    return build_marts(spark, raw, mart_folder)
+    """Load the given feeds, then build the marts from every feed loaded so far.
+
+    All months are built, or those from ``since`` on.
+    """
+    for feed, paths in landed.items():
+        load_feed(spark, feed, paths, raw_folder, as_of, landed_after=landed_after)
+    return build_marts(spark, stored_raw(spark, raw_folder), mart_folder, since)

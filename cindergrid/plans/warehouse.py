@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from cindergrid.functions.time import stamped
 from cindergrid.operators import emissions, grid, regions, staging
 from cindergrid.operators.upsert import write_partitioned
+from cindergrid.sources.cursors import from_month
 
 # Month columns: a query for a month range reads only those folders.
 PARTITIONED_BY = {
@@ -20,6 +21,9 @@ PARTITIONED_BY = {
     "grid_intensity_daily": ["timestamp_month"],
 }
 
+CLOUD_FEEDS = {"gcp", "aws", "azure", "ccf"}
+GRID_FEEDS = {"grid", "moer"}
+
 
 def build_cloud_fact(raw: Mapping[str, DataFrame]) -> DataFrame:
     """From the raw provider tables that are present (gcp, aws, azure, ccf)."""
@@ -36,12 +40,14 @@ def build_grid_fact(raw: Mapping[str, DataFrame]) -> DataFrame:
     return grid.fact_grid_intensity(average, marginal)
 
 
-def store(spark: SparkSession, table: DataFrame, folder: str, name: str) -> DataFrame:
+def store(
+    spark: SparkSession, table: DataFrame, folder: str, name: str, replace_all: bool = True
+) -> DataFrame:
     """Write a mart and return it read back, so later marts scan columns, not lineage."""
     path = f"{folder}/{name}"
     table = stamped(table)
     if name in PARTITIONED_BY:
-        write_partitioned(table, path, PARTITIONED_BY[name], replace_all=True)
+        write_partitioned(table, path, PARTITIONED_BY[name], replace_all)
     else:
         table.write.mode("overwrite").parquet(path)
     return spark.read.schema(table.schema).parquet(path).select(*table.columns)
@@ -54,22 +60,37 @@ def open_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
 
-def build_marts(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Facts first, then what derives from them; each mart is computed and stored once."""
+def build_marts(
+    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, since: date | None = None
+) -> dict[str, DataFrame]:
+    """Facts first, then what derives from them; each mart is computed and stored once.
+
+    With ``since`` the month-partitioned marts are rebuilt from that month on and keep their
+    older partitions, so a run costs what is new. The other marts are small and derive from
+    the stored facts as a whole.
+    """
     marts = {}
-    marts["fact_cloud_carbon"] = store(spark, build_cloud_fact(raw), folder, "fact_cloud_carbon")
-    marts["fact_grid_intensity"] = store(spark, build_grid_fact(raw), folder, "fact_grid_intensity")
-    cloud, readings = marts["fact_cloud_carbon"], marts["fact_grid_intensity"]
-    derived = {
-        "carbon_trends_monthly": emissions.carbon_trends(cloud, ordered=False),
-        "grid_intensity_daily": grid.grid_intensity_daily(readings),
-        "grid_intensity_weekly": grid.period_rollup(readings, "week"),
-        "grid_intensity_monthly": grid.period_rollup(readings, "month"),
-        "dim_grid_regions": regions.dim_grid_regions(readings),
-        "dim_grid_regions_stats": regions.region_stats_table(readings),
-    }
-    for name, table in derived.items():
-        marts[name] = store(spark, table, folder, name)
+    whole = since is None
+    if not whole:
+        raw = {feed: from_month(rows, feed, since) for feed, rows in raw.items()}
+
+    def keep(name: str, table: DataFrame) -> DataFrame:
+        marts[name] = store(spark, table, folder, name, replace_all=whole)
+        return marts[name]
+
+    cloud = keep("fact_cloud_carbon", build_cloud_fact(raw)) if raw.keys() & CLOUD_FEEDS else None
+    readings = keep("fact_grid_intensity", build_grid_fact(raw)) if raw.keys() & GRID_FEEDS else None
+    if cloud is not None:
+        keep("carbon_trends_monthly", emissions.carbon_trends(cloud, ordered=False))
+    if readings is not None:
+        fresh = readings if whole else readings.where(
+            F.col("timestamp_month") >= F.lit(since.replace(day=1)).cast("timestamp_ntz")
+        )
+        keep("grid_intensity_daily", grid.grid_intensity_daily(fresh))
+        keep("grid_intensity_weekly", grid.period_rollup(readings, "week"))
+        keep("grid_intensity_monthly", grid.period_rollup(readings, "month"))
+        keep("dim_grid_regions", regions.dim_grid_regions(readings))
+        keep("dim_grid_regions_stats", regions.region_stats_table(readings))
     return marts
 
 

@@ -46,6 +46,10 @@ NATURAL_KEYS = {
     "moer": ["ba", "point_time"],
 }
 
+# Partition column of the stored raw tables: the month of the time key, or its day for the
+# feeds of hours, so that a late batch rewrites days and not months.
+RAW_PERIOD = "load_period"
+
 # Columns each table must have before dashboards may read it.
 REQUIRED_COLUMNS = {
     "fact_grid_intensity": [

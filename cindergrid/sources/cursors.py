@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cindergrid.schemas import RAW_PERIOD
+
 
 @dataclass(frozen=True)
 class LoadWindow:
@@ -28,6 +31,22 @@ LOAD_WINDOWS = {
 }
 
 
+def load_period(feed: str) -> Column:
+    """The raw table's partition: a function of the key, so a row never changes partition."""
+    rule = LOAD_WINDOWS[feed]
+    day = F.col(rule.cursor).cast("date")
+    return day if rule.unit == "hour" else F.trunc(day, "month")
+
+
+def from_month(rows: DataFrame, feed: str, month: date) -> DataFrame:
+    """Raw rows of ``month`` and later; on a stored raw table earlier partitions are skipped."""
+    rule = LOAD_WINDOWS[feed]
+    first = F.lit(month.replace(day=1))
+    kind = "timestamp_ntz" if rule.unit == "hour" else "date"
+    rows = rows.where(F.col(rule.cursor) >= first.cast(kind))
+    return rows.where(F.col(RAW_PERIOD) >= first) if RAW_PERIOD in rows.columns else rows
+
+
 def lookback_start(feed: str, as_of: Column, lookback: int | None = None) -> Column:
     """First load: N*30 days back to the start of that month, N days back, or N hours back."""
     rule = LOAD_WINDOWS[feed]

@@ -54,9 +54,10 @@ def emission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "supplier", l_suppkey="s_suppkey", nation="s_nationkey"
     )
     nations = testbed_columns(spark, sf_dir, "nation", nation="n_nationkey", region="n_name")
-    provider = F.lit(None).cast("string")
+    provider = prefix = F.lit(None).cast("string")
     for flag, name in PROVIDER_OF_FLAG.items():
         provider = F.when(F.col("l_returnflag") == flag, name).otherwise(provider)
+        prefix = F.when(F.col("l_returnflag") == flag, f"{name.lower()}-").otherwise(prefix)
     price = F.col("l_extendedprice")
     return (
         table(spark, sf_dir, "lineitem")
@@ -64,11 +65,10 @@ def emission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nations, "nation")
         .join(parts, "l_partkey")
         .join(orders, "l_orderkey")
-        .withColumn("cloud_provider", provider)
         .select(
             F.col("l_linestatus").alias("feed"),
-            "cloud_provider",
-            F.concat(F.lower("cloud_provider"), F.lit("-"), "priority").alias("account_id"),
+            provider.alias("cloud_provider"),
+            F.concat(prefix, "priority").alias("account_id"),
             "service_name",
             "region",
             F.to_date("l_shipdate").alias("usage_date"),

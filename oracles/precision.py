@@ -8,11 +8,15 @@ from __future__ import annotations
 
 
 def digits(column: str) -> int:
-    """Seven decimals for tonnes, nine for rates per kWh or dollar, six for the rest."""
+    """Decimals that survive the rounding errors of a sum, by the size the measure reaches."""
     if "mtco2e" in column or column == "avg_monthly_emissions":
         return 7
+    if column in ("cost_usd", "total_cost_usd"):
+        return 4
     grams = "gco2eq" in column and "kgco2eq" not in column
-    return 9 if not grams and ("per_kwh" in column or "per_dollar" in column) else 6
+    if not grams and ("per_kwh" in column or "per_dollar" in column):
+        return 9
+    return 5 if column.endswith("_kgco2e") else 6
 
 
 def shift(column: str) -> float:

@@ -43,7 +43,7 @@ def guarded(numerator: str, denominator: str) -> str:
 
 
 ZONE_LIST = "[" + ", ".join(text(z) for z in ZONES) + "]"
-ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
+ISO = "replace(strftime({0}, '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '') || '+00:00'"
 SCOPES = ("scope1_kgco2e", "scope2_location_based_kgco2e", "scope2_market_based_kgco2e", "scope3_kgco2e")
 SUM_SCOPES = ", ".join(f"sum({s}) AS {s}" for s in SCOPES)
 

@@ -94,6 +94,66 @@ def test_refresh_to_marts(spark, tmp_path):
     assert "processed_at" in marts["dim_grid_regions"].columns
 
 
+def test_marts_of_one_side_only(spark, tmp_path):
+    inbox = tmp_path / "in"
+    land(inbox, "a.json", {"ba": "PJM", "data": [point("2024-05-09T23:00:00Z", 100)]})
+    marts = refresh.refresh(
+        spark, {"moer": str(inbox)}, str(tmp_path / "raw"), str(tmp_path / "marts"),
+        clock("2024-05-10 00:00:00"),
+    )
+    assert "fact_cloud_carbon" not in marts and marts["grid_intensity_weekly"].count() == 1
+    # A later run of another feed keeps what the first one loaded.
+    land(inbox / "grid", "a.json", {"zone": "DE", "history": [
+        {"datetime": "2024-05-09T22:00:00Z", "carbonIntensity": 50}]})
+    marts = refresh.refresh(
+        spark, {"grid": str(inbox / "grid")}, str(tmp_path / "raw"), str(tmp_path / "marts"),
+        clock("2024-05-10 00:00:00"),
+    )
+    assert rows(marts["fact_grid_intensity"], "grid_region") == [("DE",), ("PJM",)]
+
+
+def test_building_from_a_month_on(spark, sf, tmp_path):
+    from datetime import date
+
+    from cindergrid.plans import warehouse
+    from cindergrid.sources import testbed
+
+    raw = {
+        "aws": testbed.raw_aws(spark, sf),
+        "ccf": testbed.raw_ccf(spark, sf),
+        "moer": testbed.moer_raw(spark, sf),
+    }
+    full = warehouse.build_marts(spark, raw, str(tmp_path / "full"))
+    first = {
+        **raw,
+        "aws": raw["aws"].where("usage_month < '2001-03-01'"),
+        "ccf": raw["ccf"].where("usage_date < '2001-03-15'"),
+    }
+    folder = tmp_path / "steps"
+    warehouse.build_marts(spark, first, str(folder))
+    old = folder / "fact_cloud_carbon" / "usage_month_start=2001-02-01"
+    before = sorted(p.name for p in old.glob("*.parquet"))
+    steps = warehouse.build_marts(spark, raw, str(folder), since=date(2001, 3, 15))
+    assert before == sorted(p.name for p in old.glob("*.parquet"))
+    for name, columns in {
+        "fact_cloud_carbon": ("id", "usage_month_start"),
+        "carbon_trends_monthly": ("month", "account_id", "num_regions", "trend_indicator"),
+        "grid_intensity_daily": ("grid_region", "timestamp_day", "distinct_hours"),
+    }.items():
+        assert rows(steps[name], *columns) == rows(full[name], *columns), name
+
+
+def test_only_new_files_are_read(spark, tmp_path):
+    import os
+    from datetime import datetime
+
+    land(tmp_path, "old.json", {"ba": "OLD", "data": []})
+    land(tmp_path, "new.json", {"ba": "NEW", "data": []})
+    os.utime(tmp_path / "old.json", (1_600_000_000, 1_600_000_000))
+    landed = landing.read_landing(spark, "moer", str(tmp_path), landed_after=datetime(2021, 1, 1))
+    assert [r.ba for r in landed.collect()] == ["NEW"]
+
+
 def test_absent_path_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException):
         landing.read_landing(spark, "moer", str(tmp_path / "nothing")).count()
