@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,19 +40,23 @@ def latest_per_key(batch: DataFrame, keys: Sequence[str], version: str = "extrac
     return batch.groupBy(*keys).agg(newest.alias("row")).select("row.*")
 
 
-def merge_upsert(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], version: str = "extracted_at"
-) -> DataFrame:
-    """Target rows whose key does not arrive, plus the newest arriving row of every key.
+def replace_rows(target: DataFrame, arriving: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key does not arrive, plus the arriving rows; those hold each key once.
 
-    The left-anti join shuffles on the key, or broadcasts the batch if Spark measures it
-    below its threshold.
+    The left-anti join shuffles on the key, or broadcasts the arriving side if Spark measures
+    it below its threshold.
     """
-    arriving = latest_per_key(batch, keys, version)
     kept = _join_on(target, arriving, keys, "left_anti")
     return kept.unionByName(arriving.select(*target.columns))
 
 
+def merge_upsert(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], version: str = "extracted_at"
+) -> DataFrame:
+    """The target with the newest arriving row of every key in the batch."""
+    return replace_rows(target, latest_per_key(batch, keys, version), keys)
+
+
 def write_partitioned(
     rows: DataFrame, path: str, partition_by: Sequence[str], replace_all: bool = False
 ) -> None:
@@ -84,25 +89,58 @@ def upsert_parquet(
     1. The newest row per key goes to a staging folder, so the batch is evaluated once.
     2. Target partitions between the lowest and the highest arriving one are read (the rest
        is pruned at run time), cut to those that really occur, and merged into the staging
-       folder: Spark cannot overwrite what it reads.
-    3. Dynamic partition overwrite moves the merged partitions in.
+       folder: Spark cannot overwrite what it reads. Then the folder is marked ready.
+    3. Dynamic partition overwrite moves the merged partitions in; the mark is taken away.
 
-    Running the same batch again gives the same table, so a run that died half-way is simply
-    repeated. ``partition_by`` columns must be part of the key or derived from it: then a key
-    never changes its partition.
+    A run that died before the mark has not touched the table. One that died after it may have
+    replaced some partitions only: :func:`finish_pending` on the same ``staging`` completes it.
+    ``partition_by`` columns must be part of the key or derived from it: then a key never
+    changes its partition.
     """
     staging = staging or work_folder(spark, "upsert")
     target = open_or_create(spark, path, batch, partition_by)
     newest = latest_per_key(batch, keys, version).select(*batch.columns)
-    write_partitioned(newest, f"{staging}/arriving", partition_by)
+    write_partitioned(newest, f"{staging}/arriving", partition_by, replace_all=True)
     arriving = spark.read.schema(batch.schema).parquet(f"{staging}/arriving").select(*batch.columns)
 
-    merged = merge_upsert(touched_partitions(target, arriving, partition_by), arriving, keys, version)
-    write_partitioned(merged, f"{staging}/merged", partition_by)
-    ready = spark.read.schema(batch.schema).parquet(f"{staging}/merged")
-    ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    merged = replace_rows(touched_partitions(target, arriving, partition_by), arriving, keys)
+    write_partitioned(merged, f"{staging}/merged", partition_by, replace_all=True)
+    _mark(spark, staging, ready=True)
+    move_in(spark, path, staging, batch.schema, partition_by)
+
+
+def move_in(
+    spark: SparkSession, path: str, staging: str, schema: T.StructType, partition_by: Sequence[str]
+) -> None:
+    """Put the merged partitions in place; they are complete, so doing it twice is harmless."""
+    merged = spark.read.schema(schema).parquet(f"{staging}/merged")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *partition_by
     ).parquet(path)
+    _mark(spark, staging, ready=False)
+
+
+def finish_pending(
+    spark: SparkSession, path: str, staging: str, schema: T.StructType, partition_by: Sequence[str]
+) -> bool:
+    """Complete an upsert that died while moving in; must run before a cursor reads the table.
+
+    Otherwise a replaced newest partition would advance the cursor past older partitions that
+    were not replaced yet.
+    """
+    try:
+        pending = not spark.read.schema("id bigint").parquet(f"{staging}/ready").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    if pending:
+        move_in(spark, path, staging, schema, partition_by)
+    return pending
+
+
+def _mark(spark: SparkSession, staging: str, ready: bool) -> None:
+    spark.range(int(ready)).write.mode("overwrite").parquet(f"{staging}/ready")
 
 
 def touched_partitions(

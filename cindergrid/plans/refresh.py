@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cindergrid.operators.upsert import open_or_create, upsert_parquet
+from cindergrid.operators.upsert import finish_pending, open_or_create, upsert_parquet
 from cindergrid.plans.warehouse import build_marts
 from cindergrid.schemas import NATURAL_KEYS, RAW_PERIOD
 from cindergrid.sources import feeds, landing
@@ -53,6 +53,8 @@ def load_feed(
 ) -> DataFrame:
     """Load what a feed has landed since the last run; returns the raw table.
 
+    First completes a run that died while replacing partitions.
+
     The high-water mark is read from the raw table itself, from its newest partition only, so
     the mark cannot disagree with the data and costs one partition.
     """
@@ -62,11 +64,13 @@ def load_feed(
     if quarantine:
         landing.bad_records(landed).write.mode("append").text(f"{quarantine}/{feed}")
     rows = normalise(landing.good_records(landed), feed, account)
+    staging = f"{raw_folder}/staging/{feed}"
+    finish_pending(spark, path, staging, rows.schema, [RAW_PERIOD])
     loaded = open_or_create(spark, path, rows, [RAW_PERIOD])
     last_period = loaded.agg(F.max(RAW_PERIOD).alias("period")).scalar()
     newest = loaded.where(F.col(RAW_PERIOD) == last_period)
     arriving = incremental_since(rows, newest, feed, as_of)
-    upsert_parquet(spark, path, arriving, NATURAL_KEYS[feed], [RAW_PERIOD])
+    upsert_parquet(spark, path, arriving, NATURAL_KEYS[feed], [RAW_PERIOD], staging=staging)
     return spark.read.schema(rows.schema).parquet(path)
 
 
