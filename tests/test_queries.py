@@ -1,7 +1,7 @@
 from datetime import date, datetime, timezone
 
 import pytest
-from conftest import plan, rows, ts
+from conftest import plan, ts
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 
