@@ -7,14 +7,56 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindergrid.llm import mixing, quality_rules
+from cindergrid.llm import decontaminate, licenses, mixing, quality_rules, token_store
 from cindergrid.llm.sql import ORACLES  # noqa: F401
+from cindergrid.session import work_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices, exact and with bounded errors, of each document."""
+    found = licenses.find_notices(_table(spark, sf_dir, "documents"))
+    labels = F.array_distinct(F.array_sort(F.concat("base_labels", F.transform("spans", lambda s: s["label"]))))
+    best = F.array_max(F.transform("spans", lambda s: s["score"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join(labels, ",").alias("labels"),
+        F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside a benchmark window, and the items hit."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, _table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda n, s: n + s["last_word"] - s["first_word"] + 1)
+    return found.select(
+        "doc_id",
+        F.col("__n_words").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size("__items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
+        (F.size("__spans") > 0).alias("contaminated"),
+    )
+
+
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of each document's ids, read back from the written files."""
+    import public_tokenizers
+
+    path = work_folder(spark, "token-store")
+    token_store.write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.read_tokens(spark, path)
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
@@ -29,6 +71,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_license_scan": op3_license_scan,
+    "op7_decontamination": op7_decontamination,
+    "op8_token_store": op8_token_store,
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_rules": op10_quality_rules,
 }

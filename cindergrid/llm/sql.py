@@ -132,4 +132,25 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM far
 """
 
-ORACLES: dict[str, str] = {"op9_source_mixing": OP9, "op10_quality_rules": OP10}
+_WORDS7 = r"""CASE WHEN text IS NULL THEN [] ELSE list_filter(
+  string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+  lambda x: x <> '') END"""
+
+OP7 = f"""
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS7} AS words FROM benchmark),
+window_ AS (
+  SELECT DISTINCT item, words[i:i + 9] AS w, least(len(words), 10) AS n
+  FROM item, range(1, greatest(len(words) - 8, 2)) AS u(i) WHERE len(words) > 0),
+doc AS (SELECT doc_id, {_WORDS7} AS words FROM documents),
+place AS (
+  SELECT doc_id, i, l.n, words[i:i + l.n - 1] AS w
+  FROM doc, (SELECT DISTINCT n FROM window_) l, range(1, greatest(len(words) - l.n + 2, 1)) AS u(i)),
+hit AS (SELECT doc_id, i, place.n, item FROM place JOIN window_ ON place.w = window_.w),
+word AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM hit, range(0, n) AS u(j) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op7_decontamination": OP7, "op9_source_mixing": OP9, "op10_quality_rules": OP10}
