@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindergrid.llm import decontaminate, licenses, mixing, quality_rules, token_store
+from cindergrid.llm import decontaminate, langid, licenses, mixing, quality_rules, token_store
 from cindergrid.llm.sql import ORACLES  # noqa: F401
 from cindergrid.session import work_folder
 
@@ -33,6 +33,13 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of each document by a network that never saw the held-out ones."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs, langid.train(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside a benchmark window, and the items hit."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,6 +79,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
+    "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,
     "op8_token_store": op8_token_store,
     "op9_source_mixing": op9_source_mixing,
