@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindergrid.llm import decontaminate, langid, licenses, mixing, quality_rules, token_store
+from cindergrid.llm import decontaminate, langid, licenses, mixing, quality_rules, secrets, token_store
+from cindergrid.llm.spans import written
 from cindergrid.llm.sql import ORACLES  # noqa: F401
 from cindergrid.session import work_folder
 
@@ -33,6 +34,18 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document, by pattern and by entropy."""
+    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = lambda kind: F.size(F.filter("__base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[n(kind) for kind in secrets.BASE],
+        F.sha2(written(F.col("__base")), 256).alias("base_sha256"),
+        written(F.col("__spans")).alias("spans"),
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of each document by a network that never saw the held-out ones."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -79,6 +92,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
+    "op5_secret_scan": op5_secret_scan,
     "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,
     "op8_token_store": op8_token_store,
