@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindergrid.llm import decontaminate, langid, licenses, mixing, quality_rules, secrets, token_store
+from cindergrid.llm import decontaminate, langid, licenses, mixing, pii, quality_rules, secrets, token_store
 from cindergrid.llm.spans import written
 from cindergrid.llm.sql import ORACLES  # noqa: F401
 from cindergrid.session import work_folder
@@ -17,6 +17,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of each document, by pattern and by the trained classifier."""
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[n(kind) for kind in pii.BASE],
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices, exact and with bounded errors, of each document."""
     found = licenses.find_notices(_table(spark, sf_dir, "documents"))
@@ -91,6 +103,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_personal_data": op2_personal_data,
     "op3_license_scan": op3_license_scan,
     "op5_secret_scan": op5_secret_scan,
     "op6_language_id": op6_language_id,
