@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindergrid.llm import decontaminate, langid, licenses, mixing, pii, quality_rules, secrets, token_store
+from cindergrid.llm import decontaminate, langid, licenses, mixing, ngram_join, pii, quality_rules, secrets, token_store
 from cindergrid.llm.spans import written
 from cindergrid.llm.sql import ORACLES  # noqa: F401
 from cindergrid.session import work_folder
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of each document under five-word shingle similarity of 0.8 and more."""
+    return ngram_join.join(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("set_id")
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of each document, by pattern and by the trained classifier."""
     found = pii.find(_table(spark, sf_dir, "documents"))
@@ -103,6 +108,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_personal_data": op2_personal_data,
     "op3_license_scan": op3_license_scan,
     "op5_secret_scan": op5_secret_scan,
