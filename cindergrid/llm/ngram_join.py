@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cindergrid.llm.blocks import planes, unplaned
 from cindergrid.llm.components import components
 from cindergrid.llm.shingles import set_id, shingle_sets
 from cindergrid.llm.words import raw_bytes, slices
@@ -51,16 +52,6 @@ def prefix_length(n: int | np.ndarray) -> int | np.ndarray:
     return n - (4 * n + 4) // 5 + 1
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Byte planes, which compress well where sorted values share their high bytes."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
-
-
-def _unplaned(data: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
 def shingled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row ``doc_id``, ``n_shingles`` and ``set_id`` (NULL for an empty set)."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -107,7 +98,7 @@ def _blocks(docs: DataFrame, text: str, heavy, n_buckets: int) -> DataFrame:
 
     def packed(bucket: int, h: np.ndarray, owner: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> tuple:
         table, place = np.unique(owner, return_inverse=True)
-        return bucket, _planes(h), _planes(place.astype(np.uint32)), _planes(ids[table]), _planes(sizes[table])
+        return bucket, planes(h), planes(place.astype(np.uint32)), planes(ids[table]), planes(sizes[table])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,10 +143,10 @@ def _unpacked(block: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shingles, sets and sizes of all rows of a block, side by side."""
     h, ids, sizes = [], [], []
     for i in range(block.num_rows):
-        place = _unplaned(block["owners"][i].as_py(), np.uint32)
-        h.append(_unplaned(block["shingles"][i].as_py(), np.uint64))
-        ids.append(_unplaned(block["sets"][i].as_py(), np.int64)[place])
-        sizes.append(_unplaned(block["sizes"][i].as_py(), np.uint32)[place])
+        place = unplaned(block["owners"][i].as_py(), np.uint32)
+        h.append(unplaned(block["shingles"][i].as_py(), np.uint64))
+        ids.append(unplaned(block["sets"][i].as_py(), np.int64)[place])
+        sizes.append(unplaned(block["sizes"][i].as_py(), np.uint32)[place])
     return np.concatenate(h), np.concatenate(ids), np.concatenate(sizes)
 
 
@@ -181,7 +172,7 @@ def _shared(blocks: DataFrame, n_buckets: int) -> DataFrame:
         h, ids, sizes, n, to = h[order], ids[order], sizes[order], n[order], to[order]
         edges = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(h) else [0]
         rows = [
-            (int(to[a]), _planes(h[a:b]), _planes(n[a:b]), _planes(ids[a:b]), _planes(sizes[a:b]))
+            (int(to[a]), planes(h[a:b]), planes(n[a:b]), planes(ids[a:b]), planes(sizes[a:b]))
             for a, b in zip(edges[:-1], edges[1:], strict=True)
         ]
         columns = list(zip(*rows, strict=True)) or [[]] * 5
@@ -196,7 +187,7 @@ def _ordered(shared: DataFrame) -> DataFrame:
 
     def gather(block: pa.Table) -> pa.Table:
         parts = [
-            [_unplaned(block[c][i].as_py(), kind) for i in range(block.num_rows)]
+            [unplaned(block[c][i].as_py(), kind) for i in range(block.num_rows)]
             for c, kind in (("shingles", np.uint64), ("counts", np.uint32), ("sets", np.int64), ("sizes", np.uint32))
         ]
         h, n, ids, sizes = (np.concatenate(p) for p in parts)

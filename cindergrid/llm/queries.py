@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindergrid.llm import decontaminate, langid, licenses, mixing, ngram_join, pii, quality_rules, secrets, token_store
+from cindergrid.llm import decontaminate, langid, licenses, mixing, ngram_join, pii, quality_rules, secrets, suffix_dedup, token_store
 from cindergrid.llm.spans import written
 from cindergrid.llm.sql import ORACLES  # noqa: F401
 from cindergrid.session import work_folder
@@ -51,6 +51,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without passages of 50 bytes that an earlier one has."""
+    return suffix_dedup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_bytes=False)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document, by pattern and by entropy."""
     found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_personal_data": op2_personal_data,
     "op3_license_scan": op3_license_scan,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,

@@ -16,16 +16,16 @@ _PLACE = _rng.integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
 _SHORT = _rng.integers(1, 1 << 63, WORDS, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {}
+_known: dict[str, np.ndarray] = {}
 
 
-def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
+def powers(name: str, base: np.uint64, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64, remembered."""
-    known = _powers.get(name)
+    known = _known.get(name)
     if known is None or len(known) < n:
         steps = np.full(max(n, 1 << 16), base, np.uint64)
         steps[0] = 1
-        known = _powers[name] = np.multiply.accumulate(steps)
+        known = _known[name] = np.multiply.accumulate(steps)
     return known[:n]
 
 
@@ -44,8 +44,8 @@ def shingle_sets(raws: list[bytes | None]) -> list[np.ndarray]:
     before = np.concatenate([[True], gap[:-1]])
     starts, ends = np.flatnonzero(before & ~gap), np.flatnonzero(gap & ~before)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _power("up", _BASE, len(data)), out=sums[1:])
-    words = mixed((sums[ends] - sums[starts]) * _power("down", _INVERSE, len(data))[starts]) if len(starts) else np.zeros(0, np.uint64)
+    np.cumsum(_BYTE[data] * powers("up", _BASE, len(data)), out=sums[1:])
+    words = mixed((sums[ends] - sums[starts]) * powers("down", _INVERSE, len(data))[starts]) if len(starts) else np.zeros(0, np.uint64)
     edges = np.cumsum([0, *[len(r or b"") + 1 for r in raws]])
     first = np.searchsorted(starts, edges)
     n = len(words) - WORDS + 1
