@@ -180,3 +180,12 @@ def judge(
         F.col("__word_distance").alias("word_distance"),
     )
     return rows.select(*[F.col(f"`{c}`") for c in before], verdict.alias("__quality"))
+
+
+def kept(docs: DataFrame, references: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that the rules keep."""
+    judged = judge(docs, references, text, lang)
+    # A generator, unlike a filter, stays above the projections; below them every use of a column
+    # would be computed anew.
+    once = F.when(F.col("__quality.kept"), F.array(F.lit(True)))
+    return judged.withColumn("__once", F.explode(once)).select(*[F.col(f"`{c}`") for c in docs.columns])
