@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,9 @@ from cindergrid.llm.words import slices
 END_ID = 2
 #: A segment is closed once it has as many ids; a single longer document is a segment of its own.
 SEGMENT_IDS = 1 << 20
-#: Remembered pieces per worker, some 100 bytes each; the memory is emptied when it is full.
-MEMO_PIECES = 400_000
+#: Remembered pieces per worker, some 200 bytes each: two generations of half as many. When the younger
+#: is full it becomes the older one, from which a piece is fetched back when it is met again.
+MEMO_PIECES = 1_200_000
 _MAGIC = b"DAC1"
 _RANK = 512
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
@@ -142,6 +144,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         from tokenizers.pre_tokenizers import ByteLevel
 
         pre = self.tokenizer.pre_tokenizer
@@ -149,7 +152,7 @@ class Encoder:
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian u32."""
@@ -158,12 +161,16 @@ class Encoder:
         done = dict(zip(whole, self._plain(whole), strict=True))
         cut = {t: t.split(" ") for t in distinct if t not in done}
         firsts = self._plain([pieces[0] for pieces in cut.values()])
-        missing = list({p for pieces in cut.values() for p in pieces[1:]} - self.memo.keys())
-        if len(self.memo) + len(missing) > MEMO_PIECES:
-            self.memo.clear()
-            missing = list({p for pieces in cut.values() for p in pieces[1:]})
-        for a in range(0, len(missing), 20_000):
-            part = missing[a : a + 20_000]
+        wanted = set().union(*[pieces[1:] for pieces in cut.values()])
+        missing = wanted - self.memo.keys()
+        if len(self.memo) + len(missing) > MEMO_PIECES // 2:
+            self.memo, self.older = {}, self.memo
+            missing = wanted
+        back = missing & self.older.keys()
+        self.memo.update((p, self.older[p]) for p in back)
+        fresh = list(missing - back)
+        for a in range(0, len(fresh), 20_000):
+            part = fresh[a : a + 20_000]
             self.memo.update(zip(part, self._plain([" " + p for p in part]), strict=True))
         known = self.memo.__getitem__
         for (text, pieces), first in zip(cut.items(), firsts, strict=True):
