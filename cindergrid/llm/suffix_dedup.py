@@ -42,9 +42,9 @@ GRAM = 20
 TRIGGER = 12
 PHRASE = 128
 #: Texts are parsed by parts of at most so many bytes; a cut between parts only ends a phrase early.
-PART = 1 << 20
+PART = 1 << 19
 #: Text of one block of documents in a task, and entries of one bucket.
-PIECE = 3 << 20
+PIECE = 1 << 20
 BUCKET_ROWS = 1_000_000
 
 _BASES = [0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1]
