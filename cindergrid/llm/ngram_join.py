@@ -38,6 +38,8 @@ from cindergrid.session import work_folder
 
 #: Similar: 9 * overlap >= 4 * (size + size), which is Jaccard 0.8.
 NUMERATOR, DENOMINATOR = 4, 9
+#: Text of one block of documents in a task.
+PIECE = 2 << 20
 #: Shingles of a bucket, sets of a family's block, shingles of a family's block.
 BUCKET_ROWS = 1_000_000
 BLOCK_SETS = 1_000
@@ -58,7 +60,7 @@ def shingled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", PIECE):
                 sets = shingle_sets(raw_bytes(piece.column(1)))
                 ids = [set_id(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -75,7 +77,7 @@ def heavy_shingles(docs: DataFrame, n_sets: int, text: str = "text") -> np.ndarr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text", 16 << 20):
+            for piece in slices(batch, "text", PIECE):
                 sets = {set_id(s): s for s in shingle_sets(raw_bytes(piece.column(0))) if len(s)}
                 if sets:
                     found, counts = np.unique(np.concatenate(list(sets.values())), return_counts=True)
@@ -102,7 +104,7 @@ def _blocks(docs: DataFrame, text: str, heavy, n_buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text", 8 << 20):
+            for piece in slices(batch, "text", PIECE):
                 sets = {set_id(s): s for s in shingle_sets(raw_bytes(piece.column(0))) if len(s)}
                 if not sets:
                     continue
