@@ -93,7 +93,7 @@ def test_labelers_learned_by_em_and_classifier():
             code = code * 3 + v + 1
         counts[code * 4] = counts.get(code * 4, 0) + 1
     chance, tables = pii.reliabilities(counts)
-    assert tables[0][True][1] > 0.75 and tables[0][False][-1] > 0.75
+    assert tables[0][True][1] > 0.7 and tables[0][False][-1] > 0.7
     assert abs(tables[2][True][1] - tables[2][False][1]) < 0.1
     good = pii.accepted(pii.train(counts))
     assert all((pii._decode(c)[1][0] == 1) == (c in good) for c in counts if pii._decode(c)[1][0])
