@@ -39,6 +39,53 @@ def unique(table: DataFrame, column: str) -> DataFrame:
     )
 
 
+# The declared checks per model, (not_null columns, unique columns).
+DECLARED = {
+    **{f"raw_{feed}": (["id", at], ["id"]) for feed, at in (
+        ("gcp", "usage_month"), ("aws", "usage_month"), ("azure", "usage_month"),
+        ("ccf", "usage_date"), ("grid", "timestamp"), ("moer", "point_time"),
+    )},
+    **{f"stg_{feed}": (["id"], ["id"]) for feed in ("gcp", "aws", "azure", "ccf", "grid", "moer")},
+    "fact_cloud_carbon": (["id"], ["id"]),
+    "carbon_trends_monthly": (["month", "cloud_provider"], []),
+    "fact_grid_intensity": (["grid_region", "timestamp_hour"], []),
+    "grid_intensity_daily": (["grid_region", "timestamp_day", "avg_carbon_intensity"], []),
+    "dim_grid_regions": (["grid_region"], ["grid_region"]),
+}
+
+
+def suite(
+    tables: Mapping[str, DataFrame],
+    declared: Mapping[str, tuple[Sequence[str], Sequence[str]]] = DECLARED,
+    failures: str | None = None,
+) -> DataFrame:
+    """Every declared check: (table_name, check_name, column_name, failures).
+
+    All not_null checks of a model share one pass. ``unique`` counts the rows beyond the first of
+    each value. With ``failures`` the repeated values are stored below that folder, per model.
+    """
+    found = []
+    for name, (present, single) in declared.items():
+        if name not in tables:
+            continue
+        counted = not_null(tables[name], present)
+        found.append(counted.select(
+            F.lit(name).alias("table_name"), F.lit("not_null").alias("check_name"), "column_name",
+            F.col("null_count").alias("failures"),
+        ))
+        for column in single:
+            repeated = unique(tables[name], column)
+            if failures:
+                repeated.write.mode("overwrite").parquet(f"{failures}/{name}/unique_{column}")
+                repeated = tables[name].sparkSession.read.parquet(f"{failures}/{name}/unique_{column}")
+            extra = F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias("failures")
+            found.append(repeated.agg(extra).select(
+                F.lit(name).alias("table_name"), F.lit("unique").alias("check_name"),
+                F.lit(column).alias("column_name"), "failures",
+            ))
+    return reduce(DataFrame.unionByName, found)
+
+
 def expression_is_true(table: DataFrame, expressions: Mapping[str, Column]) -> DataFrame:
     """Per rule, the rows where it is false and the rows where it is NULL."""
     names = list(expressions)

@@ -185,7 +185,8 @@ def datacenter_with_grid(
         .agg(F.sum("total_mtco2e").alias("reported"))
     )
     return (
-        datacenter_regions(dim)
+        # A stored dimension has a label of its own, over all its readings.
+        datacenter_regions(dim.drop("cleanliness_category"))
         .withColumn("spelled", spelling(F.col("datacenter_region")))
         .join(intensity, "grid_region", "left")
         .join(emissions, ["cloud_provider", "spelled"], "left")

@@ -13,31 +13,29 @@ from pyspark.sql import types as T
 from cindergrid.session import work_folder
 
 
-# Partition values broadcast at most; a row is a few dates or short strings.
-BROADCAST_PARTITIONS = 10_000
-
-
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Null-safe, so a replayed row with a NULL key part still replaces itself."""
     same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
     return left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, same), how)
 
 
-def _comparable(field: T.StructField) -> Column:
-    return F.to_json(field.name) if isinstance(field.dataType, T.MapType) else F.col(field.name)
-
-
 def latest_per_key(batch: DataFrame, keys: Sequence[str], version: str = "extracted_at") -> DataFrame:
     """One row per key: the highest version, ties settled by the remaining columns.
 
     An aggregate rather than a ranked window: copies of one key collapse in the map tasks,
     so a key with a third of the batch does not end up in a single sort. The tie rule makes
-    a retried task return the same row.
+    a retried task return the same row. Each row travels once, its maps as text, since maps
+    have no order.
     """
     others = [f for f in batch.schema.fields if f.name not in (*keys, version)]
-    order = F.struct(F.col(version), *[_comparable(f) for f in others])
-    newest = F.max_by(F.struct(*[F.col(c) for c in batch.columns]), order)
-    return batch.groupBy(*keys).agg(newest.alias("row")).select("row.*")
+    maps = {f.name: f.dataType for f in others if isinstance(f.dataType, T.MapType)}
+    shown = [F.to_json(f.name).alias(f.name) if f.name in maps else F.col(f.name) for f in others]
+    newest = batch.groupBy(*keys).agg(F.max(F.struct(F.col(version), *shown)).alias("row"))
+    rest = [
+        F.from_json(F.col("row")[f.name], maps[f.name]).alias(f.name) if f.name in maps else F.col("row")[f.name].alias(f.name)
+        for f in others
+    ]
+    return newest.select(*keys, F.col("row")[version].alias(version), *rest)
 
 
 def replace_rows(target: DataFrame, arriving: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -93,11 +91,14 @@ def upsert_parquet(
     3. Dynamic partition overwrite moves the merged partitions in; the mark is taken away.
 
     A run that died before the mark has not touched the table. One that died after it may have
-    replaced some partitions only: :func:`finish_pending` on the same ``staging`` completes it.
+    replaced, or only removed, some partitions; the staging folder then has the only whole copy.
+    So the first thing a run on the same ``staging`` does is to complete the one before it, and
+    the folder goes once the mark is taken away.
     ``partition_by`` columns must be part of the key or derived from it: then a key never
     changes its partition.
     """
     staging = staging or work_folder(spark, "upsert")
+    finish_pending(spark, path, staging, batch.schema, partition_by)
     target = open_or_create(spark, path, batch, partition_by)
     newest = latest_per_key(batch, keys, version).select(*batch.columns)
     write_partitioned(newest, f"{staging}/arriving", partition_by, replace_all=True)
@@ -118,6 +119,13 @@ def move_in(
         *partition_by
     ).parquet(path)
     _mark(spark, staging, ready=False)
+    remove_folder(spark, staging)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Through Hadoop, whatever the storage is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def finish_pending(
@@ -150,9 +158,8 @@ def touched_partitions(
 
     The bounds are scalar subqueries, which prune partition folders without collecting the
     batch's values; the semi-join then drops partitions in between that did not arrive. Its
-    right side is one small row per arriving partition. Up to a checked number it is broadcast,
-    since a shuffle by partition value would send a big month to one task; beyond that Spark
-    decides.
+    right side is one small row per arriving partition, which Spark broadcasts by its measured
+    size; beyond that it splits a left side that one big partition makes uneven.
     """
     rows = target
     for name in partition_by:
@@ -160,10 +167,7 @@ def touched_partitions(
             arriving.agg(bound(name).alias("bound")).scalar() for bound in (F.min, F.max)
         )
         rows = rows.where(F.col(name).between(lowest, highest) | F.col(name).isNull())
-    touched = arriving.select(*partition_by).distinct()
-    if touched.count() <= BROADCAST_PARTITIONS:
-        touched = F.broadcast(touched)
-    return _join_on(rows, touched, partition_by, "left_semi")
+    return _join_on(rows, arriving.select(*partition_by).distinct(), partition_by, "left_semi")
 
 
 def open_or_create(

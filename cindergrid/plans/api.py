@@ -5,18 +5,19 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cindergrid.functions.buckets import bucket
 from cindergrid.functions.measures import KG_PER_TONNE
 from cindergrid.functions.time import start_of
 from cindergrid.operators.staging import GRID_SOURCE, MARGINAL_SOURCE
 
-# Accepted filters and row limits (default, highest).
+# Accepted filters and default row limits.
 PROVIDERS = ("GCP", "AWS", "Azure")
 SOURCES = (GRID_SOURCE, MARGINAL_SOURCE)
-ROW_LIMIT = (1000, 10000)
-TREND_LIMIT = (12, 48)
+ROW_LIMIT = 1000
+TREND_LIMIT = 12
 
 
 def _choice(value: str | None, allowed: tuple[str, ...], what: str) -> str | None:
@@ -28,10 +29,13 @@ def _choice(value: str | None, allowed: tuple[str, ...], what: str) -> str | Non
     return value
 
 
-def _limit(value: int, highest: int) -> int:
-    if not 1 <= value <= highest:
-        raise ValueError(f"limit must be between 1 and {highest}, not {value}")
-    return value
+def _first(rows: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows; all of them for None."""
+    if limit is None:
+        return rows
+    if limit < 1:
+        raise ValueError(f"limit must be at least 1, not {limit}")
+    return rows.limit(limit)
 
 
 def _containing(text: str) -> str:
@@ -60,7 +64,7 @@ def cloud_emissions(
     account_id: str | None = None,
     service_name: str | None = None,
     region: str | None = None,
-    limit: int = ROW_LIMIT[0],
+    limit: int | None = ROW_LIMIT,
 ) -> DataFrame:
     """Emission rows under optional filters, newest and largest first.
 
@@ -74,15 +78,15 @@ def cloud_emissions(
         rows = rows.where(F.col("service_name").ilike(_containing(service_name)))
     if region:
         rows = rows.where(F.col("region") == region)
-    return (
+    ordered = (
         rows.select(
             "id", "cloud_provider", "account_id", "service_name", "region", "usage_month_start",
             "scope1_kgco2e", "scope2_market_based_kgco2e", "scope3_kgco2e", "total_kgco2e",
             "total_mtco2e", "kgco2e_per_dollar", "kgco2e_per_kwh", "extracted_at",
         )
         .orderBy(F.desc_nulls_last("usage_month_start"), F.desc_nulls_last("total_kgco2e"), "id")
-        .limit(_limit(limit, ROW_LIMIT[1]))
     )
+    return _first(ordered, limit)
 
 
 def cloud_summary(
@@ -129,7 +133,7 @@ def grid_intensity(
     source: str | None = None,
     start_time: datetime | None = None,
     end_time: datetime | None = None,
-    limit: int = ROW_LIMIT[0],
+    limit: int | None = ROW_LIMIT,
 ) -> DataFrame:
     """Hourly readings under optional filters, newest first.
 
@@ -149,15 +153,15 @@ def grid_intensity(
     if end_time:
         end = _naive(end_time)
         rows = rows.where((hour <= end) & (month <= start_of("month", end)))
-    return (
+    ordered = (
         rows.select(
             "grid_region", "timestamp_hour", "carbon_intensity_gco2eq_per_kwh",
             "carbon_intensity_kgco2eq_per_kwh", "fossil_fuel_percentage", "renewable_percentage",
             "intensity_category", "data_source",
         )
         .orderBy(F.desc_nulls_last("timestamp_hour"), "grid_region", "data_source")
-        .limit(_limit(limit, ROW_LIMIT[1]))
     )
+    return _first(ordered, limit)
 
 
 def _naive(moment: datetime) -> Column:
@@ -170,16 +174,24 @@ def _naive(moment: datetime) -> Column:
 def current_grid_intensity(fact: DataFrame, region: str | None = None) -> DataFrame:
     """The latest hour of each region; if both sources report it, both rows stay.
 
-    The maxima are one small row per region, combined map-side, and join back to the fact.
-    A ranked window would instead sort each region's whole history in a single task.
+    One pass: each task keeps one row of fixed width per region and source, the values at its
+    newest hour. The window then compares the sources of a region, a handful of rows, never its
+    history. A region, hour and source occur once in the fact, so nothing is lost.
     """
     rows = fact.where(F.col("grid_region").ilike(_containing(region))) if region else fact
-    latest = rows.groupBy("grid_region").agg(F.max("timestamp_hour").alias("timestamp_hour"))
+    hour = F.col("timestamp_hour")
+    measures = ["carbon_intensity_gco2eq_per_kwh", "fossil_fuel_percentage", "renewable_percentage"]
+    newest = rows.groupBy("grid_region", "data_source").agg(
+        F.max(hour).alias("timestamp_hour"), *[F.max_by(m, hour).alias(m) for m in measures]
+    )
+    last = F.max("timestamp_hour").over(Window.partitionBy("grid_region"))
     return (
-        rows.join(latest, ["grid_region", "timestamp_hour"])
+        newest.withColumn("last", last)
+        .where("timestamp_hour = last")
         .select(
             "grid_region", "timestamp_hour", "carbon_intensity_gco2eq_per_kwh",
-            "intensity_category", "fossil_fuel_percentage", "renewable_percentage", "data_source",
+            bucket(F.col("carbon_intensity_gco2eq_per_kwh")).alias("intensity_category"),
+            "fossil_fuel_percentage", "renewable_percentage", "data_source",
         )
         .orderBy(
             F.desc_nulls_last("carbon_intensity_gco2eq_per_kwh"), "grid_region", "data_source"
@@ -191,7 +203,7 @@ def trend_rows(
     trends: DataFrame,
     provider: str | None = None,
     account_id: str | None = None,
-    limit: int = TREND_LIMIT[0],
+    limit: int | None = TREND_LIMIT,
 ) -> DataFrame:
     """Newest trend rows in tonnes. ``limit`` counts rows, not months."""
     rows = trends
@@ -200,7 +212,7 @@ def trend_rows(
         rows = rows.where(F.col("cloud_provider") == chosen)
     if account_id:
         rows = rows.where(F.col("account_id") == account_id)
-    return (
+    ordered = (
         rows.select(
             "month", "cloud_provider", "account_id", "total_mtco2e", "scope1_percent",
             "scope2_percent", "scope3_percent", "mom_change_percent",
@@ -209,27 +221,93 @@ def trend_rows(
             "trend_indicator", "kgco2e_per_dollar",
         )
         .orderBy(F.desc("month"), "cloud_provider", "account_id")
-        .limit(_limit(limit, TREND_LIMIT[1]))
     )
+    return _first(ordered, limit)
+
+
+# The session's list of views that ad-hoc SQL may read.
+VIEWS = "cindergrid.views"
+_LOGICAL = "org.apache.spark.sql.catalyst.plans.logical"
 
 
 def register_views(marts: Mapping[str, DataFrame]) -> None:
     """Name the marts for :func:`ad_hoc`."""
     for name, table in marts.items():
         table.createOrReplaceTempView(name)
+        conf = table.sparkSession.conf
+        known = set(conf.get(VIEWS, "").split(","))
+        conf.set(VIEWS, ",".join(sorted(known | {name.lower()} - {""})))
+
+
+def _all_of(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _kind(node) -> str:
+    return node.getClass().getName()
+
+
+def _require_query(spark: SparkSession, text: str) -> None:
+    """Reject whatever Spark would run rather than read, before anything is run."""
+    command = spark._jvm.java.lang.Class.forName(f"{_LOGICAL}.Command")
+    nodes = [spark._jsparkSession.sessionState().sqlParser().parsePlan(text)]
+    while nodes:
+        node = nodes.pop()
+        if command.isInstance(node) or "Statement" in _kind(node) or "CompoundBody" in _kind(node):
+            raise PermissionError("ad-hoc SQL must be a query")
+        nodes += _all_of(node.children())
+
+
+def _require_views(plan, views: set[str]) -> None:
+    """Reject relations that are not registered views, and functions that call into the JVM."""
+    nodes = [plan]
+    while nodes:
+        node = nodes.pop()
+        kind = _kind(node)
+        if kind == f"{_LOGICAL}.View":
+            if node.desc().identifier().table().lower() not in views:
+                raise PermissionError(f"{node.desc().identifier().table()} is not open to ad-hoc SQL")
+            continue  # what a registered view reads is its own affair
+        if node.children().isEmpty() and not kind.startswith((f"{_LOGICAL}.OneRow", f"{_LOGICAL}.LocalRelation", f"{_LOGICAL}.Range", f"{_LOGICAL}.CTERelationRef")):
+            raise PermissionError("ad-hoc SQL reads registered views only")
+        expressions = _all_of(node.expressions())
+        while expressions:
+            expression = expressions.pop()
+            if "Reflect" in _kind(expression):
+                raise PermissionError("ad-hoc SQL may not call into the JVM")
+            expressions += _all_of(expression.children())
+        nodes += _all_of(node.children()) + _all_of(node.subqueries())
 
 
 def ad_hoc(spark: SparkSession, query: str) -> DataFrame:
     """Run a read-only query over the registered views.
 
-    The text becomes a subquery, where only a query can stand: DDL and DML do not parse
-    there. Words such as ``created_at`` and a leading WITH are fine.
+    The text is parsed as it stands and must be a query: no command, no insert, no script. Its
+    analysed plan may read registered views only, no file or other table, and may not call Java
+    methods. Words such as ``created_at`` and a leading WITH are fine.
     """
     text = query.strip().rstrip(";")
-    return spark.sql(f"SELECT * FROM (\n{text}\n) AS ad_hoc")
-
-
-def records(rows: DataFrame, limit: int = ROW_LIMIT[0]) -> dict:
+    _require_query(spark, text)
+    files = spark.conf.get("spark.sql.runSQLOnFiles")
+    spark.conf.set("spark.sql.runSQLOnFiles", "false")
+    try:
+        rows = spark.sql(text)
+    finally:
+        spark.conf.set("spark.sql.runSQLOnFiles", files)
+    _require_views(rows._jdf.queryExecution().analyzed(), set(spark.conf.get(VIEWS, "").split(",")))
+    return rows
+
+
+def as_text(rows: DataFrame, form: str = "json") -> DataFrame:
+    """Rows as lines of text, ``json`` objects or ``csv`` fields, to be written or streamed."""
+    if form not in ("json", "csv"):
+        raise ValueError(f"form must be 'json' or 'csv', not {form!r}")
+    record = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    line = F.to_json(record, {"ignoreNullFields": "false"}) if form == "json" else F.to_csv(record, {"escape": '"'})
+    return rows.select(line.alias("value"))
+
+
+def records(rows: DataFrame, limit: int | None = ROW_LIMIT) -> dict:
     """``{"count", "data"}`` as the service returned it; never more than the limit is fetched."""
-    data = [row.asDict(recursive=True) for row in rows.limit(_limit(limit, ROW_LIMIT[1])).collect()]
+    data = [row.asDict(recursive=True) for row in _first(rows, limit).toLocalIterator()]
     return {"count": len(data), "data": data}

@@ -159,11 +159,15 @@ def cleanest_datacenters(with_grid: DataFrame) -> DataFrame:
 def recent(fact: DataFrame, days: int) -> DataFrame:
     """Rows within ``days`` of the newest hour.
 
-    The newest hour is a scalar subquery: on the stored fact it becomes a filter pushed into
-    the Parquet scan. The same bound on the month column skips older partitions.
+    The newest month comes first, then the newest hour within it: on the stored fact, which is
+    partitioned by month, the bound costs one partition and no column of the others. Both are
+    scalar subqueries; the hour is pushed into the scan, and the month skips older partitions.
     """
-    newest = fact.agg((F.max("timestamp_hour") - F.expr(f"INTERVAL {days} DAYS")).alias("since"))
-    since = newest.scalar()
+    last_month = fact.agg(F.max("timestamp_month").alias("month")).scalar()
+    last = fact.where(F.col("timestamp_month") == last_month).agg(
+        (F.max("timestamp_hour") - F.expr(f"INTERVAL {days} DAYS")).alias("since")
+    )
+    since = last.scalar()
     return fact.where(
         (F.col("timestamp_hour") >= since) & (F.col("timestamp_month") >= start_of("month", since))
     )

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cindergrid.operators.upsert import finish_pending, open_or_create, upsert_parquet
-from cindergrid.plans.warehouse import build_marts
+from cindergrid.operators.upsert import upsert_parquet
+from cindergrid.plans.warehouse import build_marts, dashboard_tables
 from cindergrid.schemas import NATURAL_KEYS, RAW_PERIOD
 from cindergrid.sources import feeds, landing
-from cindergrid.sources.cursors import LOAD_WINDOWS, incremental_since, load_period
+from cindergrid.sources.cursors import LOAD_WINDOWS, initial_load, load_period
 from cindergrid.streaming.upsert import run_upsert
 
 
@@ -41,6 +41,44 @@ def _record_shape(feed: str) -> str:
     return "tonnes" if feed in ("aws", "azure") else feed
 
 
+# A file may carry a time slightly before the run that missed it; reading one twice is harmless.
+CLOCK_MARGIN = timedelta(minutes=10)
+
+
+def keyed(rows: DataFrame, feed: str) -> Column:
+    """Whether a raw row can be stored: every part of its key, and so its time, is there."""
+    known = F.lit(True)
+    for name in (*NATURAL_KEYS[feed], LOAD_WINDOWS[feed].cursor):
+        known = known & F.col(name).isNotNull()
+    return known
+
+
+def set_aside(spark: SparkSession, rejected: DataFrame, path: str) -> None:
+    """Append rejected text to the quarantine; what is there already is not repeated."""
+    text = rejected.select(F.col(rejected.columns[0]).alias("value")).distinct()
+    try:
+        text = text.join(spark.read.text(path), "value", "left_anti")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    text.write.mode("append").text(path)
+
+
+def _as_text(rows: DataFrame) -> DataFrame:
+    return rows.select(F.to_json(F.struct("*")).alias("value"))
+
+
+def _files_after(spark: SparkSession, path: str) -> datetime | None:
+    """When the last finished load began; None before the first one."""
+    try:
+        last = spark.read.parquet(path).agg(F.max("began").alias("began")).first()["began"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return last - CLOCK_MARGIN if last else None
+
+
 def load_feed(
     spark: SparkSession,
     feed: str,
@@ -50,28 +88,45 @@ def load_feed(
     account: str | Column | None = None,
     quarantine: str | None = None,
     landed_after: datetime | None = None,
+    lookback: int | None = None,
+    every_file: bool = False,
 ) -> DataFrame:
     """Load what a feed has landed since the last run; returns the raw table.
 
-    First completes a run that died while replacing partitions.
+    New data is told by its files, not by its event times: all rows of files that landed since
+    the last finished load began are upserted, however late or corrected they are, and the
+    version settles restatements. ``every_file`` reads the whole archive, ``landed_after``
+    (UTC) the files since then. Only with an explicit ``lookback`` (in the feed's unit, before
+    ``as_of``) are older rows left out.
 
-    The high-water mark is read from the raw table itself, from its newest partition only, so
-    the mark cannot disagree with the data and costs one partition.
+    Lines that are no records, and rows without a key or time, go to the quarantine, by
+    default ``<raw_folder>/quarantine/<feed>``.
     """
-    as_of = F.current_timestamp() if as_of is None else as_of
-    path = f"{raw_folder}/{feed}"
+    return _load(spark, feed, paths, raw_folder, as_of, account, quarantine, landed_after, lookback, every_file)[0]
+
+
+def _load(
+    spark: SparkSession, feed: str, paths, raw_folder: str, as_of=None, account=None, quarantine=None,
+    landed_after=None, lookback=None, every_file=False,
+) -> tuple[DataFrame, date | None]:
+    """The raw table, and the first partition that the load touched."""
+    began = datetime.now(timezone.utc).replace(tzinfo=None)
+    done = f"{raw_folder}/loads/{feed}"
+    if landed_after is None and not every_file:
+        landed_after = _files_after(spark, done)
     landed = landing.read_landing(spark, _record_shape(feed), paths, landed_after)
-    if quarantine:
-        landing.bad_records(landed).write.mode("append").text(f"{quarantine}/{feed}")
     rows = normalise(landing.good_records(landed), feed, account)
-    staging = f"{raw_folder}/staging/{feed}"
-    finish_pending(spark, path, staging, rows.schema, [RAW_PERIOD])
-    loaded = open_or_create(spark, path, rows, [RAW_PERIOD])
-    last_period = loaded.agg(F.max(RAW_PERIOD).alias("period")).scalar()
-    newest = loaded.where(F.col(RAW_PERIOD) == last_period)
-    arriving = incremental_since(rows, newest, feed, as_of)
-    upsert_parquet(spark, path, arriving, NATURAL_KEYS[feed], [RAW_PERIOD], staging=staging)
-    return spark.read.schema(rows.schema).parquet(path)
+    aside = f"{quarantine or raw_folder + '/quarantine'}/{feed}"
+    set_aside(spark, landing.bad_records(landed).unionAll(_as_text(rows.where(~keyed(rows, feed)))), aside)
+    arriving = rows.where(keyed(rows, feed))
+    if lookback is not None:
+        arriving = initial_load(arriving, feed, F.current_timestamp() if as_of is None else as_of, lookback)
+    path = f"{raw_folder}/{feed}"
+    touched = arriving.agg(F.min(RAW_PERIOD).alias("first")).first()["first"]
+    upsert_parquet(spark, path, arriving, NATURAL_KEYS[feed], [RAW_PERIOD], staging=f"{raw_folder}/staging/{feed}")
+    # Written last: a load that dies is done again from the same files.
+    spark.createDataFrame([(began,)], "began timestamp_ntz").write.mode("append").parquet(done)
+    return spark.read.schema(rows.schema).parquet(path), touched
 
 
 def follow_feed(
@@ -81,13 +136,18 @@ def follow_feed(
     raw_folder: str,
     checkpoint: str,
     account: str | Column | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """The same load as a stream over the landing folder: the checkpoint is the cursor."""
-    landed = landing.good_records(landing.stream_landing(spark, _record_shape(feed), path))
-    return run_upsert(
-        normalise(landed, feed, account), f"{raw_folder}/{feed}", checkpoint,
-        NATURAL_KEYS[feed], [RAW_PERIOD],
-    )
+    aside = f"{quarantine or raw_folder + '/quarantine'}/{feed}"
+    landed = landing.stream_landing(spark, _record_shape(feed), path)
+
+    def accept(batch: DataFrame) -> DataFrame:
+        rows = normalise(landing.good_records(batch), feed, account)
+        set_aside(spark, landing.bad_records(batch).unionAll(_as_text(rows.where(~keyed(rows, feed)))), aside)
+        return rows.where(keyed(rows, feed))
+
+    return run_upsert(landed, f"{raw_folder}/{feed}", checkpoint, NATURAL_KEYS[feed], [RAW_PERIOD], accept=accept)
 
 
 def stored_raw(spark: SparkSession, raw_folder: str) -> dict[str, DataFrame]:
@@ -110,11 +170,22 @@ def refresh(
     as_of: Column | None = None,
     landed_after: datetime | None = None,
     since: date | None = None,
+    quarantine: str | None = None,
+    lookback: Mapping[str, int] | None = None,
+    touched_only: bool = False,
 ) -> dict[str, DataFrame]:
     """Load the given feeds, then build the marts from every feed loaded so far.
 
-    All months are built, or those from ``since`` on.
+    All months are built, or those from ``since`` on, or with ``touched_only`` those from the
+    first month that this load changed. ``lookback`` names feeds whose older rows are left out.
+    The daily mart comes back in the dashboards' names, so that the result meets their contract.
     """
+    first = []
     for feed, paths in landed.items():
-        load_feed(spark, feed, paths, raw_folder, as_of, landed_after=landed_after)
-    return build_marts(spark, stored_raw(spark, raw_folder), mart_folder, since)
+        _, touched = _load(
+            spark, feed, paths, raw_folder, as_of, None, quarantine, landed_after, (lookback or {}).get(feed)
+        )
+        first += [touched] if touched else []
+    if touched_only and first:
+        since = min([*first, *([since] if since else [])])
+    return dashboard_tables(build_marts(spark, stored_raw(spark, raw_folder), mart_folder, since))

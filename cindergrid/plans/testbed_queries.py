@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from cindergrid.functions.buckets import CLEANLINESS, WIDE_INTENSITY, bucket
 from cindergrid.operators import emissions, grid, quality, regions, staging, upsert
-from cindergrid.plans import api, dashboards, exports, warehouse
+from cindergrid.plans import api, dashboards, exports, refresh, warehouse
 from cindergrid.schemas import REQUIRED_COLUMNS
 from cindergrid.session import work_folder
 from cindergrid.sources import cursors, feeds, landing, seed, testbed
-from cindergrid.streaming.rollup import run_hourly
+from cindergrid.streaming.rollup import read_hours, run_hourly
 from cindergrid.streaming.upsert import run_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,16 +188,26 @@ def export_parquet(spark, sf):
     return spark.read.parquet(folder)
 
 
-@query
-def export_csv(spark, sf):
+def _exported(spark: SparkSession, sf: str, limit: int | None) -> DataFrame:
     folder = work_folder(spark, "export_csv")
     fact = cloud_fact(spark, sf)
-    exports.export_csv({"fact_cloud_carbon": fact}, "cloud_carbon", folder)
-    return spark.read.schema(fact.schema).option("header", True).csv(folder)
+    exports.export_csv({"fact_cloud_carbon": fact}, "cloud_carbon", folder, limit)
+    return spark.read.schema(fact.schema).options(**exports.CSV).csv(folder)
+
+
+@query
+def export_csv(spark, sf):
+    return _exported(spark, sf, None)
+
+
+@query
+def export_csv_limited(spark, sf):
+    return _exported(spark, sf, 10_000)
 
 
 @query
 def export_csv_dump(spark, sf):
+    """What a reader finds in each file: rows, keys and the mean of a measure."""
     folder = work_folder(spark, "export_csv_dump")
     fact = cloud_fact(spark, sf)
     marts = {
@@ -206,15 +216,24 @@ def export_csv_dump(spark, sf):
         "carbon_trends_monthly": emissions.carbon_trends(fact, ordered=False),
     }
     exports.dump_csv(marts, folder)
+    contents = {
+        "fact_cloud_carbon": (["id"], "total_kgco2e"),
+        "fact_grid_intensity": (["grid_region", "timestamp_hour", "data_source"], "carbon_intensity_gco2eq_per_kwh"),
+        "carbon_trends_monthly": (["month", "cloud_provider", "account_id"], "total_kgco2e"),
+    }
     return reduce(
         DataFrame.unionByName,
         [
-            spark.read.schema(mart.schema)
-            .option("header", True)
+            spark.read.schema(marts[name].schema)
+            .options(**exports.CSV)
             .csv(f"{folder}/{name}")
-            .agg(F.count("*").alias("row_count"))
-            .select(F.lit(name).alias("table_name"), "row_count")
-            for name, mart in marts.items()
+            .agg(
+                F.count("*").alias("row_count"),
+                F.count_distinct(F.struct(*keys)).alias("key_count"),
+                F.avg(measure).alias("measure_mean"),
+            )
+            .select(F.lit(name).alias("table_name"), "row_count", "key_count", "measure_mean")
+            for name, (keys, measure) in contents.items()
         ],
     )
 
@@ -515,8 +534,19 @@ def d_monthly_regional(spark, sf):
 def stream_hourly(spark, sf):
     folder = work_folder(spark, "stream_hourly")
     raw = testbed.moer_raw_from(testbed.event_stream(spark, sf))
-    run_hourly(raw, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/table")
+    run_hourly(raw, folder, f"{folder}-checkpoint").awaitTermination()
+    return read_hours(spark, folder)
+
+
+@query
+def load_late(spark, sf):
+    """The odd days land after the even ones have been loaded; nothing may be missing."""
+    folder = work_folder(spark, "load_late")
+    lines = testbed.moer_lines(spark, sf)
+    for landing_no, odd in enumerate((0, 1)):
+        lines.where(F.dayofmonth("ts") % 2 == odd).select("value").write.text(f"{folder}/in/{landing_no}")
+        raw = refresh.load_feed(spark, "moer", f"{folder}/in/*", f"{folder}/raw")
+    return raw.drop("extracted_at", "load_period")
 
 
 @query
@@ -571,6 +601,28 @@ def dq_unique(spark, sf):
     )
 
 
+@query
+def dq_suite(spark, sf):
+    """The declared checks of all raw, staging and mart tables."""
+    raw = {
+        "gcp": testbed.raw_gcp(spark, sf), "aws": testbed.raw_aws(spark, sf), "azure": testbed.raw_azure(spark, sf),
+        "ccf": testbed.raw_ccf(spark, sf), "grid": testbed.grid_raw(spark, sf), "moer": testbed.moer_raw(spark, sf),
+    }
+    stage = {
+        "gcp": staging.stage_gcp, "aws": staging.stage_aws, "azure": staging.stage_azure,
+        "ccf": staging.stage_ccf, "grid": staging.stage_grid, "moer": staging.stage_moer,
+    }
+    return quality.suite({
+        **{f"raw_{feed}": rows for feed, rows in raw.items()},
+        **{f"stg_{feed}": stage[feed](rows) for feed, rows in raw.items()},
+        "fact_cloud_carbon": cloud_fact(spark, sf),
+        "carbon_trends_monthly": trends(spark, sf),
+        "fact_grid_intensity": grid_fact(spark, sf),
+        "grid_intensity_daily": daily(spark, sf),
+        "dim_grid_regions": testbed.region_dim(spark, sf),
+    })
+
+
 @query
 def dq_expression(spark, sf):
     rules = {

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from cindergrid.functions.time import stamped
 from cindergrid.operators import emissions, grid, regions, staging
 from cindergrid.operators.upsert import write_partitioned
+from cindergrid.sources import seed
 from cindergrid.sources.cursors import from_month
 
 # Month columns: a query for a month range reads only those folders.
@@ -89,11 +90,21 @@ def build_marts(
         keep("grid_intensity_daily", grid.grid_intensity_daily(fresh))
         keep("grid_intensity_weekly", grid.period_rollup(readings, "week"))
         keep("grid_intensity_monthly", grid.period_rollup(readings, "month"))
-        keep("dim_grid_regions", regions.dim_grid_regions(readings))
+        # What dashboards join: the static regions with coordinates and provider lists, and statistics.
+        keep("dim_grid_regions", regions.seed_with_stats(seed.seed_grid_regions(spark), readings))
+        keep("dim_grid_regions_derived", regions.dim_grid_regions(readings))
         keep("dim_grid_regions_stats", regions.region_stats_table(readings))
     return marts
 
 
+def dashboard_tables(marts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The marts as dashboards name them: the daily mart is the same table with other column names."""
+    tables = dict(marts)
+    if "grid_intensity_daily" in tables:
+        tables["grid_intensity_daily"] = grid.daily_for_dashboards(marts["grid_intensity_daily"])
+    return tables
+
+
 def backup(spark: SparkSession, folder: str, name: str, now: datetime | None = None) -> str:
     """Copy a stored mart aside before its columns change; returns the copy's path."""
     stamp = (now or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%S")

@@ -7,7 +7,7 @@ otherwise sorts and merges, splitting hot keys at run time.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,10 +29,15 @@ GRID_EVENTS = ["view", "click", "purchase"]
 MARGINAL_EVENTS = ["signup", "error"]
 
 
-@lru_cache(maxsize=64)
+_tables: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The scan of a table. Kept per session: listing files and reading a footer costs a job."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The scan of a table. Kept as long as its session: listing files and reading a footer costs a job."""
+    known, path = _tables.setdefault(spark, {}), f"{sf_dir}/{name}.parquet"
+    if path not in known:
+        known[path] = spark.read.parquet(path)
+    return known[path]
 
 
 # --- emissions ---------------------------------------------------------------------------
@@ -313,18 +318,23 @@ def landed_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_landing(lines, "grid")
 
 
-def landed_moer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Percentile only: name, frequency and market are left to the normaliser's defaults."""
+def moer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines of the marginal feed: ``value`` and the ``ts`` it holds.
+
+    Percentile only: name, frequency and market are left to the normaliser's defaults.
+    """
     point = F.struct(
         F.date_format("ts", _INSTANT).alias("point_time"),
         (F.col("grams") / KG_PER_POUND).alias("value"),
         F.col("share").alias("percent"),
     )
     events = table(spark, sf_dir, "events")
-    lines = readings(events, MARGINAL_EVENTS).select(
-        F.to_json(F.struct(F.col("zone").alias("ba"), F.array(point).alias("data"))).alias("value")
-    )
-    return parse_landing(lines, "moer")
+    line = F.to_json(F.struct(F.col("zone").alias("ba"), F.array(point).alias("data")))
+    return readings(events, MARGINAL_EVENTS).select(line.alias("value"), "ts")
+
+
+def landed_moer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_landing(moer_lines(spark, sf_dir), "moer")
 
 
 # --- dimension ---------------------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""Hourly rollup of the five-minute marginal rates as a stream."""
+"""Hourly rollup of the five-minute marginal rates as a stream that takes late points."""
 
 from __future__ import annotations
 
@@ -7,24 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cindergrid.functions.measures import GRAMS_PER_KG
+from cindergrid.functions.time import start_of
 from cindergrid.operators.staging import MARGINAL_SOURCE, stage_moer
+from cindergrid.operators.upsert import touched_partitions, upsert_parquet
 
-# Readings lag 15 to 60 minutes; two hours is the patience for stragglers.
-DELAY = "2 hours"
+POINT_KEYS = ["ba", "point_time"]
+HOUR_KEYS = ["grid_region", "timestamp_hour"]
+DAY = "day"
 
 
-def hourly_stream(raw: DataFrame, delay: str = DELAY) -> DataFrame:
-    """Raw marginal-rate stream to closed hours, with sums and counts to re-merge averages.
-
-    Watermarks need a zoned timestamp, so the point time is read as UTC and turned back
-    afterwards. State holds one small row per authority and open hour.
-    """
+def hourly_points(raw: DataFrame) -> DataFrame:
+    """Raw marginal rates to hours, with the sums and counts behind the averages."""
     rate = F.col("moer_kgco2_per_kwh")
     return (
         stage_moer(raw)
-        .withColumn("instant", F.col("point_time").cast("timestamp"))
-        .withWatermark("instant", delay)
-        .groupBy(F.window("instant", "1 hour"), "ba")
+        .groupBy("ba", start_of("hour", F.col("point_time")).alias("timestamp_hour"))
         .agg(
             F.avg(rate).alias("carbon_intensity_kgco2eq_per_kwh"),
             F.avg(rate * GRAMS_PER_KG).alias("carbon_intensity_gco2eq_per_kwh"),
@@ -35,7 +32,7 @@ def hourly_stream(raw: DataFrame, delay: str = DELAY) -> DataFrame:
         )
         .select(
             F.col("ba").alias("grid_region"),
-            F.col("window.start").cast("timestamp_ntz").alias("timestamp_hour"),
+            "timestamp_hour",
             F.lit(MARGINAL_SOURCE).alias("data_source"),
             "carbon_intensity_kgco2eq_per_kwh",
             "carbon_intensity_gco2eq_per_kwh",
@@ -47,18 +44,39 @@ def hourly_stream(raw: DataFrame, delay: str = DELAY) -> DataFrame:
     )
 
 
-def run_hourly(raw: DataFrame, path: str, checkpoint: str, delay: str = DELAY) -> StreamingQuery:
-    """Process what is available, append closed hours to Parquet, stop.
+def run_hourly(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Process what is available, upsert points and hours, stop.
 
-    ``checkpoint`` belongs in shared storage: it holds offsets and state, and a lost executor
-    or driver resumes from it without losing or repeating an hour.
+    Each micro-batch is merged into ``<path>/points`` by authority and time; the hours that it
+    touches are computed anew from the stored points and merged into ``<path>/hours``. So every
+    hour is there as soon as it has a point, a late or corrected point changes its hour however
+    late it is, and a replayed batch changes nothing. Days partition both tables: a batch reads
+    and rewrites the days it has points of.
     """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        points = batch.withColumn(DAY, F.to_date("point_time"))
+        upsert_parquet(
+            spark, f"{path}/points", points, POINT_KEYS, [DAY], staging=f"{checkpoint}-staging/points"
+        )
+        stored = spark.read.schema(points.schema).parquet(f"{path}/points")
+        hour = start_of("hour", F.col("point_time")).alias("hour")
+        touched = points.select("ba", hour, DAY).distinct()
+        same_days = touched_partitions(stored, touched, [DAY]).withColumn("hour", hour)
+        hours = hourly_points(same_days.join(touched, ["ba", "hour", DAY], "left_semi").select(*points.columns))
+        upsert_parquet(
+            spark, f"{path}/hours", hours.withColumn(DAY, F.to_date("timestamp_hour")), HOUR_KEYS, [DAY],
+            staging=f"{checkpoint}-staging/hours",
+        )
+
     return (
-        hourly_stream(raw, delay)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
+        raw.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_hours(spark, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/hours").drop(DAY)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -17,18 +17,20 @@ def run_upsert(
     keys: Sequence[str],
     partition_by: Sequence[str],
     version: str = "extracted_at",
+    accept: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Merge everything available into ``path``.
 
-    A batch that is replayed after a failure finds its own rows and replaces them, so
-    at-least-once delivery gives an exact table.
+    A batch that is replayed after a failure first completes what the lost try had begun to
+    move in, then finds its own rows and replaces them, so at-least-once delivery gives an exact
+    table. ``accept`` turns a micro-batch into the rows to merge.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        # The staging folder is fixed per batch, so a replay overwrites what the lost try left.
+        # One staging folder per stream: whatever a lost try left there is completed first.
         upsert_parquet(
-            batch.sparkSession, path, batch, keys, partition_by, version,
-            staging=f"{checkpoint}-staging/{batch_id}",
+            batch.sparkSession, path, accept(batch) if accept else batch, keys, partition_by, version,
+            staging=f"{checkpoint}-staging",
         )
 
     return (

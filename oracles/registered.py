@@ -98,11 +98,17 @@ FACT = (NATIVE + " total_location_based_kgco2e total_mtco2e kilowatt_hours cost_
         "kgco2e_per_dollar kgco2e_per_kwh")
 for name in ("fact_cloud_carbon", "export_parquet"):
     add(name, "SELECT * FROM cloud_fact", FACT)
-add("export_csv", "SELECT * FROM cloud_fact ORDER BY usage_month_start, id LIMIT 10000", FACT)
+add("export_csv", "SELECT * FROM cloud_fact", FACT)
+add("export_csv_limited", """
+SELECT * FROM cloud_fact
+ORDER BY usage_month_start, id, cloud_provider, account_id, service_name, region, total_kgco2e LIMIT 10000""", FACT)
 add("export_csv_dump", """
-SELECT 'fact_cloud_carbon' AS table_name, count(*) AS row_count FROM cloud_fact
-UNION ALL SELECT 'fact_grid_intensity', count(*) FROM readings_fact
-UNION ALL SELECT 'carbon_trends_monthly', count(*) FROM trends""")
+SELECT 'fact_cloud_carbon' AS table_name, count(*) AS row_count, count(DISTINCT id) AS key_count,
+       avg(total_kgco2e) AS measure_mean FROM cloud_fact
+UNION ALL SELECT 'fact_grid_intensity', count(*), count(DISTINCT (grid_region, timestamp_hour, data_source)),
+       avg(carbon_intensity_gco2eq_per_kwh) FROM readings_fact
+UNION ALL SELECT 'carbon_trends_monthly', count(*), count(DISTINCT (month, cloud_provider, account_id)),
+       avg(total_kgco2e) FROM trends""", "measure_mean")
 for provider, key in (("GCP", "project_id"), ("AWS", "account_id"), ("Azure", "account_id")):
     rename = "" if key == "account_id" else f" RENAME (account_id AS {key})"
     add(f"stg_{provider.lower()}",
@@ -292,15 +298,19 @@ FROM by_month JOIN dim USING (grid_region)""",
     "avg_intensity avg_fossil_percentage avg_renewable_percentage")
 
 # --- streaming
-add("stream_hourly", """
+POINTS = """(SELECT * FROM raw_moer
+  QUALIFY row_number() OVER (PARTITION BY ba, ts ORDER BY moer DESC, share DESC) = 1)"""
+add("stream_hourly", f"""
 SELECT ba AS grid_region, date_trunc('hour', ts) AS timestamp_hour, 'WattTime' AS data_source,
        avg(moer_kg) AS carbon_intensity_kgco2eq_per_kwh,
        avg(moer_kg * 1000) AS carbon_intensity_gco2eq_per_kwh, avg(share) AS percentile_rank,
        sum(moer_kg) AS sum_kgco2_per_kwh, count(*) AS points, max(ts) AS extracted_at
-FROM raw_moer WHERE moer > 0 GROUP BY 1, 2
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <=
-       (SELECT max(ts) - INTERVAL 2 HOURS FROM raw_moer WHERE moer > 0)""",
+FROM {POINTS} WHERE moer > 0 GROUP BY 1, 2""",
     HOUR + " percentile_rank sum_kgco2_per_kwh")
+add("load_late", f"""
+SELECT id, ba, ba AS ba_name, ts AS point_time, moer, moer_kg AS moer_kgco2_per_kwh,
+       share AS percent, 300 AS frequency, 'RTM' AS market FROM {POINTS}""",
+    "moer moer_kgco2_per_kwh")
 add("stream_upsert", """
 SELECT id, ba, ba AS ba_name, ts AS point_time, moer, moer_kg AS moer_kgco2_per_kwh,
        share AS percent, 300 AS frequency, 'RTM' AS market, ts AS extracted_at,
@@ -339,6 +349,37 @@ add("dq_unique", " UNION ALL ".join(
         ("fact_cloud_carbon", "cloud_fact", "id"), ("raw_ccf", "raw_ccf", "id"),
         ("raw_grid", "raw_grid", "id"), ("dim_grid_regions", "dim", "grid_region"))
 ))
+def suite(table: str, source: str, present: dict[str, str], single: dict[str, str]) -> str:
+    """``present`` and ``single`` give the shown column and its name or expression here."""
+    parts = [
+        f"SELECT '{table}' AS table_name, 'not_null' AS check_name, '{shown}' AS column_name, "
+        f"count(*) FILTER ({real} IS NULL) AS failures FROM {source}"
+        for shown, real in present.items()
+    ] + [
+        f"SELECT '{table}', 'unique', '{shown}', count({real}) - count(DISTINCT {real}) FROM {source}"
+        for shown, real in single.items()
+    ]
+    return " UNION ALL ".join(parts)
+
+
+NATIVE_OF = {"gcp": "GCP", "aws": "AWS", "azure": "Azure"}
+add("dq_suite", " UNION ALL ".join([
+    *[suite(f"raw_{f}", f"(FROM raw_native WHERE cloud_provider = '{p}')", same("id", "usage_month"), same("id"))
+      for f, p in NATIVE_OF.items()],
+    suite("raw_ccf", "raw_ccf", same("id", "usage_date"), same("id")),
+    suite("raw_grid", "raw_grid", {"id": "id", "timestamp": "ts"}, same("id")),
+    suite("raw_moer", "raw_moer", {"id": "id", "point_time": "ts"}, same("id")),
+    *[suite(f"stg_{f}", f"(FROM stg_native WHERE cloud_provider = '{p}')", same("id"), same("id"))
+      for f, p in NATIVE_OF.items()],
+    suite("stg_ccf", "stg_ccf", same("id"), same("id")),
+    suite("stg_grid", "(FROM raw_grid WHERE grams > 0)", same("id"), same("id")),
+    suite("stg_moer", "(FROM raw_moer WHERE moer > 0)", same("id"), same("id")),
+    suite("fact_cloud_carbon", "cloud_fact", same("id"), same("id")),
+    suite("carbon_trends_monthly", "trends", same("month", "cloud_provider"), {}),
+    suite("fact_grid_intensity", "readings_fact", same("grid_region", "timestamp_hour"), {}),
+    suite("grid_intensity_daily", "daily", same("grid_region", "timestamp_day", "avg_carbon_intensity"), {}),
+    suite("dim_grid_regions", "dim", same("grid_region"), same("grid_region")),
+]))
 RULES = {
     "avg_carbon_intensity >= 0": "avg_carbon_intensity >= 0",
     "distinct_hours <= 24": "distinct_hours <= 24",

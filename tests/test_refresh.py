@@ -5,6 +5,7 @@ from conftest import rows, ts
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from cindergrid.operators import emissions
 from cindergrid.plans import refresh
 from cindergrid.sources import landing
 
@@ -24,27 +25,46 @@ def point(time, value):
     return {"point_time": time, "value": value}
 
 
-def test_load_feed_step_by_step(spark, tmp_path):
-    inbox, raw, bad = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "bad")
-    land(inbox, "1.json", {"ba": "PJM", "data": [
-        point("2024-01-31T23:50:00Z", 1), point("2024-01-30T00:00:00Z", 9)]}, "{torn")
-    table = refresh.load_feed(
-        spark, "moer", str(inbox), raw, as_of=clock("2024-02-01 00:00:00"), quarantine=bad
-    )
-    # First load: one day back. The torn line is kept aside.
-    assert rows(table, "point_time") == [(ts("2024-01-31 23:50"),)]
-    assert spark.read.text(f"{bad}/moer").first()[0] == "{torn"
+def grid_line(zone, *hours, version="2024-02-01"):
+    return {"zone": zone, "history": [{"datetime": t, "carbonIntensity": v} for t, v in hours]}
 
-    land(inbox, "2.json", {"ba": "PJM", "data": [
-        point("2024-01-31T23:52:00Z", 2), point("2024-01-31T23:55:00Z", 3),
-        point("2024-02-01T00:00:00Z", 4), point("2024-02-01T00:00:00Z", 5)]})
-    table = refresh.load_feed(spark, "moer", str(inbox), raw, as_of=clock("2024-02-02 00:00:00"))
-    # Resumes five minutes after the newest point; one row per key.
-    assert [t for (t,) in rows(table, "point_time")] == sorted(
-        [ts("2024-01-31 23:50"), ts("2024-01-31 23:55"), ts("2024-02-01 00:00")], key=repr
+
+def test_nothing_that_landed_is_lost(spark, tmp_path):
+    inbox, raw = tmp_path / "in", str(tmp_path / "raw")
+    land(inbox, "1.json", grid_line("DE", ("2024-01-20T10:00:00Z", 1), ("2023-11-01T00:00:00Z", 9)), "{torn")
+    table = refresh.load_feed(spark, "grid", str(inbox), raw)
+    measure = ("zone", "timestamp", "carbon_intensity_gco2eq_per_kwh")
+    # An archive of any age arrives whole.
+    assert rows(table, *measure) == [("DE", ts("2023-11-01"), 9.0), ("DE", ts("2024-01-20 10:00"), 1.0)]
+    # A lagging zone, a restated hour and an unreadable time.
+    land(inbox, "2.json", grid_line("FR", ("2024-01-20T09:00:00Z", 5)),
+         grid_line("DE", ("2024-01-20T10:00:00Z", 2), ("2024-01-20T11:00:00Z", 3), ("not a time", 4)))
+    table = refresh.load_feed(spark, "grid", str(inbox), raw)
+    assert rows(table, *measure) == [
+        ("DE", ts("2023-11-01"), 9.0), ("DE", ts("2024-01-20 10:00"), 2.0),
+        ("DE", ts("2024-01-20 11:00"), 3.0), ("FR", ts("2024-01-20 09:00"), 5.0),
+    ]
+    known = rows(table, "id")
+    assert rows(refresh.load_feed(spark, "grid", str(inbox), raw, every_file=True), "id") == known
+    aside = [r.value for r in spark.read.text(f"{raw}/quarantine/grid").collect()]
+    assert aside.count("{torn") == 1 and sum('"zone":"DE"' in line for line in aside) >= 1
+
+
+def test_a_restated_month_and_an_explicit_lookback(spark, tmp_path):
+    inbox, raw = tmp_path / "in", str(tmp_path / "raw")
+
+    def month(m, scope1):
+        return {"AccountId": "a", "Month": m, "ServiceName": "S", "Scope1": scope1}
+
+    land(inbox, "1.json", month("2024-01-01", 1.0), month("2024-04-01", 1.0))
+    refresh.load_feed(spark, "aws", str(inbox), raw)
+    land(inbox, "2.json", month("2024-01-01", 7.0))
+    table = refresh.load_feed(spark, "aws", str(inbox), raw)
+    assert rows(table, "scope1_kgco2e") == [(1000.0,), (7000.0,)]
+    short = refresh.load_feed(
+        spark, "aws", str(inbox), str(tmp_path / "short"), as_of=clock("2024-05-10 00:00:00"), lookback=1
     )
-    again = refresh.load_feed(spark, "moer", str(inbox), raw, as_of=clock("2024-02-02 00:00:00"))
-    assert rows(again, "id") == rows(table, "id")
+    assert [str(m) for (m,) in rows(short, "usage_month")] == ["2024-04-01"]
 
 
 def test_died_while_replacing_partitions(spark, tmp_path, monkeypatch):
@@ -74,21 +94,13 @@ def test_died_while_replacing_partitions(spark, tmp_path, monkeypatch):
 
 
 def test_incremental_equals_full_reload(spark, tmp_path):
-    months = [f"2024-0{m}-01" for m in range(1, 5)]
-
-    def records(upto):
-        return [{"AccountId": "a", "Month": m, "ServiceName": "S", "Scope1": i + 1.0}
-                for i, m in enumerate(months[:upto])]
-
     step, full, inbox = str(tmp_path / "step"), str(tmp_path / "full"), tmp_path / "in"
-    for upto, now in ((2, "2024-03-10"), (3, "2024-04-10"), (4, "2024-05-10")):
-        land(inbox, "all.json", *records(upto))
-        stepwise = refresh.load_feed(spark, "aws", str(inbox), step, as_of=clock(now))
-    at_once = refresh.load_feed(spark, "aws", str(inbox), full, as_of=clock("2024-05-10"))
-    assert [r[1] for r in rows(at_once, "usage_month", "scope1_kgco2e")] == [2000.0, 3000.0, 4000.0]
-    assert rows(stepwise.where("usage_month > '2024-01-01'"), "id", "scope1_kgco2e") == rows(
-        at_once, "id", "scope1_kgco2e"
-    )
+    for n, m in enumerate((3, 1, 4, 2)):
+        land(inbox, f"{n}.json", {"AccountId": "a", "Month": f"2024-0{m}-01", "ServiceName": "S", "Scope1": m + 1.0})
+        stepwise = refresh.load_feed(spark, "aws", str(inbox), step)
+    at_once = refresh.load_feed(spark, "aws", str(inbox), full)
+    assert rows(stepwise, "id", "scope1_kgco2e") == rows(at_once, "id", "scope1_kgco2e")
+    assert at_once.count() == 4
 
 
 def test_follow_feed(spark, tmp_path):
@@ -99,6 +111,56 @@ def test_follow_feed(spark, tmp_path):
         refresh.follow_feed(spark, "grid", str(inbox), raw, checkpoint).awaitTermination()
     table = spark.read.parquet(f"{raw}/grid")
     assert rows(table, "zone", "carbon_intensity_gco2eq_per_kwh") == [("DE", 1.0), ("DE", 2.0)]
+    land(inbox, "bad.json", "{torn", {"zone": "DE", "history": [{"datetime": "never", "carbonIntensity": 1}]})
+    refresh.follow_feed(spark, "grid", str(inbox), raw, checkpoint).awaitTermination()
+    assert spark.read.parquet(f"{raw}/grid").count() == 2
+    assert spark.read.text(f"{raw}/quarantine/grid").count() == 2
+
+
+def test_dashboards_from_landing_without_adapters(spark, tmp_path):
+    from datetime import date
+
+    from cindergrid import schemas
+    from cindergrid.operators import quality, regions
+    from cindergrid.plans import dashboards
+
+    inbox = tmp_path / "in"
+    land(inbox / "aws", "a.json", {"AccountId": "a", "Month": "2024-04-01", "Region": "eu-central-1", "Scope1": 1.0})
+    land(inbox / "grid", "a.json", grid_line("DE", ("2024-05-09T22:00:00Z", 50), ("2024-05-09T23:00:00Z", 70)))
+    land(inbox / "moer", "a.json", {"ba": "PJM", "data": [point("2024-05-09T23:00:00Z", 100)]})
+    landed = {feed: str(inbox / feed) for feed in ("aws", "grid", "moer")}
+    marts = refresh.refresh(spark, landed, str(tmp_path / "raw"), str(tmp_path / "marts"))
+    quality.require_contract(marts, schemas.REQUIRED_COLUMNS)
+    dim, fact, readings = marts["dim_grid_regions"], marts["fact_cloud_carbon"], marts["fact_grid_intensity"]
+    daily, trends = marts["grid_intensity_daily"], marts["carbon_trends_monthly"]
+    model = spark.read.parquet(str(tmp_path / "marts" / "grid_intensity_daily"))
+    with_grid = regions.datacenter_with_grid(dim, model, fact)
+    as_of = date(2024, 5, 10)
+    for result in (
+        dashboards.datacenter_mapping(dim), with_grid, dashboards.datacenter_map(with_grid),
+        dashboards.cleanest_datacenters(with_grid), dashboards.current_intensity(readings),
+        dashboards.intensity_trend(readings), dashboards.by_category(readings), dashboards.map_data(readings, dim),
+        dashboards.daily_averages(daily, dim, as_of), dashboards.weekly_comparison(daily, dim, as_of),
+        dashboards.monthly_regional_trends(marts["grid_intensity_monthly"], dim), dashboards.cloud_totals(fact),
+        dashboards.monthly_trend(fact), dashboards.scope_breakdown(fact), dashboards.datacenter_emissions(fact),
+        dashboards.datacenter_totals(fact), dashboards.latest_trends(emissions.trends_in_tonnes(trends)),
+        dashboards.year_to_date(emissions.trends_in_tonnes(trends)),
+    ):
+        assert result.count() > 0
+    assert dashboards.mom_change(emissions.trends_in_tonnes(trends)).count() == 0
+
+
+def test_only_touched_months_are_rebuilt(spark, tmp_path):
+    inbox = tmp_path / "in"
+    land(inbox, "1.json", *[{"AccountId": "a", "Month": f"2024-0{m}-01", "Scope1": 1.0} for m in (1, 2, 3)])
+    folders = (str(tmp_path / "raw"), str(tmp_path / "marts"))
+    refresh.refresh(spark, {"aws": str(inbox)}, *folders)
+    old = tmp_path / "marts" / "fact_cloud_carbon" / "usage_month_start=2024-01-01"
+    before = sorted(p.name for p in old.glob("*.parquet"))
+    land(tmp_path / "more", "2.json", {"AccountId": "a", "Month": "2024-02-01", "Scope1": 5.0})
+    marts = refresh.refresh(spark, {"aws": str(tmp_path / "more")}, *folders, touched_only=True)
+    assert before == sorted(p.name for p in old.glob("*.parquet"))
+    assert [v for _, v in rows(marts["fact_cloud_carbon"], "usage_month_start", "total_kgco2e")] == [1000.0, 5000.0, 1000.0]
 
 
 def test_refresh_to_marts(spark, tmp_path):

@@ -8,7 +8,7 @@ from cindergrid import session
 from cindergrid.operators import regions
 from cindergrid.plans import api, dashboards, exports, warehouse
 from cindergrid.sources import testbed
-from cindergrid.streaming.rollup import run_hourly
+from cindergrid.streaming.rollup import read_hours, run_hourly
 from cindergrid.streaming.upsert import run_upsert
 from test_grid import RAW_MOER
 
@@ -106,7 +106,20 @@ def test_exports(spark, marts, tmp_path):
     with pytest.raises(KeyError):
         exports.export_parquet(marts, "secrets", str(tmp_path / "no"))
     with pytest.raises(ValueError):
-        exports.export_csv(marts, "trends", str(tmp_path / "no"), limit=100_001)
+        exports.export_csv(marts, "trends", str(tmp_path / "no"), limit=0)
+    exports.export_csv(marts, "cloud_carbon", str(tmp_path / "whole"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "whole")).count() == fact.count()
+
+
+def test_quotes_survive_a_standard_reader(spark, marts, tmp_path):
+    import csv
+
+    odd = 'a "quoted", x'
+    fact = marts["fact_cloud_carbon"].limit(1).withColumn("service_name", F.lit(odd))
+    exports.export_csv({"fact_cloud_carbon": fact}, "cloud_carbon", str(tmp_path / "csv"))
+    (file,) = (tmp_path / "csv").glob("*.csv")
+    with file.open(newline="") as lines:
+        assert [r["service_name"] for r in csv.DictReader(lines)] == [odd]
 
 
 def points(spark, *values):
@@ -115,7 +128,7 @@ def points(spark, *values):
     )
 
 
-def test_stream_hourly_late_data(spark, tmp_path):
+def test_stream_hourly_takes_late_points(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
 
     def load(*values):
@@ -124,28 +137,72 @@ def test_stream_hourly_late_data(spark, tmp_path):
         run_hourly(stream, out, checkpoint).awaitTermination()
 
     load(("PJM", "2024-01-01 00:05", 100.0), ("PJM", "2024-01-01 01:00", 300.0))
-    load(("PJM", "2024-01-01 00:10", 200.0), ("PJM", "2024-01-01 00:15", 0.0))  # late, in time
-    load(("PJM", "2024-01-01 05:00", 900.0))  # closes hours up to 03:00
-    load(("PJM", "2024-01-01 00:20", 999.0), ("PJM", "2024-01-01 09:00", 1.0))  # too late
-    table = spark.read.parquet(out)
-    got = rows(table, "timestamp_hour", "points", "carbon_intensity_gco2eq_per_kwh", "data_source")
-    assert got == [
-        (ts("2024-01-01 00:00"), 2, 150.0, "WattTime"),
-        (ts("2024-01-01 01:00"), 1, 300.0, "WattTime"),
-        (ts("2024-01-01 05:00"), 1, 900.0, "WattTime"),
+    load(("PJM", "2024-01-01 00:10", 200.0), ("PJM", "2024-01-01 00:15", 0.0))
+    load(("PJM", "2024-01-03 05:00", 900.0))
+    load(("PJM", "2024-01-01 00:20", 600.0), ("PJM", "2024-01-01 01:00", 400.0))  # days late, corrected
+    columns = ("timestamp_hour", "points", "carbon_intensity_gco2eq_per_kwh", "data_source")
+    assert rows(read_hours(spark, out), *columns) == [
+        (ts("2024-01-01 00:00"), 3, 300.0, "WattTime"),
+        (ts("2024-01-01 01:00"), 1, 400.0, "WattTime"),
+        (ts("2024-01-03 05:00"), 1, 900.0, "WattTime"),
     ]
 
 
-def test_stream_equals_batch_up_to_the_watermark(spark, sf, tmp_path):
+def test_stream_equals_batch(spark, sf, tmp_path):
     from cindergrid.operators import grid, staging
+    from cindergrid.operators.upsert import latest_per_key
 
     raw = testbed.moer_raw(spark, sf)
     stream = testbed.moer_raw_from(testbed.event_stream(spark, sf))
     run_hourly(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
-    closed = raw.agg((F.max("point_time") - F.expr("INTERVAL 3 HOURS")).alias("t")).first()[0]
-    batch = grid.moer_hourly(staging.stage_moer(raw)).where(F.col("timestamp_hour") <= closed)
+    batch = grid.moer_hourly(staging.stage_moer(latest_per_key(raw, ["ba", "point_time"])))
     columns = ("grid_region", "timestamp_hour", "percentile_rank")
-    assert rows(spark.read.parquet(str(tmp_path / "out")), *columns) == rows(batch, *columns)
+    assert rows(read_hours(spark, str(tmp_path / "out")), *columns) == rows(batch, *columns)
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_replay_after_a_removed_partition(spark, tmp_path, monkeypatch, streamed):
+    """The commit removes the old partition and dies; the staged copy is the only whole one."""
+    import shutil
+
+    from cindergrid.operators import upsert
+
+    source, path, checkpoint, staging = (str(tmp_path / n) for n in ("in", "table", "checkpoint", "staging"))
+    keys, by = ["ba", "point_time"], ["day"]
+
+    def day(df):
+        return df.withColumn("day", F.to_date("point_time"))
+
+    first = day(points(spark, ("PJM", "2024-01-01 00:05", 1.0), ("PJM", "2024-01-01 00:10", 2.0)))
+    batch = day(points(spark, ("PJM", "2024-01-01 00:05", 9.0)))
+
+    def merge(rows_in):
+        if streamed:
+            rows_in.coalesce(1).write.mode("append").parquet(source)
+            again()
+        else:
+            upsert.upsert_parquet(spark, path, rows_in, keys, by, staging=staging)
+
+    def again():
+        if streamed:
+            stream = spark.readStream.schema(first.schema).parquet(source)
+            run_upsert(stream, path, checkpoint, keys, by).awaitTermination()
+        else:
+            upsert.upsert_parquet(spark, path, batch, keys, by, staging=staging)
+
+    merge(first)
+
+    def die(*args):
+        shutil.rmtree(f"{path}/day=2024-01-01")
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(upsert, "move_in", die)
+        with pytest.raises(Exception, match="driver lost"):
+            merge(batch)
+    again()
+    assert rows(spark.read.schema(first.schema).parquet(path), "moer") == [(2.0,), (9.0,)]
+    assert not list(tmp_path.glob("*staging*/*"))  # nothing is left behind
 
 
 def test_stream_upsert_resumes(spark, tmp_path):
