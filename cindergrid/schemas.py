@@ -36,7 +36,7 @@ LANDED = {
 
 CORRUPT = "_corrupt_record"
 
-# Natural keys of the raw tables, used by the upsert.
+# Natural keys of the raw tables, used by the upsert.
 NATURAL_KEYS = {
     "gcp": ["project_id", "service_description", "location_region", "usage_month"],
     "aws": ["account_id", "service_name", "region", "usage_month"],
@@ -50,7 +50,7 @@ NATURAL_KEYS = {
 # feeds of hours, so that a late batch rewrites days and not months.
 RAW_PERIOD = "load_period"
 
-# Columns each table must have before dashboards may read it.
+# Columns each table must have before dashboards may read it.
 REQUIRED_COLUMNS = {
     "fact_grid_intensity": [
         "grid_region", "timestamp_hour", "carbon_intensity_gco2eq_per_kwh",

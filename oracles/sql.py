@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import re
 
-from cindergrid.operators.regions import ATTRIBUTES, region_rules
-from cindergrid.sources.seed import SEED_SCHEMA, seed_rows
 from cindergrid.sources.testbed import ZONES
+from oracles.expected import ATTRIBUTES, RULES, SEED, SEED_COLUMNS
 from oracles.precision import digits, shift
 
 
@@ -49,14 +48,14 @@ SUM_SCOPES = ", ".join(f"sum({s}) AS {s}" for s in SCOPES)
 
 _rule_rows = ",\n".join(
     "(" + ", ".join([str(i), text(code), *[text(values.get(a)) for a in ATTRIBUTES]]) + ")"
-    for i, (codes, values) in enumerate(region_rules())
+    for i, (codes, values) in enumerate(RULES)
     for code in codes
 )
 _first = "\n".join(
     f", arg_min(rule.{a}, rule.pos) FILTER (rule.{a} IS NOT NULL) AS {a}" for a in ATTRIBUTES
 )
-_seed_rows = ",\n".join("(" + ", ".join(text(v) for v in row) + ")" for row in seed_rows())
-_seed_names = ", ".join(part.split()[0] for part in SEED_SCHEMA.split(", "))
+_seed_rows = ",\n".join("(" + ", ".join(text(v) for v in row) + ")" for row in SEED)
+_seed_names = ", ".join(SEED_COLUMNS)
 
 
 def rollup(unit: str, period: str) -> str:
