@@ -106,7 +106,7 @@ add("export_csv_dump", """
 SELECT 'fact_cloud_carbon' AS table_name, count(*) AS row_count, count(DISTINCT id) AS key_count,
        avg(total_kgco2e) AS measure_mean FROM cloud_fact
 UNION ALL SELECT 'fact_grid_intensity', count(*), count(DISTINCT (grid_region, timestamp_hour, data_source)),
-       avg(carbon_intensity_gco2eq_per_kwh) FROM readings_fact
+       avg(grams) FROM readings_fact
 UNION ALL SELECT 'carbon_trends_monthly', count(*), count(DISTINCT (month, cloud_provider, account_id)),
        avg(total_kgco2e) FROM trends""", "measure_mean")
 for provider, key in (("GCP", "project_id"), ("AWS", "account_id"), ("Azure", "account_id")):
