@@ -22,7 +22,7 @@ HEADLINE = [
     "fact_cloud_carbon", "carbon_trends", "q_cloud", "q_cloud_summary", "d_scope_breakdown",
     "d_dc_emissions", "fact_grid_intensity", "grid_intensity_daily", "dim_grid_regions",
     "q_grid_current", "d_by_category", "datacenter_with_grid", "merge_upsert",
-    "ingest_grid_history", "dq_unique",
+    "ingest_grid_history", "dq_unique", "lookback_window", "incremental_since", "stream_upsert",
 ]
 
 

@@ -128,6 +128,17 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a completely written folder in place of another; the old one goes last."""
+    names = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path, f"{path}-old")]
+    files = names[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(names[2], True)
+    if files.exists(names[1]):
+        files.rename(names[1], names[2])
+    files.rename(names[0], names[1])
+    files.delete(names[2], True)
+
+
 def finish_pending(
     spark: SparkSession, path: str, staging: str, schema: T.StructType, partition_by: Sequence[str]
 ) -> bool:

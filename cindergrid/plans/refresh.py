@@ -129,6 +129,19 @@ def _load(
     return spark.read.schema(rows.schema).parquet(path), touched
 
 
+def load_export(
+    spark: SparkSession, paths: str | Sequence[str], raw_folder: str, min_month: date | None = None
+) -> DataFrame:
+    """Upsert the nested feed from its typed table export; returns the raw table."""
+    rows = normalise(landing.read_export(spark, paths, min_month), "gcp")
+    set_aside(spark, _as_text(rows.where(~keyed(rows, "gcp"))), f"{raw_folder}/quarantine/gcp")
+    upsert_parquet(
+        spark, f"{raw_folder}/gcp", rows.where(keyed(rows, "gcp")), NATURAL_KEYS["gcp"], [RAW_PERIOD],
+        staging=f"{raw_folder}/staging/gcp",
+    )
+    return spark.read.schema(rows.schema).parquet(f"{raw_folder}/gcp")
+
+
 def follow_feed(
     spark: SparkSession,
     feed: str,

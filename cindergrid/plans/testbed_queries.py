@@ -108,25 +108,26 @@ def ingest_moer(spark, sf):
     return feeds.normalise_moer(landed).drop("extracted_at")
 
 
-def _raw_feeds(spark: SparkSession, sf: str) -> dict[str, tuple[DataFrame, Column]]:
-    """Each raw table with the newest moment of its source as the clock."""
+def _feed_groups(spark: SparkSession, sf: str) -> list[tuple[DataFrame, list[str], Column]]:
+    """Raw rows with their ``feed``, feeds of one source in one pass, and the source's newest moment."""
     shipped = newest(spark, sf, "lineitem", "l_shipdate")
     seen = newest(spark, sf, "events", "ts")
-    return {
-        "gcp": (testbed.raw_gcp(spark, sf), shipped),
-        "aws": (testbed.raw_aws(spark, sf), shipped),
-        "azure": (testbed.raw_azure(spark, sf), shipped),
-        "ccf": (testbed.raw_ccf(spark, sf), shipped),
-        "grid": (testbed.grid_raw(spark, sf), seen),
-        "moer": (testbed.moer_raw(spark, sf), seen),
-    }
+    native = testbed.native_raw(spark, sf).withColumn("feed", F.lower("cloud_provider"))
+    alone = {"ccf": (testbed.raw_ccf(spark, sf), shipped), "grid": (testbed.grid_raw(spark, sf), seen), "moer": (testbed.moer_raw(spark, sf), seen)}
+    return [(native, ["gcp", "aws", "azure"], shipped)] + [
+        (rows.withColumn("feed", F.lit(feed)), [feed], now) for feed, (rows, now) in alone.items()
+    ]
 
 
-def _extent(rows: DataFrame, feed: str) -> DataFrame:
-    at = F.col(cursors.LOAD_WINDOWS[feed].cursor).cast("timestamp_ntz")
-    return rows.agg(
-        F.count("*").alias("record_count"), F.min(at).alias("first_at"), F.max(at).alias("last_at")
-    ).select(F.lit(feed).alias("feed"), "record_count", "first_at", "last_at")
+def _extents(rows: DataFrame, feeds_in: list[str], start: Callable[[str], Column], now: Column) -> DataFrame:
+    """Rows, first and last moment of each feed's window."""
+    inside = F.lit(False)
+    for feed in feeds_in:
+        inside = F.when(F.col("feed") == feed, cursors.in_window(feed, start(feed), now)).otherwise(inside)
+    at = F.when(inside, F.col(cursors.LOAD_WINDOWS[feeds_in[0]].cursor).cast("timestamp_ntz"))
+    return rows.groupBy("feed").agg(
+        F.count(at).alias("record_count"), F.min(at).alias("first_at"), F.max(at).alias("last_at")
+    )
 
 
 @query
@@ -134,8 +135,8 @@ def lookback_window(spark, sf):
     return reduce(
         DataFrame.unionByName,
         [
-            _extent(cursors.initial_load(raw, feed, now), feed)
-            for feed, (raw, now) in _raw_feeds(spark, sf).items()
+            _extents(rows, names, lambda feed, now=now: cursors.lookback_start(feed, now), now)
+            for rows, names, now in _feed_groups(spark, sf)
         ],
     )
 
@@ -144,12 +145,18 @@ def lookback_window(spark, sf):
 def incremental_since(spark, sf):
     """An earlier run had loaded all but the last 150 days (feeds of hours: the last 36 hours)."""
     extents = []
-    for feed, (raw, now) in _raw_feeds(spark, sf).items():
-        at = F.col(cursors.LOAD_WINDOWS[feed].cursor)
-        hourly = cursors.LOAD_WINDOWS[feed].unit == "hour"
-        back = F.expr("INTERVAL 36 HOURS" if hourly else "INTERVAL 150 DAYS")
-        loaded = raw.where(at <= now - back)
-        extents.append(_extent(cursors.incremental_since(raw, loaded, feed, now), feed))
+    for rows, names, now in _feed_groups(spark, sf):
+        rule = cursors.LOAD_WINDOWS[names[0]]
+        back = F.expr("INTERVAL 36 HOURS" if rule.unit == "hour" else "INTERVAL 150 DAYS")
+        at = F.col(rule.cursor)
+        marks = rows.groupBy("feed").agg(F.max(F.when(at <= now - back, at)).alias("mark"))
+        extents.append(_extents(
+            rows.join(marks, "feed"), names,
+            lambda feed, now=now: F.coalesce(
+                cursors.resume_start(feed, F.col("mark")), cursors.lookback_start(feed, now)
+            ),
+            now,
+        ))
     return reduce(DataFrame.unionByName, extents)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from cindergrid.functions.time import stamped
 from cindergrid.operators import emissions, grid, regions, staging
-from cindergrid.operators.upsert import write_partitioned
+from cindergrid.operators.upsert import replace_folder, write_partitioned
 from cindergrid.sources import seed
 from cindergrid.sources.cursors import from_month
 
@@ -44,13 +44,20 @@ def build_grid_fact(raw: Mapping[str, DataFrame]) -> DataFrame:
 def store(
     spark: SparkSession, table: DataFrame, folder: str, name: str, replace_all: bool = True
 ) -> DataFrame:
-    """Write a mart and return it read back, so later marts scan columns, not lineage."""
-    path = f"{folder}/{name}"
+    """Write a mart and return it read back, so later marts scan columns, not lineage.
+
+    A mart that is replaced as a whole is written beside the old one, which stays until then.
+    """
+    path, fresh = f"{folder}/{name}", f"{folder}/{name}-next"
     table = stamped(table)
-    if name in PARTITIONED_BY:
-        write_partitioned(table, path, PARTITIONED_BY[name], replace_all)
+    if name in PARTITIONED_BY and not replace_all:
+        write_partitioned(table, path, PARTITIONED_BY[name])
     else:
-        table.write.mode("overwrite").parquet(path)
+        if name in PARTITIONED_BY:
+            write_partitioned(table, fresh, PARTITIONED_BY[name], replace_all=True)
+        else:
+            table.write.mode("overwrite").parquet(fresh)
+        replace_folder(spark, fresh, path)
     return spark.read.schema(table.schema).parquet(path).select(*table.columns)
 
 

@@ -68,8 +68,8 @@ def resume_start(feed: str, last: Column) -> Column:
     return F.date_add(last, 1)
 
 
-def within_window(rows: DataFrame, feed: str, start: Column, as_of: Column) -> DataFrame:
-    """Rows from ``start`` up to ``as_of``; plain comparisons, so they reach the scan."""
+def in_window(feed: str, start: Column, as_of: Column) -> Column:
+    """Whether a row lies between ``start`` and ``as_of``; plain comparisons, so they reach the scan."""
     rule = LOAD_WINDOWS[feed]
     at = F.col(rule.cursor)
     if not rule.open_month:
@@ -78,7 +78,11 @@ def within_window(rows: DataFrame, feed: str, start: Column, as_of: Column) -> D
         end = at <= as_of.cast("timestamp_ntz")
     else:
         end = at <= as_of.cast("date")
-    return rows.where((at >= start) & end)
+    return (at >= start) & end
+
+
+def within_window(rows: DataFrame, feed: str, start: Column, as_of: Column) -> DataFrame:
+    return rows.where(in_window(feed, start, as_of))
 
 
 def initial_load(rows: DataFrame, feed: str, as_of: Column, lookback: int | None = None) -> DataFrame:
@@ -88,7 +92,8 @@ def initial_load(rows: DataFrame, feed: str, as_of: Column, lookback: int | None
 def incremental_since(
     rows: DataFrame, loaded: DataFrame, feed: str, as_of: Column, lookback: int | None = None
 ) -> DataFrame:
-    """What a run must still load: after the target's own maximum, or the first-load window.
+    """What a request to the provider must still ask for: after the target's own maximum, or the
+    first-load window. Landed files are loaded whole, see ``plans.refresh``.
 
     The mark is a scalar subquery over the target, so nothing is collected and the stored
     state can never disagree with the table.

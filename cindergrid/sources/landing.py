@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,12 @@ def read_landing(
     return parse_landing(_filled(reader.text(paths)), feed)
 
 
+def read_export(spark: SparkSession, paths: str | Sequence[str], min_month: date | None = None) -> DataFrame:
+    """The typed table export of the nested feed, from ``min_month`` on; the bound reaches the scan."""
+    rows = spark.read.schema(LANDED["gcp"]).parquet(*([paths] if isinstance(paths, str) else paths))
+    return rows if min_month is None else rows.where(F.col("usage_month") >= F.lit(min_month))
+
+
 def stream_landing(spark: SparkSession, feed: str, path: str) -> DataFrame:
     """The same records as a stream; the query's checkpoint is the load cursor."""
     return parse_landing(_filled(spark.readStream.text(path)), feed)

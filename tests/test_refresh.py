@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows, ts
+from conftest import plan, rows, ts
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -245,3 +245,19 @@ def test_only_new_files_are_read(spark, tmp_path):
 def test_absent_path_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException):
         landing.read_landing(spark, "moer", str(tmp_path / "nothing")).count()
+
+
+def test_typed_export_with_a_month_bound(spark, sf, tmp_path):
+    from datetime import date
+
+    from cindergrid.schemas import LANDED
+    from cindergrid.sources import testbed
+
+    path = str(tmp_path / "export")
+    testbed.landed_gcp(spark, sf).select(*spark.createDataFrame([], LANDED["gcp"]).columns).write.parquet(path)
+    export = landing.read_export(spark, path, date(2000, 1, 1))
+    assert "PushedFilters: [IsNotNull(usage_month), GreaterThanOrEqual(usage_month,2000-01-01)]" in plan(export)
+    table = refresh.load_export(spark, path, str(tmp_path / "raw"), date(2000, 1, 1))
+    keys = ("project_id", "service_description", "location_region", "usage_month")
+    assert table.count() == export.select("project.id", "service.description", "location.region", "usage_month").distinct().count()
+    assert rows(table.agg(F.min("usage_month").alias("m")))[0][0] >= date(2000, 1, 1) and set(keys) <= set(table.columns)

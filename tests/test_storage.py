@@ -111,6 +111,16 @@ def test_exports(spark, marts, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "whole")).count() == fact.count()
 
 
+def test_a_failed_build_keeps_the_old_mart(spark, tmp_path):
+    old = warehouse.store(spark, spark.range(3), str(tmp_path), "numbers")
+    assert old.count() == 3
+    with pytest.raises(Exception, match="broken"):
+        warehouse.store(spark, spark.range(5).select(F.raise_error(F.lit("broken")).alias("id")), str(tmp_path), "numbers")
+    assert spark.read.parquet(str(tmp_path / "numbers")).count() == 3
+    assert warehouse.store(spark, spark.range(4), str(tmp_path), "numbers").count() == 4
+    assert [p.name for p in tmp_path.iterdir()] == ["numbers"]
+
+
 def test_quotes_survive_a_standard_reader(spark, marts, tmp_path):
     import csv
 
