@@ -325,13 +325,14 @@ def _linked(tree: PrefixTree, ids: np.ndarray) -> pa.Table:
 
 
 def _within(block: pa.Table) -> pa.Table:
-    """Links that connect the sets of one block."""
+    """Every set ``a`` of one block with the one ``b`` that stands for what it is connected to there."""
     ids, sizes, ranks, n = _ranked(block)
     tree = PrefixTree(sizes, ranks, n)
     for x in np.argsort(sizes, kind="stable").tolist():
         tree.probe(x)
         tree.add(x)
-    return _linked(tree, ids)
+    roots = [int(ids[tree.root(x)]) for x in range(len(ids))]
+    return pa.table([pa.array(ids, pa.int64()), pa.array(roots, pa.int64())], names=["a", "b"])
 
 
 def _across(block: pa.Table) -> pa.Table:
@@ -381,16 +382,15 @@ def similar_sets(docs: DataFrame, n_sets: int, n_shingles: int, text: str = "tex
     near = stored(members.select("family", "block", "set_id", "n", "tokens").groupBy("family", "block").applyInArrow(_within, pair), "ngram-links")
     large = members.where("blocks > 1")
     if large.isEmpty():
-        return near
-    so_far = components(near, "ngram-known").select(F.col("node").alias("set_id"), F.col("component").alias("known"))
-    large = large.join(so_far, "set_id", "left").withColumn("known", F.coalesce("known", "set_id"))
+        return near.where("a <> b")
+    large = large.join(near.select(F.col("a").alias("set_id"), F.col("b").alias("known")), "set_id")
     # Each set meets every other block of its family once, as the lower or the upper block of the pair.
     paired = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> block")
     paired = paired.withColumns(
         {"low": F.col("block") < F.col("other"), "i": F.least("block", "other"), "j": F.greatest("block", "other")}
     )
     far = paired.select("family", "i", "j", "set_id", "n", "tokens", "known", "low").groupBy("family", "i", "j").applyInArrow(_across, pair)
-    return near.unionByName(stored(far, "ngram-links"))
+    return near.where("a <> b").unionByName(stored(far, "ngram-links"))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

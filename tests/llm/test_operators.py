@@ -25,6 +25,8 @@ def test_components_of_chains_rings_and_stars(spark):
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {**{k: 1 for k in range(1, 41)}, **{k: 100 for k in range(100, 160)}, 200: 200, 201: 200, 202: 200}
     assert got == want
+    spread = spark.createDataFrame(edges, "a long, b long").repartition(8)
+    assert {r["node"]: r["component"] for r in components.components(spread, task_edges=20).collect()} == want
 
 
 def test_blocks_of_a_large_family_give_the_same_components(spark, monkeypatch):
