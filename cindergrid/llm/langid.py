@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cindergrid.llm.words import raw_bytes, slices
+from cindergrid.session import work_folder
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -172,6 +173,10 @@ def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str, per_langua
     best = keyed.withColumn("place", F.row_number().over(slot)).where(F.col("place") <= per_language)
     per = Window.partitionBy("lang").orderBy("lot", "h")
     best = best.withColumn("place", F.row_number().over(per)).where(F.col("place") <= per_language).select("lot", "lang").distinct()
+    # Stored, its size is known: Spark broadcasts it if it is small, and the texts stay where they are.
+    path = work_folder(docs.sparkSession, "language-sample")
+    best.write.parquet(path)
+    best = docs.sparkSession.read.parquet(path)
     texts = labelled.select(F.xxhash64(F.col(doc_id).cast("string"), text).alias("lot"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     return texts.join(best, ["lot", "lang"], "left_semi").select("lot", "text", "lang")
 
