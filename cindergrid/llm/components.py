@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cindergrid.llm.words import importable
 from cindergrid.session import work_folder
 
 #: Edges that one task reduces; some 200 bytes each while it does.
@@ -67,6 +68,7 @@ def components(edges: DataFrame, label: str = "components", task_edges: int = TA
     one task has them all; else the rounds join the forests.
     """
     spark = edges.sparkSession
+    importable(spark)
 
     def stored(rows: DataFrame) -> DataFrame:
         path = work_folder(spark, label)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cindergrid.llm.words import Original, folded, n_words, raw_bytes, with_columns
+from cindergrid.llm.words import Original, folded, importable, n_words, raw_bytes, with_columns
 from cindergrid.session import work_folder
 
 WINDOW = 10
@@ -159,6 +159,7 @@ def scan(
 ) -> DataFrame:
     """``docs`` with ``__n_words``, ``__spans`` (merged runs of hit words) and ``__items`` (sorted)."""
     spark = docs.sparkSession
+    importable(spark)
     path = work_folder(spark, "benchmark-windows")
     benchmark_windows(items, item_id, item_text, window).write.parquet(path)
     windows = spark.read.parquet(path)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cindergrid.llm.words import raw_bytes, slices
+from cindergrid.llm.words import importable, raw_bytes, slices
 from cindergrid.session import work_folder
 
 WINDOW = 256
@@ -199,6 +199,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
             kinds = [pa.int64(), pa.string(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["lot", "lang", "k", "bytes"])
 
+    importable(docs.sparkSession)
     rows = training_rows(docs, doc_id, text, lang).mapInArrow(some_windows, "lot long, lang string, k int, bytes binary").collect()
     if not rows:
         return None
@@ -215,6 +216,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 def predict(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``doc_id, lang_pred, score``."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

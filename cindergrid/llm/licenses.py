@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cindergrid.llm.words import Original, folded, n_words, raw_bytes
+from cindergrid.llm.words import Original, folded, importable, n_words, raw_bytes
 
 # The base phrases and their labels.
 PHRASES = {
@@ -153,6 +153,7 @@ _finders: dict[tuple, Finder] = {}
 
 def find_notices(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", notices: dict[str, str] | None = None) -> DataFrame:
     """Per row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, spans``; spans in code points."""
+    importable(docs.sparkSession)
     wanted = dict(NOTICES if notices is None else notices)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType([rows.schema["doc_id"], *SCHEMA.fields])

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from cindergrid.llm.blocks import planes, unplaned
 from cindergrid.llm.components import components
 from cindergrid.llm.shingles import set_id, shingle_sets
-from cindergrid.llm.words import raw_bytes, slices
+from cindergrid.llm.words import importable, raw_bytes, slices
 from cindergrid.session import work_folder
 
 #: Similar: 9 * overlap >= 4 * (size + size), which is Jaccard 0.8.
@@ -396,6 +396,7 @@ def similar_sets(docs: DataFrame, n_sets: int, n_shingles: int, text: str = "tex
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row ``doc_id, n_shingles, component_id`` (the least doc_id connected by similarity) and ``set_id``."""
     spark = docs.sparkSession
+    importable(spark)
     path = work_folder(spark, "ngram-shingled")
     shingled(docs, doc_id, text).write.parquet(path)
     rows = spark.read.parquet(path)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cindergrid.llm.blocks import BLOCK, packed, rows_of, unpacked
 from cindergrid.llm.shingles import mixed, powers
-from cindergrid.llm.words import raw_bytes, slices
+from cindergrid.llm.words import importable, raw_bytes, slices
 from cindergrid.session import work_folder
 
 LENGTH = 50
@@ -320,6 +320,7 @@ def _third_pass(docs: DataFrame, keep_bytes: bool) -> DataFrame:
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_bytes: bool = True) -> DataFrame:
     """Per row ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the ``kept`` bytes if asked for."""
     spark = docs.sparkSession
+    importable(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def stored(found: DataFrame) -> DataFrame:

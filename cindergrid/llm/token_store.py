@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cindergrid.llm.words import slices
+from cindergrid.llm.words import importable, slices
 
 END_ID = 2
 #: A segment is closed once it has as many ids; a single longer document is a segment of its own.
@@ -192,6 +192,7 @@ def write_tokens(
 ) -> None:
     """Encodes every text and writes segments and directory below ``path``, in ascending doc_id order."""
     spark = docs.sparkSession
+    importable(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     with open(tokenizer_path, encoding="utf-8") as file:
@@ -252,6 +253,7 @@ def write_tokens(
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Per document: ``doc_id, start, n_tokens, ids_crc32``, from the files alone."""
+    importable(spark)
     segments = spark.read.parquet(f"{path}/segments").join(spark.read.parquet(f"{path}/directory"), ["part", "seq"])
     rows = segments.select("doc_ids", "payload", "start")
     id_type = rows.schema["doc_ids"].dataType.elementType.simpleString()
@@ -272,6 +274,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Per document its ids: ``doc_id, ids array<long>``."""
+    importable(spark)
     rows = spark.read.parquet(f"{path}/segments").select("doc_ids", "payload")
     id_type = rows.schema["doc_ids"].dataType.elementType.simpleString()
 

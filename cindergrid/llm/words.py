@@ -6,16 +6,30 @@ a letter to a space. So byte offsets in folded and original text agree.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark.sql import SparkSession
 
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz")
 FOLD = bytes((b + 32 if 65 <= b <= 90 else b if b >= 128 or b in _KEEP else 32) for b in range(256))
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that see this checkout import the package, wherever the driver was started.
+
+    On machines that don't see it, the package must be installed or sent along (``--py-files``).
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def raw_bytes(column: pa.Array) -> list[bytes | None]:
     """A string column as UTF-8 bytes, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
