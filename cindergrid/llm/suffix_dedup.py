@@ -8,7 +8,8 @@ document with a smaller id, judged on the input. Texts are UTF-8 bytes; passages
    bytes into the next one. Equal phrases are one entry of the dictionary, owned by the least document.
    In highly repetitive text most phrases are owned by someone else: all their passages go at once.
 2. Anchors. The least hash of the ``GRAM``-byte strings in a passage depends on the passage alone, so two
-   equal passages have the same anchor. Only anchors of two documents or more lead on.
+   equal passages have the same anchor. Only anchors in two different phrases or more lead on: what
+   lies within equal phrases is settled by step 1.
 3. Dictionary order. The suffixes of owned phrases that begin with a shared anchor's passage are sorted by
    the names of their first ``LENGTH`` bytes (two rolling hashes, 96 bits), and each group of equals gets its
    least owner. Parse and dictionary combine: a document loses the passages of phrases it doesn't
@@ -24,12 +25,13 @@ a NULL id neither loses nor takes; rows that share an id never count as earlier
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cindergrid.llm.blocks import BLOCK, packed, rows_of, unpacked
@@ -133,23 +135,27 @@ PHRASES, ANCHORS, PASSAGES = 0, 1, 2
 
 
 def _least(kind: int, key: np.ndarray, extra: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(answered, sent): places of ``key`` whose question is answered here, and one place per key to pass on.
+    """(answered, sent): places of ``key`` whose question is answered here, and those to pass on.
 
-    A phrase or passage is answered for every document above the least; an anchor for all documents once
-    there are two. Places are of the distinct (key, extra, document), in that order.
+    A phrase or passage is answered for every document above the least, and the least goes on. An anchor
+    (``extra`` names the phrase it stands in) is answered, for the least document of each phrase, once there
+    are two phrases; two of them go on, which is enough to tell everyone else.
     """
     order = np.lexsort((doc, extra, key))
     k, e, d = key[order], extra[order], doc[order]
-    new_key = np.concatenate([[True], (k[1:] != k[:-1]) | (e[1:] != e[:-1])]) if len(k) else np.zeros(0, bool)
-    new = new_key.copy()
-    if len(k):
-        new[1:] |= d[1:] != d[:-1]
-    order, new_key = order[new], new_key[new]
+    if not len(k):
+        return order, order
+    new_key = np.concatenate([[True], k[1:] != k[:-1]])
+    new_pair = new_key.copy()
+    new_pair[1:] |= e[1:] != e[:-1]
     if kind != ANCHORS:
-        return order[~new_key], order[new_key]
-    group = np.cumsum(new_key) - 1
-    several = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
-    return order[several], order[new_key]
+        new = new_pair.copy()
+        new[1:] |= d[1:] != d[:-1]
+        return order[new & ~new_pair], order[new_pair]
+    order, first = order[new_pair], np.flatnonzero(new_key[new_pair])
+    sizes = np.diff(np.append(first, len(order)))
+    place = np.arange(len(order)) - np.repeat(first, sizes)
+    return order[np.repeat(sizes, sizes) > 1], order[place < 2]
 
 
 def _questions(kind: int, key: np.ndarray, extra: np.ndarray, doc: np.ndarray, n_buckets: int) -> Iterator[tuple]:
@@ -219,10 +225,11 @@ def _first_pass(docs: DataFrame, n_buckets: int) -> DataFrame:
                 doc = parsed.doc()
                 first, a, b = parsed.phrases()
                 out = list(_questions(PHRASES, a, b, doc[first], n_buckets))
-                anchors = parsed.anchors()
-                new = np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (doc[1:] != doc[:-1])])
-                anchors = anchors[new] & np.uint64((1 << 48) - 1)
-                out += list(_questions(ANCHORS, anchors, np.zeros(len(anchors), np.uint64), doc[new], n_buckets))
+                anchors = parsed.anchors() & np.uint64((1 << 48) - 1)
+                new = np.concatenate([[True], anchors[1:] != anchors[:-1]])
+                new[first] = True
+                phrase = a[np.searchsorted(first, np.flatnonzero(new), side="right") - 1] & np.uint64(0xFFFFFFFF)
+                out += list(_questions(ANCHORS, anchors[new], phrase, doc[new], n_buckets))
                 yield from rows_of(out).to_batches()
 
     return docs.mapInArrow(run, BLOCK)
@@ -317,6 +324,12 @@ def _third_pass(docs: DataFrame, keep_bytes: bool) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id long, {RESULT}")
 
 
+def _free(spark: SparkSession) -> None:
+    """Shuffle files of a finished job stay on disk until the driver collects its garbage: do it now."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_bytes: bool = True) -> DataFrame:
     """Per row ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the ``kept`` bytes if asked for."""
     spark = docs.sparkSession
@@ -334,9 +347,11 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_byte
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n_buckets = max(1, -(-int(total) // (BUCKET_ROWS * 12)))
     found = stored(_exchange(_first_pass(rows, n_buckets), n_buckets))
+    _free(spark)
     phrases, anchors = of(found, PHRASES, "phrases"), of(found, ANCHORS, "anchors")
     asked = rows.join(anchors.join(phrases, "doc_id", "left"), "doc_id").select("doc_id", "text", "phrases", "anchors")
     passages = of(stored(_exchange(_second_pass(asked, n_buckets), n_buckets)), PASSAGES, "passages")
+    _free(spark)
     lost = phrases.join(passages, "doc_id", "full_outer")
     out = _third_pass(rows.join(lost, "doc_id", "left").select("doc_id", "text", "phrases", "passages"), keep_bytes)
     return out if keep_bytes else out.drop("kept")
