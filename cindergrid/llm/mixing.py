@@ -6,9 +6,15 @@ The mix has about ``BLOCKS`` blocks of equal tokens. The highest quotients ``tar
 each source its integer quota, the same rule hands a source's quota to its shards, and a shard's
 seeded order of blocks says which of them are taken, whole passes first.
 
+A source of fewer than ``SHARD_BLOCKS`` of these blocks, by its size or its target, has blocks of its own:
+a ``SHARD_BLOCKS``-th of the lesser of the two, at least one word. Its quota is its target in such blocks, rounded
+(the same rule with the divisor of exact shares); the others deal the tokens that are left among them. So
+no source is lost for being small beside the corpus, however many there are.
+
 Shards are cut by a hash of the document and hold about ``SHARD_BLOCKS`` blocks, so a source with a
 third of all rows is many shards. The windows that are not per shard run over one row per source or
-over at most ``BLOCKS`` quotients more than there are sources or shards, never over documents.
+over at most ``BLOCKS`` quotients more than there are sources or shards, never over documents. Finer blocks
+add fewer than some hundred per source.
 
 Defined results: a NULL text has size 0 and nothing taken; NULL is a source of its own; repeated
 rows are mixed as rows of their own; an empty table gives an empty mix. No document is taken more
@@ -84,14 +90,22 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         F.col(source).alias("source"),
         F.size(words_of(F.col(text))).cast("long").alias("size"),
     )
-    targets = source_targets(sized).withColumn(
-        "block", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total") / F.lit(blocks)).cast("long"))
-    )
-    targets = targets.withColumn("seats", F.round(F.col("total") / F.col("block")).cast("long"))
+    common = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total") / F.lit(blocks)).cast("long"))
+    own = F.floor(F.least(F.col("source_size"), F.col("target")) / SHARD_BLOCKS).cast("long")
+    targets = source_targets(sized).withColumn("common", common)
+    targets = targets.withColumn("block", F.greatest(F.lit(1).cast("long"), F.least("common", own)))
+    everyone = targets.withColumn("fine", F.col("block") < F.col("common"))
+    # Blocks of a fine source hold source_size / ceil(source_size / block) words, as its last one is shorter.
+    in_own = F.round(F.col("target") * F.ceil(F.col("source_size") / F.col("block")) / F.col("source_size")).cast("long")
+    fine = everyone.where("fine").select("source_id", in_own.alias("quota"))
+    apart = everyone.agg(F.coalesce(F.sum(F.when(F.col("fine"), F.col("target"))), F.lit(0.0)).alias("apart"))
+    dealt = everyone.where("NOT fine").crossJoin(F.broadcast(apart))
+    dealt = dealt.withColumn("seats", F.round((F.col("total") - F.col("apart")) / F.col("block")).cast("long"))
     share = F.floor(F.col("target") / F.col("block")) + 2
-    everyone = targets.select("source_id", "source", "source_size", "target", "block", "seats")
-    quotas = _seats(everyone.select("source_id", "target", "block", "seats"), [], "target", F.col("seats"), share)
-    sources = everyone.join(quotas.select("source_id", F.col("quota").alias("source_quota")), "source_id", "left").withColumn(
+    quotas = _seats(dealt.select("source_id", "target", "block", "seats"), [], "target", F.col("seats"), share)
+    quotas = quotas.select("source_id", "quota").unionByName(fine).withColumnRenamed("quota", "source_quota")
+    everyone = everyone.select("source_id", "source", "source_size", "target", "block")
+    sources = everyone.join(quotas, "source_id", "left").withColumn(
         "n_shards", F.greatest(F.lit(1).cast("long"), F.floor(F.col("source_size") / (SHARD_BLOCKS * F.col("block"))).cast("long"))
     )
     rows = sized.join(sources.withColumnRenamed("source", "its_source"), F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")

@@ -213,6 +213,38 @@ def test_capped_targets_share_their_excess(spark):
     assert sum(got.values()) == pytest.approx(2510)
 
 
+def test_tiny_sources_beside_a_huge_one_get_their_targets(spark):
+    """A block of the whole corpus is 250 words; most sources have fewer, one is a little over a block."""
+    words = lambda n: " ".join(["w"] * n)
+    docs = [(k, words(500), "m-huge") for k in range(500)]
+    tiny = {f"a{k:02}": n for k, n in enumerate([1, 2, 3, 5, 9, 14, 31, 33, 64, 95, 100, 130, 260, 700])}
+    for name, n in tiny.items():
+        docs += [(1000 * len(docs) + k, words(n // 3 + (k < n % 3)), name) for k in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)
+    taken, target = Counter(), {}
+    for r in mixing.mix(df, blocks=1000).collect():
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+    assert all(target[name] == 3 * n for name, n in tiny.items())
+    assert {name: taken[name] for name in tiny} == {name: 3 * n for name, n in tiny.items()}
+    assert taken["m-huge"] == pytest.approx(target["m-huge"], rel=0.02)
+
+
+def test_more_sources_than_blocks(spark):
+    """A hundred equal sources, eight blocks and a large source that is wanted for a small part."""
+    docs = [(10 * s + k, "w " * 40, f"s{s:03}") for s in range(101) for k in range(10)]
+    docs += [(10_000 + k, "w " * 400, "z") for k in range(1000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)
+    taken, target = Counter(), {}
+    for r in mixing.mix(df, blocks=8).collect():
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert len(taken) == 102
+    for name, n in taken.items():
+        assert n == pytest.approx(target[name], rel=0.05)
+
+
 def test_network_gradients():
     rng = np.random.default_rng(0)
     net = langid.Network(["x", "y", "z"])
