@@ -8,14 +8,16 @@
    similar sets are always in one family.
 4. A family's sets are stored in a trie, most frequent shingle first. A probe walks the trie with the
    overlap so far, shared by all sets below a node, and leaves a subtree once the shingles that remain
-   cannot reach the overlap that the smallest set below needs, or once all sets below are already
-   connected to it. Each link found is exact; links that only repeat a connection are not needed.
-5. Components over the links; every document gets the least document of its component.
+   cannot reach the overlap that the smallest set below needs, or once the overlap is enough for the largest
+   set below, which links all of them. Every link is found, exactly and once, and counted for both sets;
+   only links that join two components are written.
+5. Components over the links; every document gets the least document of its component, and its number of links,
+   sets counted by their rows.
 
 Skew. A shingle of a hundredth of all sets is heavy: heavy ones are found by local counts, ordered last,
 and kept out of the buckets (this order decides speed, never results). Large families are cut into
-blocks of bounded size; blocks are joined with themselves first, then in pairs, with what is
-known to be connected skipped as whole subtrees. Nothing is dropped, capped or sampled.
+blocks of bounded size; blocks are joined with themselves first, then in pairs, so the work on a family
+grows with its links. Nothing is dropped, capped or sampled.
 
 Defined results: a NULL, empty or blank text has no shingles, size 0 and is its own component; NULL ids
 take part, but never name a component unless all of its ids are NULL; repeated rows share one set.
@@ -211,7 +213,7 @@ def _ordered(shared: DataFrame) -> DataFrame:
 
 
 class _Node:
-    __slots__ = ("run", "children", "sets", "rest", "least", "most", "one")
+    __slots__ = ("run", "children", "sets", "rest", "least", "most", "one", "weight", "hits")
 
     def __init__(self, run: np.ndarray):
         self.run = run  # shingles on the way into this node
@@ -220,14 +222,23 @@ class _Node:
         self.rest = 0  # most shingles below
         self.least, self.most = 1 << 62, 0  # sizes of the sets below
         self.one: int | None = None  # a set below, if all below are known to be connected
+        self.weight = 0  # rows of the sets below
+        self.hits = 0  # rows linked to every set below
 
 
 class PrefixTree:
-    """A trie of ordered shingle sets with union-find over its sets."""
+    """A trie of ordered shingle sets with union-find over its sets and the links of each set.
 
-    def __init__(self, sizes: np.ndarray, ranks: list[np.ndarray], n_ranks: int, parents: np.ndarray | None = None):
+    ``weights`` are the rows that share a set; ``links`` are only those that joined two components.
+    """
+
+    def __init__(
+        self, sizes: np.ndarray, ranks: list[np.ndarray], n_ranks: int, parents: np.ndarray | None = None, weights: np.ndarray | None = None
+    ):
         self.sizes, self.ranks = sizes.tolist(), ranks
         self.parents = list(range(len(sizes))) if parents is None else parents.tolist()
+        self.weights = [1] * len(sizes) if weights is None else weights.tolist()
+        self.found = [0] * len(sizes)
         self.has = np.zeros(n_ranks, bool)
         self.top = _Node(np.zeros(0, np.int32))
         self.links: list[tuple[int, int]] = []
@@ -245,6 +256,8 @@ class PrefixTree:
             fresh = node.most == 0
             node.rest = max(node.rest, len(left))
             node.least, node.most = min(node.least, self.sizes[x]), max(node.most, self.sizes[x])
+            node.weight += self.weights[x]
+            self.found[x] -= node.hits  # these came before
             if fresh:
                 node.one = x
             elif node.one is not None and self.root(node.one) != mine:
@@ -256,7 +269,7 @@ class PrefixTree:
             if child is None:
                 child = node.children[int(left[0])] = _Node(left)
                 child.least = child.most = self.sizes[x]
-                child.sets, child.one = [x], x
+                child.sets, child.one, child.weight = [x], x, self.weights[x]
                 return
             n = min(len(left), len(child.run))
             differ = np.flatnonzero(left[:n] != child.run[:n])
@@ -264,28 +277,40 @@ class PrefixTree:
             if same < len(child.run):  # cut the way into two
                 upper = _Node(child.run[:same])
                 upper.rest = child.rest + len(child.run) - same
-                upper.least, upper.most, upper.one = child.least, child.most, child.one
+                upper.least, upper.most, upper.one, upper.weight = child.least, child.most, child.one, child.weight
                 child.run = child.run[same:]
                 upper.children[int(child.run[0])] = child
                 node.children[int(left[0])] = upper
                 child = upper
             node, left = child, left[same:]
 
+    def _connect(self, x: int, y: int) -> None:
+        a, b = self.root(x), self.root(y)
+        if a != b:
+            self.links.append((x, y))
+            self.parents[a] = b
+
+    def _connect_all(self, x: int, node: _Node) -> None:
+        """Connects x to every set below a node."""
+        stack = [node]
+        while stack:
+            below = stack.pop()
+            if below.one is not None:
+                self._connect(x, below.one)
+                continue
+            for y in below.sets:
+                self._connect(x, y)
+            stack.extend(below.children.values())
+            below.one = x
+
     def probe(self, x: int) -> None:
-        """Connects x to every component that has a set similar to it."""
-        mine, size = self.ranks[x], self.sizes[x]
+        """Counts every link of x to a set of the trie, on both sides, and connects x to their components."""
+        mine, size, weight = self.ranks[x], self.sizes[x], self.weights[x]
         self.has[mine] = True
-        stack: list[tuple[_Node, int, bool]] = [(self.top, 0, False)]
+        stack: list[tuple[_Node, int]] = [(self.top, 0)]
         while stack:
-            node, overlap, left = stack.pop()
-            if left:  # all below visited: is it one component by now?
-                roots = {self.root(s) for s in node.sets[:1]} | {-1 if c.one is None else self.root(c.one) for c in node.children.values()}
-                if len(roots) == 1 and -1 not in roots and len({self.root(s) for s in node.sets} | roots) == 1:
-                    node.one = next(iter(roots))
-                continue
-            if not node.most or node.one is not None and self.root(node.one) == self.root(x):
-                continue
-            if 5 * node.most < 4 * size or 4 * node.least > 5 * size:
+            node, overlap = stack.pop()
+            if not node.most or 5 * node.most < 4 * size or 4 * node.least > 5 * size:
                 continue
             if len(node.run):
                 overlap += int(np.count_nonzero(self.has[node.run]))
@@ -295,16 +320,31 @@ class PrefixTree:
             needed = NUMERATOR * (size + max(node.least, (4 * size + 4) // 5))
             if DENOMINATOR * (overlap + min(behind, node.rest)) < needed:
                 continue
+            if DENOMINATOR * overlap >= NUMERATOR * (size + node.most):  # similar to all below, whatever follows
+                self.found[x] += node.weight
+                node.hits += weight
+                self._connect_all(x, node)
+                continue
             for y in node.sets:
-                if DENOMINATOR * overlap >= NUMERATOR * (size + self.sizes[y]) and self.root(x) != self.root(y):
-                    self.links.append((x, y))
-                    self.parents[self.root(x)] = self.root(y)
-            if node.children:
-                stack.append((node, 0, True))
-                likely = sorted(node.children.items(), key=lambda c: bool(self.has[c[0]]))
-                stack.extend((child, overlap, False) for _, child in likely)
+                if DENOMINATOR * overlap >= NUMERATOR * (size + self.sizes[y]):
+                    self.found[x] += self.weights[y]
+                    self.found[y] += weight
+                    self._connect(x, y)
+            stack.extend((child, overlap) for child in node.children.values())
         self.has[mine] = False
 
+    def n_links(self) -> list[int]:
+        """Per set the rows of other sets that the probes found similar to it."""
+        out = list(self.found)
+        stack = [(self.top, 0)]
+        while stack:
+            node, hits = stack.pop()
+            hits += node.hits
+            for y in node.sets:
+                out[y] += hits
+            stack.extend((child, hits) for child in node.children.values())
+        return out
+
 
 def _ranked(block: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], int]:
     """Sets, sizes and shingles as ranks, the most frequent of the block first."""
@@ -318,35 +358,33 @@ def _ranked(block: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray],
     return ids, sizes, [np.sort(ranked[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)], len(tokens)
 
 
-def _linked(tree: PrefixTree, ids: np.ndarray) -> pa.Table:
-    a = [int(ids[x]) for x, _ in tree.links]
-    b = [int(ids[y]) for _, y in tree.links]
-    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
 def _within(block: pa.Table) -> pa.Table:
-    """Every set ``a`` of one block with the one ``b`` that stands for what it is connected to there."""
+    """Every set ``a`` of one block with the one ``b`` that stands for what it is connected to there, and its links."""
     ids, sizes, ranks, n = _ranked(block)
-    tree = PrefixTree(sizes, ranks, n)
+    tree = PrefixTree(sizes, ranks, n, weights=np.array(block["copies"].to_pylist(), np.int64))
     for x in np.argsort(sizes, kind="stable").tolist():
         tree.probe(x)
         tree.add(x)
     roots = [int(ids[tree.root(x)]) for x in range(len(ids))]
-    return pa.table([pa.array(ids, pa.int64()), pa.array(roots, pa.int64())], names=["a", "b"])
+    columns = [pa.array(ids, pa.int64()), pa.array(roots, pa.int64()), pa.array(tree.n_links(), pa.int64())]
+    return pa.table(columns, names=["a", "b", "n_links"])
 
 
 def _across(block: pa.Table) -> pa.Table:
-    """Links between two blocks of a family; ``known`` names what is connected already."""
+    """Links between two blocks of a family that connect what ``known`` does not; (a, a, n_links) counts all of them."""
     ids, sizes, ranks, n = _ranked(block)
     known = np.array(block["known"].to_pylist(), np.int64)
     _, first, inverse = np.unique(known, return_index=True, return_inverse=True)
-    tree = PrefixTree(sizes, ranks, n, first[inverse])
+    tree = PrefixTree(sizes, ranks, n, first[inverse], np.array(block["copies"].to_pylist(), np.int64))
     low = np.array(block["low"].to_pylist(), bool)
     for x in np.flatnonzero(low).tolist():
         tree.add(x)
     for x in np.flatnonzero(~low).tolist():
         tree.probe(x)
-    return _linked(tree, ids)
+    rows = [(int(ids[x]), int(ids[y]), 0) for x, y in tree.links]
+    rows += [(int(ids[x]), int(ids[x]), k) for x, k in enumerate(tree.n_links()) if k]
+    columns = list(zip(*rows, strict=True)) or [[]] * 3
+    return pa.table([pa.array(list(c), pa.int64()) for c in columns], names=["a", "b", "n_links"])
 
 
 def _families(ordered: DataFrame) -> DataFrame:
@@ -358,8 +396,12 @@ def _families(ordered: DataFrame) -> DataFrame:
     return found.select(F.col("node").alias("set_id"), F.col("component").alias("family"))
 
 
-def similar_sets(docs: DataFrame, n_sets: int, n_shingles: int, text: str = "text") -> DataFrame:
-    """Links (a, b) of different sets that connect exactly the sets which similarity connects."""
+def similar_sets(docs: DataFrame, copies: DataFrame, n_sets: int, n_shingles: int, text: str = "text") -> DataFrame:
+    """(a, b, n_links): pairs that connect exactly the sets which similarity connects, and links of ``a``.
+
+    Rows with a = b connect nothing. ``n_links`` adds up, over the rows of a set, to the rows of all
+    other sets similar to it; ``copies`` (set_id, copies) says how many rows the sets of several rows have.
+    """
     spark = docs.sparkSession
 
     def stored(rows: DataFrame, label: str) -> DataFrame:
@@ -377,35 +419,48 @@ def similar_sets(docs: DataFrame, n_sets: int, n_shingles: int, text: str = "tex
     placed = families.join(sizes, "family").select(
         "set_id", "family", "blocks", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("block")
     )
+    placed = placed.join(copies, "set_id", "left").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long")))
     members = stored(ordered.select("set_id", "n", "tokens").join(placed, "set_id"), "ngram-members")
-    pair = "a long, b long"
-    near = stored(members.select("family", "block", "set_id", "n", "tokens").groupBy("family", "block").applyInArrow(_within, pair), "ngram-links")
+    pair = "a long, b long, n_links long"
+    near = stored(members.select("family", "block", "set_id", "n", "tokens", "copies").groupBy("family", "block").applyInArrow(_within, pair), "ngram-links")
     large = members.where("blocks > 1")
     if large.isEmpty():
-        return near.where("a <> b")
+        return near
     large = large.join(near.select(F.col("a").alias("set_id"), F.col("b").alias("known")), "set_id")
     # Each set meets every other block of its family once, as the lower or the upper block of the pair.
     paired = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> block")
     paired = paired.withColumns(
         {"low": F.col("block") < F.col("other"), "i": F.least("block", "other"), "j": F.greatest("block", "other")}
     )
-    far = paired.select("family", "i", "j", "set_id", "n", "tokens", "known", "low").groupBy("family", "i", "j").applyInArrow(_across, pair)
-    return near.where("a <> b").unionByName(stored(far, "ngram-links"))
+    far = paired.select("family", "i", "j", "set_id", "n", "tokens", "copies", "known", "low").groupBy("family", "i", "j").applyInArrow(_across, pair)
+    return near.unionByName(stored(far, "ngram-links"))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row ``doc_id, n_shingles, component_id`` (the least doc_id connected by similarity) and ``set_id``."""
+    """Per row ``doc_id, n_shingles, component_id`` (the least doc_id connected by similarity), ``set_id`` and ``n_links``.
+
+    ``n_links`` is the number of other rows similar to this one, rows of the same set included.
+    """
     spark = docs.sparkSession
     importable(spark)
     path = work_folder(spark, "ngram-shingled")
     shingled(docs, doc_id, text).write.parquet(path)
     rows = spark.read.parquet(path)
-    sets = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
+    sets = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(
+        F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies")
+    )
     known = sets.agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).first()
-    links = similar_sets(docs, known["sets"], known["shingles"] or 0, text)
+    links = similar_sets(docs, sets.where("copies > 1").select("set_id", "copies"), known["sets"], known["shingles"] or 0, text)
     found = components(links, "ngram-components").select(F.col("node").alias("set_id"), "component")
+    n_links = links.groupBy(F.col("a").alias("set_id")).agg(F.sum("n_links").alias("n_links"))
     named = sets.join(found, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    answer = named.select("set_id", "component").join(least, "component").select("set_id", "component_id")
+    counted = named.join(n_links.where("n_links > 0"), "set_id", "left").select(
+        "set_id", "component", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    )
+    answer = counted.join(least, "component").select("set_id", "component_id", "n_links")
     out = rows.join(answer, "set_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "set_id")
+    return out.select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "set_id",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )

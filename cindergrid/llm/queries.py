@@ -19,7 +19,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of each document under five-word shingle similarity of 0.8 and more."""
-    return ngram_join.join(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("set_id")
+    return ngram_join.join(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("set_id", "n_links")
 
 
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

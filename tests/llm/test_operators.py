@@ -67,6 +67,42 @@ def test_prefix_tree_connects_what_similarity_connects():
         assert groups(tree.root) == groups(root)
 
 
+def test_every_link_of_a_family_is_counted(spark, monkeypatch):
+    """Near copies, exact copies and a chain A~B~C: links of each row, in one block and over several."""
+    rng = random.Random(5)
+    base = brute.prose(rng, 90).split()
+    texts = []
+    for _ in range(50):
+        w = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            w[rng.randrange(len(w))] = f"w{rng.randrange(9)}"
+        texts += [" ".join(w)] * rng.choice([1, 1, 3])
+    chain = [f"c{k}" for k in range(60)]
+    texts += [" ".join(chain[a : a + 50]) for a in (0, 5, 10)] + ["", None, "alone in the world of words here"]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for t in texts]
+    near = lambda x, y: bool(x) and 9 * len(x & y) >= 4 * (len(x) + len(y))
+    want = {i: sum(near(x, y) for j, y in enumerate(sets) if j != i) for i, x in enumerate(sets)}
+    assert [want[len(texts) - k] for k in (6, 5, 4, 3, 2, 1)] == [1, 2, 1, 0, 0, 0]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {r["doc_id"]: r["n_links"] for r in ngram_join.join(df).collect()} == want
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 7)
+    assert {r["doc_id"]: r["n_links"] for r in ngram_join.join(df).collect()} == want
+
+
+def test_prefix_tree_counts_links_by_weight():
+    rng = random.Random(7)
+    for _ in range(30):
+        core = frozenset(rng.sample(range(40), 30))
+        sets = [core - set(rng.sample(range(40), rng.randrange(8))) | set(rng.sample(range(40), rng.randrange(3))) for _ in range(40)]
+        weights = np.array([rng.randrange(1, 4) for _ in sets])
+        tree = ngram_join.PrefixTree(np.array([len(s) for s in sets]), [np.array(sorted(s), np.int32) for s in sets], 40, weights=weights)
+        for x in sorted(range(len(sets)), key=lambda x: len(sets[x])):
+            tree.probe(x)
+            tree.add(x)
+        near = lambda x, y: 9 * len(x & y) >= 4 * (len(x) + len(y))
+        assert tree.n_links() == [sum(int(weights[j]) for j, y in enumerate(sets) if j != i and near(x, y)) for i, x in enumerate(sets)]
+
+
 def test_null_ids_take_no_part_in_passage_removal(spark):
     long = "x" * 30 + "passage that is longer than fifty bytes, certainly so"
     df = spark.createDataFrame([(None, long), (2, long), (3, long + "!")], "doc_id long, text string")
