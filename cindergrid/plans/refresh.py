@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,10 +41,6 @@ def _record_shape(feed: str) -> str:
     return "tonnes" if feed in ("aws", "azure") else feed
 
 
-# A file may carry a time slightly before the run that missed it; reading one twice is harmless.
-CLOCK_MARGIN = timedelta(minutes=10)
-
-
 def keyed(rows: DataFrame, feed: str) -> Column:
     """Whether a raw row can be stored: every part of its key, and so its time, is there."""
     known = F.lit(True)
@@ -68,15 +64,17 @@ def _as_text(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*")).alias("value"))
 
 
-def _files_after(spark: SparkSession, path: str) -> datetime | None:
-    """When the last finished load began; None before the first one."""
+FILES = "path string, length long, modified timestamp"
+
+
+def _not_loaded(spark: SparkSession, listed: DataFrame, path: str) -> DataFrame:
+    """Listed files that no finished load has read as they are now."""
     try:
-        last = spark.read.parquet(path).agg(F.max("began").alias("began")).first()["began"]
+        return listed.join(spark.read.schema(FILES).parquet(path), ["path", "length", "modified"], "left_anti")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    return last - CLOCK_MARGIN if last else None
+        return listed
 
 
 def load_feed(
@@ -93,10 +91,11 @@ def load_feed(
 ) -> DataFrame:
     """Load what a feed has landed since the last run; returns the raw table.
 
-    New data is told by its files, not by its event times: all rows of files that landed since
-    the last finished load began are upserted, however late or corrected they are, and the
-    version settles restatements. ``every_file`` reads the whole archive, ``landed_after``
-    (UTC) the files since then. Only with an explicit ``lookback`` (in the feed's unit, before
+    New data is told by its files, not by its event times: all rows of files that no finished load
+    has read are upserted, however late or corrected they are, and the version settles
+    restatements. Files are known by path, length and modification time, listed in
+    ``<raw_folder>/files/<feed>``, so one that appears with an old time is new and one that changed is
+    read again. ``every_file`` reads the whole archive, ``landed_after`` (UTC) the files since then. Only with an explicit ``lookback`` (in the feed's unit, before
     ``as_of``) are older rows left out.
 
     Lines that are no records, and rows without a key or time, go to the quarantine, by
@@ -110,11 +109,11 @@ def _load(
     landed_after=None, lookback=None, every_file=False,
 ) -> tuple[DataFrame, date | None]:
     """The raw table, and the first partition that the load touched."""
-    began = datetime.now(timezone.utc).replace(tzinfo=None)
-    done = f"{raw_folder}/loads/{feed}"
-    if landed_after is None and not every_file:
-        landed_after = _files_after(spark, done)
-    landed = landing.read_landing(spark, _record_shape(feed), paths, landed_after)
+    done = f"{raw_folder}/files/{feed}"
+    # Collected, so that what is read and what is noted are the same files; only those to be read.
+    listed = landing.list_files(spark, paths, landed_after).distinct()
+    files = (listed if every_file or landed_after else _not_loaded(spark, listed, done)).collect()
+    landed = landing.read_files(spark, _record_shape(feed), [f["path"] for f in files])
     rows = normalise(landing.good_records(landed), feed, account)
     aside = f"{quarantine or raw_folder + '/quarantine'}/{feed}"
     set_aside(spark, landing.bad_records(landed).unionAll(_as_text(rows.where(~keyed(rows, feed)))), aside)
@@ -125,7 +124,7 @@ def _load(
     touched = arriving.agg(F.min(RAW_PERIOD).alias("first")).first()["first"]
     upsert_parquet(spark, path, arriving, NATURAL_KEYS[feed], [RAW_PERIOD], staging=f"{raw_folder}/staging/{feed}")
     # Written last: a load that dies is done again from the same files.
-    spark.createDataFrame([(began,)], "began timestamp_ntz").write.mode("append").parquet(done)
+    spark.createDataFrame(files, FILES).coalesce(1).write.mode("append").parquet(done)
     return spark.read.schema(rows.schema).parquet(path), touched
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -32,6 +33,21 @@ def read_landing(
     return parse_landing(_filled(reader.text(paths)), feed)
 
 
+def list_files(spark: SparkSession, paths: str | Sequence[str], landed_after: datetime | None = None) -> DataFrame:
+    """``path, length, modified`` of the landed files, from the listing alone: no content is read."""
+    reader = spark.read.format("binaryFile")
+    if landed_after:
+        reader = reader.option("modifiedAfter", landed_after.strftime("%Y-%m-%dT%H:%M:%S"))
+    return reader.load(paths).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def read_files(spark: SparkSession, feed: str, files: Sequence[str]) -> DataFrame:
+    """Records of exactly these files, whatever characters their names have."""
+    if not files:
+        return parse_landing(spark.createDataFrame([], "value string"), feed)
+    return parse_landing(_filled(spark.read.text([re.sub(r"([\\*?\[\]{}])", r"\\\1", f) for f in files])), feed)
+
+
 def read_export(spark: SparkSession, paths: str | Sequence[str], min_month: date | None = None) -> DataFrame:
     """The typed table export of the nested feed, from ``min_month`` on; the bound reaches the scan."""
     rows = spark.read.schema(LANDED["gcp"]).parquet(*([paths] if isinstance(paths, str) else paths))

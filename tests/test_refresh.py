@@ -50,6 +50,26 @@ def test_nothing_that_landed_is_lost(spark, tmp_path):
     assert aside.count("{torn") == 1 and sum('"zone":"DE"' in line for line in aside) >= 1
 
 
+def test_files_that_appear_with_an_old_time(spark, tmp_path):
+    import os
+
+    inbox, raw = tmp_path / "in", str(tmp_path / "raw")
+    zones = lambda: rows(refresh.load_feed(spark, "grid", str(inbox), raw), "zone", "carbon_intensity_gco2eq_per_kwh")
+    land(inbox, "1.json", grid_line("DE", ("2024-01-20T10:00:00Z", 1)))
+    assert zones() == [("DE", 1.0)]
+    # Moved in from a staging folder, with the time it was made there, and an odd name.
+    land(inbox, "old [a] {b}, 50%.json", grid_line("FR", ("2024-01-20T10:00:00Z", 5)), "{torn")
+    os.utime(inbox / "old [a] {b}, 50%.json", (1_600_000_000, 1_600_000_000))
+    assert zones() == [("DE", 1.0), ("FR", 5.0)]
+    assert [r.value for r in spark.read.text(f"{raw}/quarantine/grid").collect()] == ["{torn"]
+    assert zones() == [("DE", 1.0), ("FR", 5.0)]
+    assert spark.read.parquet(f"{raw}/files/grid").count() == 2
+    # Written again in place, with an old time too.
+    land(inbox, "1.json", grid_line("DE", ("2024-01-20T11:00:00Z", 12)))
+    os.utime(inbox / "1.json", (1_500_000_000, 1_500_000_000))
+    assert zones() == [("DE", 1.0), ("DE", 12.0), ("FR", 5.0)]
+
+
 def test_a_restated_month_and_an_explicit_lookback(spark, tmp_path):
     inbox, raw = tmp_path / "in", str(tmp_path / "raw")
 
