@@ -83,12 +83,17 @@ def _seats(rows: DataFrame, within: list[str], votes: str, seats: Column, most:
     return won.groupBy(*keys).agg(F.count(F.lit(1)).alias("quota"))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", blocks: int = BLOCKS) -> DataFrame:
-    """Per row: ``doc_id, source, size, source_size, target, taken`` in words, repeats counted."""
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", blocks: int = BLOCKS, key: Column | None = None) -> DataFrame:
+    """Per row: ``doc_id, source, size, source_size, target, taken`` in words, repeats counted.
+
+    With ``key`` the rows also have this value of theirs as ``row_key``, to tell those that share an id.
+    """
+    keys = [] if key is None else ["row_key"]
     sized = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         F.size(words_of(F.col(text))).cast("long").alias("size"),
+        *[key.alias(k) for k in keys],
     )
     common = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total") / F.lit(blocks)).cast("long"))
     own = F.floor(F.least(F.col("source_size"), F.col("target")) / SHARD_BLOCKS).cast("long")
@@ -110,7 +115,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     )
     rows = sized.join(sources.withColumnRenamed("source", "its_source"), F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
     rows = rows.withColumn("shard", F.pmod(_lot(F.lit("shard"), F.col("doc_id")), F.col("n_shards")))
-    in_order = Window.partitionBy("source_id", "shard").orderBy(_lot(F.lit("order"), F.col("doc_id")), "doc_id", "size")
+    in_order = Window.partitionBy("source_id", "shard").orderBy(_lot(F.lit("order"), F.col("doc_id")), "doc_id", "size", *keys)
     rows = rows.withColumn("place", F.row_number().over(in_order)).withColumn(
         "start", F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     )
@@ -142,4 +147,4 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         partly, ["source_id", "shard", "place"], "left"
     )
     taken = F.coalesce("passes", F.lit(0)) * size + F.coalesce("partly", F.lit(0))
-    return out.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), *keys)

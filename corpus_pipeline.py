@@ -40,14 +40,22 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, whole: the part of a pass is rounded by a seeded draw.
 
-    So a source's words come near its target over its documents, and no document is cut.
+    So a source's words come near its target over its documents, and no document is cut. Rows are told by
+    doc_id, text and source, so those without a doc_id or with one in common each get their own copies;
+    equal rows share theirs evenly.
     """
-    taken = mixing.mix(docs).select("doc_id", "size", "taken").where("taken > 0")
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit("copies:"), F.col("doc_id").cast("string"))), 1, 8), 16, 10).cast("long")
+    key = F.xxhash64("text")
+    taken = mixing.mix(docs, key=key).where("size > 0").groupBy("doc_id", "source", "row_key")
+    taken = taken.agg(F.sum("size").alias("size"), F.sum("taken").alias("taken")).where("taken > 0")
+    named = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws(":", F.lit(""), "row_key", "source"))
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit("copies:"), named)), 1, 8), 16, 10).cast("long")
     rest = (F.pmod("taken", "size") / F.col("size")) * F.lit(2**32) > draw
-    copies = taken.select("doc_id", (F.floor(F.col("taken") / F.col("size")) + rest.cast("long")).cast("int").alias("__copies"))
-    counted = copies.groupBy("doc_id").agg(F.max("__copies").alias("__copies")).where("__copies > 0")
-    repeated = docs.join(counted.withColumnRenamed("doc_id", "__taken"), F.col("doc_id").eqNullSafe(F.col("__taken")))
+    copies = (F.floor(F.col("taken") / F.col("size")) + rest.cast("long")).cast("int")
+    counted = taken.select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("row_key").alias("__key"), copies.alias("__copies")
+    ).where("__copies > 0")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (key == F.col("__key"))
+    repeated = docs.join(counted, same)
     return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 

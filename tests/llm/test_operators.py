@@ -350,6 +350,22 @@ def test_pipeline_against_its_plain_version(spark, sf):
         docs = after
 
 
+def test_mixed_rows_without_an_id_or_with_a_common_one(spark):
+    """Source b is taken three times, whatever its ids; of a, each row as often as its own share says."""
+    docs = [(k, f"a{k} " + "word " * 40, "a") for k in range(200)]
+    docs += [(None, f"b{k} " + "word " * 9, "b") for k in range(6)] + [(900, f"b{k} " + "word " * 9, "b") for k in range(6, 9)]
+    docs += [(7, "short and of another source", "c"), (None, None, "b"), (None, "", "b")]
+    docs += [(None, f"a{k} " + "word " * 40, "a") for k in range(200, 300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3)
+    got = [tuple(r) for r in corpus_pipeline.mixed(spark, df, SMALL).collect()]
+    kept = Counter(got)
+    assert {r: n for r, n in kept.items() if r[2] == "b"} == {r: 3 for r in docs if r[2] == "b" and r[1]}
+    assert kept[(7, "short and of another source", "c")] == 3
+    target = {r["source"]: r["target"] for r in mixing.mix(df).collect()}["a"]
+    assert sum(len(r[1].split()) for r in got if r[2] == "a") == pytest.approx(target, rel=0.05)
+    assert sum(n for r, n in kept.items() if r[0] is None and r[2] == "a") >= 90
+
+
 def test_pipeline_runs_on_awkward_and_empty_documents(spark, folder, empty):
     assert corpus_pipeline.run(spark, empty).collect() == []
     assert corpus_pipeline.run(spark, folder).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
