@@ -24,11 +24,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group connected by shingle similarity: the one with the least doc_id.
 
-    Rows that repeat both doc_id and text go too; other rows without a doc_id stay.
+    Rows are told by doc_id and text, so texts that share an id are judged apart. Rows that repeat both
+    go too; other rows without a doc_id stay.
     """
-    found = ngram_join.join(docs.select("doc_id", "text"))
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"))
+    found = ngram_join.join(docs.select(row.alias("doc_id"), "text"))
+    others = found.where("NOT doc_id.none AND doc_id <> component_id").select("doc_id.id", "doc_id.key").distinct()
+    others = others.withColumnsRenamed({"id": "__id", "key": "__key"})
+    kept = docs.join(others, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
+    return kept.select(*docs.columns).dropDuplicates(["doc_id", "text"])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

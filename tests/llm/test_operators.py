@@ -350,6 +350,18 @@ def test_pipeline_against_its_plain_version(spark, sf):
         docs = after
 
 
+def test_near_copies_that_share_an_id_with_another_text(spark):
+    rng = random.Random(11)
+    a, b, c = (brute.prose(rng, 80) for _ in range(3))
+    docs = [(1, a), (2, a + " x"), (2, b), (5, c), (5, c + " x"), (None, a + " y"), (3, None), (1, a)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, df, SMALL).collect()]
+    kept = Counter(got)
+    of_c = [r for r in got if r[0] == 5]
+    assert len(of_c) == 1
+    assert kept - Counter(of_c) == Counter([(1, a), (2, b), (None, a + " y"), (3, None)])
+
+
 def test_mixed_rows_without_an_id_or_with_a_common_one(spark):
     """Source b is taken three times, whatever its ids; of a, each row as often as its own share says."""
     docs = [(k, f"a{k} " + "word " * 40, "a") for k in range(200)]
