@@ -37,11 +37,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def _forest(edges: DataFrame) -> DataFrame:
     """The edges of each task, reduced to one edge (u, v) from every node to the least it is connected to."""
+    kind = edges.schema["a"].dataType.simpleString()
+    arrow = pa.int64() if kind == "bigint" else pa.binary()
 
     def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        up: dict[int, int] = {}
+        up: dict = {}
 
-        def root(x: int) -> int:
+        def root(x):
             while up[x] != x:
                 up[x] = up[up[x]]
                 x = up[x]
@@ -55,14 +57,14 @@ def _forest(edges: DataFrame) -> DataFrame:
         found = [(x, root(x)) for x in up]
         rays = [(x, r) for x, r in found if x != r]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([x for x, _ in rays], pa.int64()), pa.array([r for _, r in rays], pa.int64())], names=["u", "v"]
+            [pa.array([x for x, _ in rays], arrow), pa.array([r for _, r in rays], arrow)], names=["u", "v"]
         )
 
-    return edges.mapInArrow(contract, "u long, v long")
+    return edges.mapInArrow(contract, f"u {kind}, v {kind}")
 
 
 def components(edges: DataFrame, label: str = "components", task_edges: int = TASK_EDGES) -> DataFrame:
-    """``node, component`` for every node of the edges (a, b), a <> b; the component is its smallest node.
+    """``node, component`` for every node (long or binary) of the edges (a, b), a <> b; the component is its smallest node.
 
     First each task reduces at most about ``task_edges`` of the edges to a forest, which is the answer if
     one task has them all; else the rounds join the forests.

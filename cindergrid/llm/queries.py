@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindergrid.llm import decontaminate, langid, licenses, mixing, ngram_join, pii, quality_rules, secrets, suffix_dedup, token_store
+from cindergrid.llm import (
+    decontaminate,
+    hard_negatives,
+    hyperminhash,
+    langid,
+    lexical_search,
+    licenses,
+    mixing,
+    ngram_join,
+    pii,
+    quality_rules,
+    secrets,
+    suffix_dedup,
+    token_store,
+)
 from cindergrid.llm.spans import written
 from cindergrid.llm.sql import ORACLES  # noqa: F401
 from cindergrid.session import work_folder
@@ -112,6 +126,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"__quality.{c}").alias(c) for c in counts])
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of each fiftieth vector; some labels are moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=moved)
+
+
+def op12_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of each document under two-word shingle similarity of 0.8 and more, and whether it stands for it."""
+    return hyperminhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("set_id")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for each benchmark item."""
+    docs = _table(spark, sf_dir, "documents")
+    index = lexical_search.build(docs, work_folder(spark, "signatures"))
+    return lexical_search.search(docs, index, _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_personal_data": op2_personal_data,
@@ -123,4 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_store": op8_token_store,
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_near_duplicates": op12_near_duplicates,
+    "op13_lexical_search": op13_lexical_search,
 }

@@ -36,8 +36,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(raws: list[bytes | None]) -> list[np.ndarray]:
-    """Per text the sorted distinct hashes of its shingles; fewer words make one, none make none."""
+def shingle_sets(raws: list[bytes | None], size: int = WORDS) -> list[np.ndarray]:
+    """Per text the sorted distinct hashes of its shingles of ``size`` (at most 5) words; fewer words make one, none make none."""
     joined = b" ".join(r or b"" for r in raws).translate(_LOWER)
     data = np.frombuffer(joined + b" ", np.uint8)
     gap = _GAP[data]
@@ -48,12 +48,12 @@ def shingle_sets(raws: list[bytes | None]) -> list[np.ndarray]:
     words = mixed((sums[ends] - sums[starts]) * powers("down", _INVERSE, len(data))[starts]) if len(starts) else np.zeros(0, np.uint64)
     edges = np.cumsum([0, *[len(r or b"") + 1 for r in raws]])
     first = np.searchsorted(starts, edges)
-    n = len(words) - WORDS + 1
-    runs = mixed(sum((words[k : k + n] * _PLACE[k] for k in range(WORDS)), np.zeros(n, np.uint64))) if n > 0 else words[:0]
+    n = len(words) - size + 1
+    runs = mixed(sum((words[k : k + n] * _PLACE[k] for k in range(size)), np.zeros(n, np.uint64))) if n > 0 else words[:0]
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        if b - a >= WORDS:
-            out.append(np.unique(runs[a : b - WORDS + 1]))
+        if b - a >= size:
+            out.append(np.unique(runs[a : b - size + 1]))
         elif b > a:
             whole = (words[a:b] * _PLACE[: b - a]).sum(dtype=np.uint64, keepdims=True) + _SHORT[b - a : b - a + 1]
             out.append(mixed(whole))

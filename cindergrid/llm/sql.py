@@ -153,4 +153,82 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op7_decontamination": OP7, "op9_source_mixing": OP9, "op10_quality_rules": OP10}
+def _components(words: int, kept: str = "") -> str:
+    """Documents by components of the similarity of their sets of ``words``-word shingles."""
+    return rf"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingled AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+    range(1, greatest(len(w) - {words - 2}, 2)), lambda i: array_to_string(w[i:i + {words - 1}], ' ')))) END AS s FROM split),
+sets AS (SELECT s, min(doc_id) AS least, row_number() OVER (ORDER BY s) AS k FROM shingled WHERE len(s) > 0 GROUP BY s),
+one AS (SELECT k, len(s) AS n, unnest(s) AS x FROM sets),
+pairs AS (
+  SELECT a.k AS a, b.k AS b FROM one a JOIN one b ON a.x = b.x AND a.k <> b.k
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT k AS a, k AS b FROM sets
+  UNION SELECT reached.a, pairs.b FROM reached JOIN pairs ON reached.b = pairs.a),
+named AS (SELECT reached.a AS k, min(least) AS component_id FROM reached JOIN sets ON sets.k = reached.b GROUP BY reached.a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id{kept}
+FROM shingled LEFT JOIN sets USING (s) LEFT JOIN named USING (k)
+"""
+
+
+OP1 = _components(5)
+OP12 = _components(2, ", doc_id IS NOT DISTINCT FROM coalesce(component_id, doc_id) AS kept")
+
+OP11 = """
+WITH taken AS (
+  SELECT DISTINCT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+rows_ AS (SELECT *, row_number() OVER (ORDER BY vec_id, label, v) AS r FROM taken),
+scored AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CASE WHEN len(a.v) = 0 THEN 0 ELSE list_inner_product(a.v, b.v) END::BIGINT AS score
+  FROM rows_ a JOIN rows_ b ON a.r <> b.r AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS p FROM scored WHERE same) WHERE p <= 5),
+found AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.a, p.p ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+  FROM positives p JOIN scored n ON p.a = n.a AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 3
+"""
+
+OP13 = f"""
+WITH doc AS (SELECT doc_id, row_number() OVER () AS d, {_WORDS7} AS words FROM documents),
+sized AS (SELECT *, len(words) AS n FROM doc WHERE len(words) > 0),
+total AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM sized),
+item AS (SELECT item_id, row_number() OVER () AS i, {_WORDS7} AS words FROM benchmark),
+asked AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest(words) AS term FROM item) GROUP BY ALL),
+held AS (
+  SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(words) AS term FROM sized)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, total GROUP BY term),
+scored AS (
+  SELECT i, item_id, d, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))))::BIGINT AS score
+  FROM asked JOIN held USING (term) JOIN weight USING (term) JOIN sized USING (d) CROSS JOIN total GROUP BY i, item_id, d, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_ngram_join": OP1,
+    "op7_decontamination": OP7,
+    "op9_source_mixing": OP9,
+    "op10_quality_rules": OP10,
+    "op11_hard_negatives": OP11,
+    "op12_near_duplicates": OP12,
+    "op13_lexical_search": OP13,
+}

@@ -22,7 +22,12 @@ SCHEMAS = {
     "op8_token_store": "doc_id bigint,start bigint,n_tokens bigint,ids_crc32 bigint",
     "op9_source_mixing": "doc_id bigint,size bigint,source_size bigint,target double,taken bigint",
     "op10_quality_rules": "doc_id bigint,n_words bigint,word_chars bigint,n_symbols bigint,n_dup_lines bigint,n_repeat_words bigint,base_failed boolean,kept boolean",
+    "op11_hard_negatives": "anchor_id bigint,positive_id bigint,rank int,negative_id bigint,positive_score bigint,negative_score bigint",
+    "op12_near_duplicates": "doc_id bigint,n_shingles bigint,component_id bigint,kept boolean",
+    "op13_lexical_search": "item_id bigint,rank int,doc_id bigint,score bigint",
 }
+#: Queries with one row per document, and those that answer something else.
+PER_DOCUMENT = sorted(set(QUERIES) - {"op11_hard_negatives", "op13_lexical_search"})
 
 
 def expected(name, rows, items):
@@ -30,6 +35,8 @@ def expected(name, rows, items):
     docs = [(i, t) for i, t, *_ in rows]
     if name.startswith("op1_"):
         return brute.components(docs)
+    if name.startswith("op12_"):
+        return {i: (*c, i == c[1]) for i, c in brute.components(docs, 2).items()}
     if name.startswith("op2_"):
         found = {i: brute.personal(t) for i, t in docs}
         return {i: (*[sum(k == kind for k, *_ in s) for kind in ("email", "ip", "card", "phone")], brute.sha(brute.written(s))) for i, s in found.items()}
@@ -56,7 +63,7 @@ def expected(name, rows, items):
     return None
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", PER_DOCUMENT)
 def test_awkward_documents(spark, folder, rows, items, name):
     df = QUERIES[name](spark, folder)
     assert ",".join(f"{c} {t}" for c, t in df.dtypes) == SCHEMAS[name]
@@ -71,7 +78,7 @@ def test_awkward_documents(spark, folder, rows, items, name):
 
 def against_oracle(spark, path, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}/{table}.parquet{'/*.parquet' if path != SMALL else ''}')")
     cursor = duck.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
@@ -87,7 +94,7 @@ def test_oracle_on_the_smallest_tables(spark, name):
     assert against_oracle(spark, SMALL, name)
 
 
-@pytest.mark.parametrize("name", ["op1_ngram_join", "op2_personal_data", "op4_suffix_dedup", "op5_secret_scan", "op8_token_store"])
+@pytest.mark.parametrize("name", ["op1_ngram_join", "op12_near_duplicates", "op2_personal_data", "op4_suffix_dedup", "op5_secret_scan", "op8_token_store"])
 def test_plain_version_on_the_smallest_tables(spark, name):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
     want = expected(name, rows, [])
@@ -100,11 +107,11 @@ def test_empty_tables(spark, empty, name):
     assert QUERIES[name](spark, empty).collect() == []
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", PER_DOCUMENT)
 def test_repeated_rows_and_clashing_columns(spark, crowded, rows, name):
     """Each row comes out twice; columns of the input named like ours change nothing."""
     got = [tuple(r) for r in QUERIES[name](spark, crowded).collect()]
     assert sorted(r[0] for r in got) == sorted(2 * [i for i, *_ in rows])
-    if name[:4] in ("op1_", "op3_", "op4_", "op5_", "op7_"):
+    if name[:4] in ("op1_", "op3_", "op4_", "op5_", "op7_", "op12"):
         plain = [repr(tuple(r)) for r in QUERIES[name](spark, crowded).distinct().collect()]
         assert sorted(repr(r) for r in got) == sorted(2 * plain)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLDED = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -24,14 +26,14 @@ def folded(text):
     return FOLDED.findall((text or "").translate(LOWER))
 
 
-def shingles(text):
+def shingles(text, size=5):
     w = words((text or "").translate(LOWER))
-    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+    return frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset()
 
 
-def components(docs):
+def components(docs, size=5):
     """doc_id -> (size, least id connected), all pairs compared."""
-    sets = [(i, shingles(t)) for i, t in docs]
+    sets = [(i, shingles(t, size)) for i, t in docs]
     up = {i: i for i, _ in sets}
 
     def root(a):
@@ -144,6 +146,48 @@ def store(docs, tokenizer):
     return out
 
 
+def hard_negatives(rows, positives=5, negatives=3):
+    """(anchor, positive, rank, negative, both scores) for rows (vec_id, embedding, label), all scores computed."""
+    whole = set()
+    for i, v, label in rows:
+        if i is not None and label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            whole.add((i, (label + 1) % 10 if i % 7 == 0 else label, tuple(math.floor(256 * x) for x in v)))
+    out = []
+    for a in whole:
+        if a[0] % 50:
+            continue
+        scores = [(-sum(x * y for x, y in zip(a[2], b[2], strict=True)), b[0], b[1]) for b in whole if b != a and len(a[2]) == len(b[2])]
+        best = sorted((s, i) for s, i, label in scores if label == a[1])[:positives]
+        rest = sorted((s, i) for s, i, label in scores if label != a[1])
+        for p, i in best:
+            fits = [(s, j) for s, j in rest if 50 * -p <= 100 * -s <= 95 * -p][:negatives]
+            out += [(a[0], i, k + 1, j, -p, -s) for k, (s, j) in enumerate(fits)]
+    return sorted(out)
+
+
+def ranked(docs, items, most=20):
+    """(item, rank, id, score) for documents (id, text) and items (id, text), every document scored."""
+    held = [(i, Counter(folded(t)), len(folded(t))) for i, t in docs]
+    held = [d for d in held if d[2]]
+    n_docs, n_terms = len(held), sum(n for _, _, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for i, c, n in held:
+            m = 75 + (25 * n * n_docs) // n_terms
+            parts = [
+                k * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 12 * m))
+                for t, k in Counter(folded(text)).items()
+                if t in c
+            ]
+            if sum(parts) > 0:
+                found.append((-sum(parts), i is None, i))
+        found.sort(key=lambda r: (r[0], r[1], r[2] or 0))
+        out += [(item, k + 1, i, -s) for k, (s, _, i) in enumerate(found[:most])]
+    return out
+
+
 VOCABULARY = "the of and to in stone river lamp cloud green seven window market paper table under sky bridge salt".split()
 
 
