@@ -1,13 +1,17 @@
 """Quality rules: counted rules and the divergence of a document from its language's reference.
 
-Only DataFrame functions. A document is described by counts over its whole text; the reference of
-a language sums the character-class and common-word counts of all its documents. The verdict
-compares both histograms with the Jensen-Shannon distance (base 2, so 0 to 1).
-
-Defined results: a NULL or empty text has no words and fails the base rule; a document whose
-language is NULL, or has too few words behind its reference, is judged by the base rule alone; a
-document below ``min_words`` is never judged by divergence, one below ``min_words_common`` not by
-common words. Repeated rows are judged one by one.
+Only DataFrame functions. A document is described by counts over its whole text, made once and stored;
+the reference of a language sums the character-class and common-word counts of all its documents. The
+verdict compares both histograms with the Jensen-Shannon distance (base 2, so 0 to 1).
+
+A document is held against the reference of its language. If that is NULL, or has too few words
+behind it, it is held against the ``FALLBACK`` references of the most words, and is only far off if it is far from each.
+
+Defined results: a NULL or empty text has no words and fails the base rule; a document below ``min_words``
+is never judged by divergence, one below ``min_words_common`` not by common words; where no
+language has enough words, the counted rules decide alone. Repeated rows are judged one by one and get equal results; a
+text of any length is one row; an empty table gives no rows. Input columns may have any names but that of the
+verdict (``__quality`` in ``judge``), as they travel in one struct beside ours.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ MAX_REPEAT_PERCENT = 50
 MIN_WORDS = 50
 MIN_WORDS_COMMON = 120
 MIN_REFERENCE_WORDS = 2000
+#: References for documents without one of their own.
+FALLBACK = 64
 MAX_CHAR_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.27
 
@@ -45,83 +51,123 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), "")
 
 
-def _without(text: Column, pattern: str) -> Column:
-    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
-
-
-def _histograms(docs: DataFrame, text: str) -> DataFrame:
-    """Adds ``__text``, ``__words``, ``__chars`` (class counts) and ``__common`` (bin counts, the rest last)."""
-    t, w = F.col("__text"), F.col("__words")
-    docs = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-    docs = docs.withColumn("__words", words_of(F.col("__text")))
-    docs = docs.withColumns(
-        {
-            "__word_chars": F.length(F.array_join(w, "")).cast("long"),
-            "__n_symbols": _without(t, "[#*$%&|<>]+").cast("long"),
-            "__digits": _without(t, "[0-9]+").cast("long"),
-            "__uppers": _without(t, "[A-Z]+").cast("long"),
-            "__marks": _without(t, r"[!-/:-@\[-`{-~]+").cast("long"),
-            "__beyond": _without(t, r"[^\x00-\x7F]+").cast("long"),
-            # Doubled separators keep the pattern " word " from overlapping its neighbour.
-            "__hits": F.concat(F.lit(" "), F.array_join(F.filter(w, lambda x: x.isin(BINS)), "  "), F.lit(" ")),
-        }
+#: Characters of each counted class are made one letter, small letters, blanks and control characters are left out.
+_CLASS = {"#": SYMBOLS, "0": "0123456789", "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ".": "!\"'()+,-./:;=?@[\\]^_`{}~"}
+_FROM = "".join(_CLASS.values()) + "".join(c for c in map(chr, range(128)) if not any(c in known for known in _CLASS.values()))
+_TO = "".join(c * len(known) for c, known in _CLASS.items())
+#: One letter per common word, so that a document's common words are a short string.
+_LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123)]))[: len(BINS)]
+
+
+def _held(docs: DataFrame) -> DataFrame:
+    """The input as one struct column, out of the way of other names."""
+    return docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"))
+
+
+def _counted(rows: DataFrame, text: str) -> DataFrame:
+    """``row`` with the counts of its text: those of the rules, ``chars`` (by class) and ``common`` (by bin, the rest last)."""
+    w, t, h = F.col("words"), F.col("text"), F.col("hashes")
+    rows = rows.select("row", F.coalesce(F.col("row")[text], F.lit("")).alias("text")).withColumn("words", words_of(t))
+    at = lambda x: F.array_position(F.array(*[F.lit(b) for b in BINS]), x)
+    hits = F.transform(F.filter(w, lambda x: x.isin(BINS)), lambda x: F.substring(F.lit(_LETTERS), at(x), F.lit(1)))
+    lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    rows = rows.select(
+        "row",
+        F.size(w).cast("long").alias("n_words"),
+        F.length(t).cast("long").alias("length"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        F.translate(t, _FROM, _TO).alias("classes"),
+        F.array_join(hits, "").alias("hits"),
+        lines.alias("lines"),
+        F.transform(w, lambda x: F.xxhash64(x)).alias("hashes"),
     )
-    space = F.length(t) - F.col("__word_chars")
-    counted = [F.col("__uppers"), F.col("__digits"), space, F.col("__n_symbols"), F.col("__marks") - F.col("__n_symbols"), F.col("__beyond")]
-    lower = F.length(t) - space - F.col("__uppers") - F.col("__digits") - F.col("__marks") - F.col("__beyond")
-    found = [
-        ((F.length("__hits") - F.length(F.replace(F.col("__hits"), F.lit(f" {b} "), F.lit("")))) / F.lit(len(b) + 2)).cast("long")
-        for b in BINS
-    ]
-    docs = docs.withColumn("__found", F.array(*found))
-    rest = F.size(w).cast("long") - F.aggregate("__found", F.lit(0).cast("long"), lambda a, x: a + x)
-    return docs.withColumns(
-        {
-            "__chars": F.array(*[c.cast("long") for c in (lower, *counted)]),
-            "__common": F.concat("__found", F.array(rest)),
-        }
+    windows = F.transform(F.sequence(F.lit(0), F.size(h) - 3), lambda i: F.xxhash64(F.get(h, i), F.get(h, i + 1), F.get(h, i + 2)))
+    # One lambda for all letters: written out, they make generated methods that are too long for the JVM to compile.
+    letters = lambda text, of: F.transform(
+        F.array(*[F.lit(c) for c in of]), lambda c: (F.length(text) - F.length(F.replace(F.col(text), c, F.lit("")))).cast("long")
+    )
+    rows = rows.withColumns({"found": letters("hits", _LETTERS), "counted": letters("classes", _CLASS), "other": F.length("classes").cast("long")})
+    symbols, digits, uppers, marks = (F.col("counted")[i] for i in range(len(_CLASS)))
+    beyond = F.col("other") - symbols - digits - uppers - marks
+    lower = F.col("word_chars") - F.col("other")
+    rows = rows.select(
+        "row",
+        "n_words",
+        "word_chars",
+        symbols.alias("n_symbols"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.array(lower, uppers, digits, F.col("length") - F.col("word_chars"), symbols, marks, beyond).alias("chars"),
+        F.array_append("found", F.col("n_words") - F.length("hits")).alias("common"),
+        F.when(F.size(h) >= 3, windows).alias("windows"),
+    )
+    # Only a text with a repeated window needs to know where; sorted by hash, equal windows stand together.
+    placed = F.sort_array(F.transform("windows", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    rows = rows.withColumn("placed", F.when(F.size("windows") > F.size(F.array_distinct("windows")), placed)).drop("windows")
+    p = F.col("placed")
+    same = lambda x, k: F.coalesce(F.get(p, k)["h"] == x["h"], F.lit(False))
+    twice = F.transform(F.filter(p, lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"])
+    rows = rows.withColumn("twice", F.sort_array(twice)).drop("placed")
+    covered = F.aggregate(
+        "twice",
+        F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("at")),
+        lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["at"])).alias("n"), i.alias("at")),
+        lambda a: a["n"],
     )
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words")]
+    return rows.select("row", *counts, "chars", "common")
 
 
-def reference(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def stored_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` (of its columns ``keep``, by default all) with its counts, as a stored table."""
+    path = work_folder(docs.sparkSession, "quality-counts")
+    rows = _counted(_held(docs), text)
+    if keep is not None:
+        rows = rows.withColumn("row", F.struct(*[F.col("row")[c].alias(c) for c in keep]))
+    rows.write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def reference(counts: DataFrame, lang: str = "lang") -> DataFrame:
     """One row per language: ``ref_lang``, ``ref_chars`` and ``ref_common``, summed over all its documents."""
-    rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("__lang"), F.col(text).alias("__raw"))
-    counted = _histograms(rows, "__raw")
-    sizes = {"__chars": len(CLASSES), "__common": len(BINS) + 1}
+    sizes = {"chars": len(CLASSES), "common": len(BINS) + 1}
     sums = [F.sum(F.col(c)[i]).alias(f"{c}{i}") for c, n in sizes.items() for i in range(n)]
-    return counted.groupBy("__lang").agg(*sums).select(
-        F.col("__lang").alias("ref_lang"),
-        *[F.array(*[F.col(f"{c}{i}") for i in range(n)]).alias(f"ref_{c[2:]}") for c, n in sizes.items()],
+    rows = counts.select(F.col("row")[lang].alias("ref_lang"), *sizes).where("ref_lang IS NOT NULL")
+    return rows.groupBy("ref_lang").agg(*sums).select(
+        "ref_lang", *[F.array(*[F.col(f"{c}{i}") for i in range(n)]).alias(f"ref_{c}") for c, n in sizes.items()]
     )
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    path = work_folder(rows.sparkSession, "quality-reference")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def stored_reference(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The reference as a stored table: its size is then known, so Spark broadcasts it only if it is small."""
-    path = work_folder(docs.sparkSession, "quality-reference")
-    reference(docs, text, lang).write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return _stored(reference(_counted(_held(docs), text), lang))
 
 
 def distance(counts: Column, reference_counts: Column) -> Column:
     """Jensen-Shannon distance of two count arrays; NULL if either is NULL or sums to zero."""
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    n, m = total(counts), total(reference_counts)
-
-    def part(share: Column, middle: Column) -> Column:
-        return F.when(share > 0, share * F.log2(share / middle)).otherwise(0.0)
+    part = lambda share, middle: F.when(share > 0, share * F.log2(share / middle)).otherwise(0.0)
 
-    def term(c: Column, r: Column) -> Column:
-        p, q = c / n, r / m
-        return part(p, (p + q) / 2) + part(q, (p + q) / 2)
+    def step(a: Column, x: Column) -> Column:
+        # The totals travel in the state; as plain expressions they would be summed anew for every bin.
+        p, q = F.try_divide(x["c"], a["n"]), F.try_divide(x["r"], a["m"])
+        bits = a["bits"] + part(p, (p + q) / 2) + part(q, (p + q) / 2)
+        return F.struct(a["n"].alias("n"), a["m"].alias("m"), bits.alias("bits"))
 
-    terms = F.zip_with(counts, reference_counts, term)
-    return F.when((n > 0) & (m > 0), F.sqrt(F.greatest(F.lit(0.0), total(terms) / 2)))
+    start = F.struct(total(counts).alias("n"), total(reference_counts).alias("m"), F.lit(0.0).alias("bits"))
+    pairs = F.zip_with(counts, reference_counts, lambda c, r: F.struct(c.alias("c"), r.alias("r")))
+    finish = lambda a: F.when((a["n"] > 0) & (a["m"] > 0), F.sqrt(F.greatest(F.lit(0.0), a["bits"] / 2)))
+    return F.aggregate(pairs, start, step, finish)
 
 
-def judge(
-    docs: DataFrame,
+def judge_counts(
+    counts: DataFrame,
     references: DataFrame,
-    text: str = "text",
     lang: str = "lang",
     max_char_distance: float = MAX_CHAR_DISTANCE,
     max_word_distance: float = MAX_WORD_DISTANCE,
@@ -129,63 +175,53 @@ def judge(
     min_words_common: int = MIN_WORDS_COMMON,
     min_reference_words: int = MIN_REFERENCE_WORDS,
 ) -> DataFrame:
-    """``docs`` with a struct ``__quality``: counts, both distances, ``base_failed`` and ``kept``."""
-    before = docs.columns
-    w, t, p = F.col("__words"), F.col("__text"), F.col("__pairs")
-    rows = _histograms(docs, text)
-    rows = rows.withColumn("__lines", F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    rows = rows.withColumn("__hashes", F.transform(w, lambda x: F.xxhash64(x)))
-    h = F.col("__hashes")
-    windows = F.transform(F.sequence(F.lit(0), F.size(h) - 3), lambda i: F.xxhash64(F.get(h, i), F.get(h, i + 1), F.get(h, i + 2)))
-    rows = rows.withColumn("__windows", F.when(F.size(h) >= 3, windows))
-    repeats = F.size("__windows") > F.size(F.array_distinct("__windows"))
-    # Sorted by hash, a window is repeated if a neighbour has its hash.
-    rows = rows.withColumn(
-        "__pairs",
-        F.when(repeats, F.array_sort(F.transform("__windows", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))),
-    )
-    same = lambda x, k: F.coalesce(F.get(p, k)["h"] == x["h"], F.lit(False))
-    twice = F.transform(p, lambda x, k: F.when(same(x, k - 1) | same(x, k + 1), x["i"]))
-    rows = rows.withColumn("__twice", F.array_sort(F.array_compact(twice)))
-    covered = F.aggregate(
-        "__twice",
-        F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("at")),
-        lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["at"])).alias("n"), i.alias("at")),
-        lambda a: a["n"],
-    )
-    rows = rows.withColumn("__n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
-    rows = rows.join(references, F.col(lang) == F.col("ref_lang"), "left")
-    enough = F.aggregate("ref_common", F.lit(0).cast("long"), lambda a, x: a + x) >= min_reference_words
-    judged = (F.size(w) >= min_words) & F.coalesce(enough, F.lit(False))
-    rows = rows.withColumns(
-        {
-            "__char_distance": F.when(judged, distance(F.col("__chars"), F.col("ref_chars"))),
-            "__word_distance": F.when(judged & (F.size(w) >= min_words_common), distance(F.col("__common"), F.col("ref_common"))),
-            "__base_failed": (F.size(w) < MIN_BASE_WORDS)
-            | (100 * F.col("__n_repeat_words") > MAX_REPEAT_PERCENT * F.size(w)),
-        }
-    )
-    far = (F.coalesce("__char_distance", F.lit(0.0)) > max_char_distance) | (
-        F.coalesce("__word_distance", F.lit(0.0)) > max_word_distance
+    """``row`` and a struct ``verdict``: counts, both distances (to the nearest reference), ``base_failed`` and ``kept``."""
+    size = F.aggregate("ref_common", F.lit(0).cast("long"), lambda a, x: a + x)
+    able = references.withColumn("ref_words", size).where(F.col("ref_words") >= min_reference_words)
+    one = F.struct("ref_chars", "ref_common")
+    # A bounded number of references, as one scalar; the rest are joined by language.
+    most = able.orderBy(F.col("ref_words").desc(), "ref_lang").limit(FALLBACK)
+    others = most.agg(F.collect_list(one).alias("all")).scalar()
+    own = able.select("ref_lang", F.array(one).alias("own"))
+    rows = counts.join(own, F.col("row")[lang] == F.col("ref_lang"), "left").drop("ref_lang")
+    base_failed = (F.col("n_words") < MIN_BASE_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    rows = rows.withColumns({"base_failed": base_failed, "against": F.when(F.col("n_words") >= min_words, F.coalesce(F.col("own"), others))}).drop("own")
+    common = F.col("n_words") >= min_words_common
+    distances = F.transform(
+        "against",
+        lambda r: F.struct(
+            distance(F.col("chars"), r["ref_chars"]).alias("char_distance"),
+            F.when(common, distance(F.col("common"), r["ref_common"])).alias("word_distance"),
+        ),
     )
+    rows = rows.withColumn("distances", distances).drop("against")
+    over = lambda value, most: F.coalesce(value > most, F.lit(False))
+    far = lambda d: over(d["char_distance"], max_char_distance) | over(d["word_distance"], max_word_distance)
+    off = (F.coalesce(F.size("distances"), F.lit(-1)) > 0) & F.forall("distances", far)
+    nearest = lambda name: F.array_min(F.transform("distances", lambda d: d[name]))
     verdict = F.struct(
-        F.size(w).cast("long").alias("n_words"),
-        F.col("__word_chars").alias("word_chars"),
-        F.col("__n_symbols").alias("n_symbols"),
-        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        F.col("__n_repeat_words").alias("n_repeat_words"),
-        F.col("__base_failed").alias("base_failed"),
-        (~F.col("__base_failed") & ~far).alias("kept"),
-        F.col("__char_distance").alias("char_distance"),
-        F.col("__word_distance").alias("word_distance"),
-    )
-    return rows.select(*[F.col(f"`{c}`") for c in before], verdict.alias("__quality"))
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        (~F.col("base_failed") & ~F.coalesce(off, F.lit(False))).alias("kept"),
+        nearest("char_distance").alias("char_distance"),
+        nearest("word_distance").alias("word_distance"),
+    )
+    return rows.select("row", verdict.alias("verdict"))
+
+
+def judge(docs: DataFrame, references: DataFrame, text: str = "text", lang: str = "lang", **limits: float) -> DataFrame:
+    """``docs`` with a struct ``__quality``, see :func:`judge_counts`."""
+    return judge_counts(_counted(_held(docs), text), references, lang, **limits).select("row.*", F.col("verdict").alias("__quality"))
+
+
+def judged(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
+    """``row`` and ``verdict`` of every row, against the references of these documents; the texts are counted once."""
+    counts = stored_counts(docs, text, keep)
+    return judge_counts(counts, _stored(reference(counts, lang)), lang)
 
 
-def kept(docs: DataFrame, references: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep."""
-    judged = judge(docs, references, text, lang)
+def kept(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, against the references of these documents."""
     # A generator, unlike a filter, stays above the projections; below them every use of a column
     # would be computed anew.
-    once = F.when(F.col("__quality.kept"), F.array(F.lit(True)))
-    return judged.withColumn("__once", F.explode(once)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    once = F.when(F.col("verdict.kept"), F.array(F.lit(True)))
+    return judged(docs, text, lang).select("row", F.explode(once).alias("once")).select("row.*")

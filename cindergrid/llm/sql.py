@@ -122,14 +122,23 @@ based AS (
     coalesce(n_repeat_words, 0) AS n_repeat_words, chars, common,
     n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed
   FROM hist LEFT JOIN covered USING (doc_id)),
-far AS (
-  SELECT *, list_sum(ref_common) >= 2000 AND n_words >= 50 AS judged, {_distance("chars", "ref_chars", 7)} AS dc,
-    {_distance("common", "ref_common", len(_COMMON) + 1)} AS dw
-  FROM based LEFT JOIN ref_chars USING (lang) LEFT JOIN ref_common USING (lang))
+refs AS (
+  SELECT lang, ref_chars, ref_common, list_sum(ref_common) AS n FROM ref_chars JOIN ref_common USING (lang)
+  WHERE lang IS NOT NULL AND list_sum(ref_common) >= 2000),
+fallback AS (SELECT * FROM refs ORDER BY n DESC, lang LIMIT 64),
+against AS (
+  SELECT b.doc_id, b.n_words, chars, common, ref_chars, ref_common FROM based b JOIN refs USING (lang) WHERE n_words >= 50
+  UNION ALL
+  SELECT b.doc_id, b.n_words, chars, common, ref_chars, ref_common FROM based b, fallback
+  WHERE n_words >= 50 AND (b.lang IS NULL OR b.lang NOT IN (SELECT lang FROM refs))),
+held AS (
+  SELECT doc_id, n_words, {_distance("chars", "ref_chars", 7)} AS dc, {_distance("common", "ref_common", len(_COMMON) + 1)} AS dw
+  FROM against),
+far AS (SELECT doc_id, bool_and(dc > 0.30 OR n_words >= 120 AND dw > 0.27) AS off FROM held GROUP BY doc_id)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-  NOT base_failed AND NOT coalesce(judged AND (dc > 0.30 OR n_words >= 120 AND dw > 0.27), false) AS kept
-FROM far
+  NOT base_failed AND NOT coalesce(off, false) AS kept
+FROM based LEFT JOIN far USING (doc_id)
 """
 
 _WORDS7 = r"""CASE WHEN text IS NULL THEN [] ELSE list_filter(
