@@ -4,8 +4,8 @@ Only DataFrame functions over the texts. Candidates are the base matches and loo
 labelers vote +1, 0 (abstain) or -1 on each: a shape rule (regex), gazetteers, and the words around the
 candidate. Votes and a few span features make a code; the corpus is reduced to counts per code, of
 which there are at most ``CODES``, whatever its size. Expectation-maximisation over these counts
-estimates how reliable each labeler is and how likely each code is personal data; a logistic span
-classifier is trained on those likelihoods and applied to every candidate as one expression.
+estimates how reliable each labeler is for each kind, starting from the most trusted one, and how likely each
+code is personal data; a logistic span classifier is trained on those likelihoods and applied to every candidate as one expression.
 
 Base matches always stay; a looser candidate is added if the classifier accepts it and it touches no
 base span. Defined results: a NULL or empty text has no spans; without candidates nothing is learned
@@ -48,7 +48,9 @@ CONTEXT = 40
 LABELERS = 3
 FEATURES = 2
 CODES = len(KINDS) * 3**LABELERS * 2**FEATURES
-EM_ROUNDS = 50
+EM_ROUNDS = 500
+#: Pseudo-votes by which a kind's tables lean on those of all kinds.
+POOLED = 20.0
 FIT_ROUNDS = 200
 
 
@@ -132,30 +134,51 @@ def _decode(code: int) -> tuple[int, list[int], list[int]]:
     return code, votes, features
 
 
+def _start(votes: list[int]) -> float:
+    """Where EM starts: the word of the most trusted labeler that does not abstain (they are listed by trust)."""
+    said = next((v for v in votes if v), 0)
+    return {1: 0.95, 0: 0.5, -1: 0.05}[said]
+
+
 def reliabilities(counts: dict[int, int], rounds: int = EM_ROUNDS) -> tuple[dict[int, float], list[dict]]:
-    """EM for two classes: P(personal) per code, and per labeler the chances of its votes in each class."""
-    rows = {c: (_decode(c)[1], n) for c, n in counts.items()}
-    chance = {c: 0.9 if sum(v) > 0 else 0.1 if sum(v) < 0 else 0.5 for c, (v, _) in rows.items()}
-    tables: list[dict] = []
-    for _ in range(rounds):
-        total = sum(n for _, n in rows.values())
-        prior = (sum(chance[c] * n for c, (_, n) in rows.items()) + 1) / (total + 2)
+    """EM for two classes: P(personal) per code, and per labeler the chances of its votes in each class.
+
+    Each kind has its own prior and tables, drawn towards those of all kinds by ``POOLED`` pseudo-votes, so a
+    rare kind leans on the others and a common one speaks for itself. Votes alone fix the tables only with three
+    labelers that know something; with fewer, the start decides, and it trusts the first labeler most.
+    The tables returned are those of all kinds.
+    """
+    rows = {c: (*_decode(c)[:2], n) for c, n in counts.items()}
+    chance = {c: _start(votes) for c, (_, votes, _) in rows.items()}
+    kinds = sorted({kind for kind, _, _ in rows.values()})
+
+    def tables_of(kind: int | None, lean: list[dict] | None) -> tuple[float, list[dict]]:
+        mine = {c: (votes, n) for c, (k, votes, n) in rows.items() if kind is None or k == kind}
+        total = sum(n for _, n in mine.values())
+        prior = (sum(chance[c] * n for c, (_, n) in mine.items()) + 1) / (total + 2)
         tables = []
         for k in range(LABELERS):
             table = {}
             for positive in (True, False):
-                mass = {v: 1.0 for v in (-1, 0, 1)}
-                for c, (votes, n) in rows.items():
+                mass = {v: POOLED * lean[k][positive][v] if lean else 1.0 for v in (-1, 0, 1)}
+                for c, (votes, n) in mine.items():
                     mass[votes[k]] += n * (chance[c] if positive else 1 - chance[c])
                 whole = sum(mass.values())
                 table[positive] = {v: m / whole for v, m in mass.items()}
             tables.append(table)
-        for c, (votes, _) in rows.items():
+        return prior, tables
+
+    pooled: list[dict] = []
+    for _ in range(rounds):
+        _, pooled = tables_of(None, None)
+        of_kind_ = {kind: tables_of(kind, pooled) for kind in kinds}
+        for c, (kind, votes, _) in rows.items():
+            prior, tables = of_kind_[kind]
             odds = math.log(prior / (1 - prior)) + sum(
                 math.log(tables[k][True][v] / tables[k][False][v]) for k, v in enumerate(votes)
             )
             chance[c] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
-    return chance, tables
+    return chance, pooled
 
 
 def _inputs(code: int) -> list[float]:
