@@ -11,6 +11,7 @@ phrase all count; of overlapping spans of one notice the one with the fewest edi
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -130,8 +131,13 @@ class Finder:
                     if end > start:
                         found.append((sum(m.fuzzy_counts), start, end, i))
         kept: list[tuple[int, int, int, int]] = []
+        # Spans of one notice never overlap, so only the neighbours of a new one can.
+        taken: dict[int, list[tuple[int, int]]] = {}
         for edits, start, end, i in sorted(found):
-            if not any(j == i and start < y and x < end for j, x, y, _ in kept):
+            own = taken.setdefault(i, [])
+            at = bisect.bisect_left(own, (start, end))
+            if not (at and start < own[at - 1][1]) and not (at < len(own) and own[at][0] < end):
+                own.insert(at, (start, end))
                 kept.append((i, start, end, edits))
         return sorted(kept, key=lambda s: (s[1], s[2], s[0]))
 
@@ -141,9 +147,10 @@ def base_places(line: bytes) -> list[tuple[int, str]]:
     out = []
     for phrase, label in PHRASES.items():
         wanted = f" {phrase} ".encode()
-        at = line.find(wanted)
+        at, word, before = line.find(wanted), 0, 0
         while at >= 0:
-            out.append((line.count(b" ", 0, at), label))
+            word, before = word + line.count(b" ", before, at), at
+            out.append((word, label))
             at = line.find(wanted, at + 1)
     return out
 

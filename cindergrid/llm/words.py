@@ -52,6 +52,7 @@ class Original:
     def __init__(self, raw: bytes, line: bytes):
         marks = np.frombuffer(b" " + raw.translate(FOLD) + b" ", np.uint8) == 32
         self.raw = raw
+        self.points: np.ndarray | None = None
         self.word_starts = np.flatnonzero(marks[:-1] & ~marks[1:])
         self.spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
 
@@ -63,7 +64,10 @@ class Original:
         """Of a non-space offset in the line."""
         word = self.word_at(offset)
         at = int(self.word_starts[word]) + offset - int(self.spaces[word]) - 1
-        return len(self.raw[:at].decode("utf-8", "replace"))
+        if self.points is None:  # code points that begin before each byte, counted once for all places asked about
+            begins = np.frombuffer(self.raw, np.uint8) & 0xC0 != 0x80
+            self.points = np.concatenate([[0], np.cumsum(begins)])
+        return int(self.points[at])
 
 
 def with_columns(batch: pa.RecordBatch, columns: list[pa.Array], names: list[str]) -> pa.RecordBatch:
