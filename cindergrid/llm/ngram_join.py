@@ -16,8 +16,8 @@
 
 Skew. A shingle of a hundredth of all sets is heavy: heavy ones are found by local counts, ordered last,
 and kept out of the buckets (this order decides speed, never results). Large families are cut into
-blocks of bounded size; blocks are joined with themselves first, then in pairs, so the work on a family
-grows with its links. Nothing is dropped, capped or sampled.
+blocks of bounded size; blocks are joined with themselves first, then a set meets each other block that has
+one of its prefix shingles in a set of similar size. Nothing is dropped, capped or sampled.
 
 Defined results: a NULL, empty or blank text has no shingles, size 0 and is its own component; NULL ids
 take part, but never name a component unless all of its ids are NULL; repeated rows share one set.
@@ -426,16 +426,29 @@ def similar_sets(docs: DataFrame, copies: DataFrame, n_sets: int, n_shingles: in
     large = members.where("blocks > 1")
     if large.isEmpty():
         return near
-    large = large.join(near.select(F.col("a").alias("set_id"), F.col("b").alias("known")), "set_id")
-    # Each set meets every other block of its family once, as the lower or the upper block of the pair.
-    paired = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> block")
-    paired = paired.withColumns(
-        {"low": F.col("block") < F.col("other"), "i": F.least("block", "other"), "j": F.greatest("block", "other")}
-    )
+    paired = _exchanged(ordered, members).join(near.select(F.col("a").alias("set_id"), F.col("b").alias("known")), "set_id")
     far = paired.select("family", "i", "j", "set_id", "n", "tokens", "copies", "known", "low").groupBy("family", "i", "j").applyInArrow(_across, pair)
     return near.unionByName(stored(far, "ngram-links"))
 
 
+def _exchanged(ordered: DataFrame, members: DataFrame) -> DataFrame:
+    """Sets of families of several blocks, once for every other block that may hold a set similar to it.
+
+    Two similar sets share a prefix shingle and have similar sizes, so a set meets those blocks only in which one of its
+    prefix shingles is in the prefix of a set of such a size. A family that hangs together by a few shingles here and
+    there exchanges little, however large it is.
+    """
+    large = members.where("blocks > 1").select("set_id", "family", "block")
+    posted = ordered.select("set_id", "n", F.explode("prefix").alias("shingle")).join(large, "set_id")
+    there = posted.groupBy("shingle", F.col("block").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    fits = (F.col("other") != F.col("block")) & (5 * F.col("n") >= 4 * F.col("least")) & (4 * F.col("n") <= 5 * F.col("most"))
+    meets = posted.join(there, "shingle").where(fits).select("set_id", "other").distinct()
+    paired = members.join(meets, "set_id")
+    return paired.withColumns(
+        {"low": F.col("block") < F.col("other"), "i": F.least("block", "other"), "j": F.greatest("block", "other")}
+    )
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row ``doc_id, n_shingles, component_id`` (the least doc_id connected by similarity), ``set_id`` and ``n_links``.
 
