@@ -12,6 +12,7 @@ from cindergrid.functions.buckets import bucket
 from cindergrid.functions.measures import KG_PER_TONNE
 from cindergrid.functions.time import start_of
 from cindergrid.operators.staging import GRID_SOURCE, MARGINAL_SOURCE
+from cindergrid.plans import guard
 
 # Accepted filters and default row limits.
 PROVIDERS = ("GCP", "AWS", "Azure")
@@ -227,7 +228,8 @@ def trend_rows(
 
 # The session's list of views that ad-hoc SQL may read.
 VIEWS = "cindergrid.views"
-_LOGICAL = "org.apache.spark.sql.catalyst.plans.logical"
+#: What one ad-hoc query may read: 1 TiB.
+MOST_BYTES = 1 << 40
 
 
 def register_views(marts: Mapping[str, DataFrame]) -> None:
@@ -239,62 +241,20 @@ def register_views(marts: Mapping[str, DataFrame]) -> None:
         conf.set(VIEWS, ",".join(sorted(known | {name.lower()} - {""})))
 
 
-def _all_of(seq) -> list:
-    return [seq.apply(i) for i in range(seq.size())]
-
-
-def _kind(node) -> str:
-    return node.getClass().getName()
-
-
-def _require_query(spark: SparkSession, text: str) -> None:
-    """Reject whatever Spark would run rather than read, before anything is run."""
-    command = spark._jvm.java.lang.Class.forName(f"{_LOGICAL}.Command")
-    nodes = [spark._jsparkSession.sessionState().sqlParser().parsePlan(text)]
-    while nodes:
-        node = nodes.pop()
-        if command.isInstance(node) or "Statement" in _kind(node) or "CompoundBody" in _kind(node):
-            raise PermissionError("ad-hoc SQL must be a query")
-        nodes += _all_of(node.children())
-
-
-def _require_views(plan, views: set[str]) -> None:
-    """Reject relations that are not registered views, and functions that call into the JVM."""
-    nodes = [plan]
-    while nodes:
-        node = nodes.pop()
-        kind = _kind(node)
-        if kind == f"{_LOGICAL}.View":
-            if node.desc().identifier().table().lower() not in views:
-                raise PermissionError(f"{node.desc().identifier().table()} is not open to ad-hoc SQL")
-            continue  # what a registered view reads is its own affair
-        if node.children().isEmpty() and not kind.startswith((f"{_LOGICAL}.OneRow", f"{_LOGICAL}.LocalRelation", f"{_LOGICAL}.Range", f"{_LOGICAL}.CTERelationRef")):
-            raise PermissionError("ad-hoc SQL reads registered views only")
-        expressions = _all_of(node.expressions())
-        while expressions:
-            expression = expressions.pop()
-            if "Reflect" in _kind(expression):
-                raise PermissionError("ad-hoc SQL may not call into the JVM")
-            expressions += _all_of(expression.children())
-        nodes += _all_of(node.children()) + _all_of(node.subqueries())
-
-
-def ad_hoc(spark: SparkSession, query: str) -> DataFrame:
+def ad_hoc(spark: SparkSession, query: str, most_bytes: int | None = MOST_BYTES) -> DataFrame:
     """Run a read-only query over the registered views.
 
-    The text is parsed as it stands and must be a query: no command, no insert, no script. Its
-    analysed plan may read registered views only, no file or other table, and may not call Java
-    methods. Words such as ``created_at`` and a leading WITH are fine.
+    The text is parsed as it stands, and every part of it must be on the lists of :mod:`cindergrid.plans.guard`
+    before Spark sees it: no command, script, file, table or Java method, whatever form it comes in. Joins
+    need equal keys, and a query that would scan more than ``most_bytes`` is refused. Words
+    such as ``created_at`` and a leading WITH are fine.
     """
     text = query.strip().rstrip(";")
-    _require_query(spark, text)
-    files = spark.conf.get("spark.sql.runSQLOnFiles")
-    spark.conf.set("spark.sql.runSQLOnFiles", "false")
-    try:
-        rows = spark.sql(text)
-    finally:
-        spark.conf.set("spark.sql.runSQLOnFiles", files)
-    _require_views(rows._jdf.queryExecution().analyzed(), set(spark.conf.get(VIEWS, "").split(",")))
+    views = set(spark.conf.get(VIEWS, "").split(",")) - {""}
+    guard.require_query(spark, text, views)
+    rows = spark.sql(text)
+    guard.require_views(rows, views)
+    guard.require_bounded(rows, most_bytes)
     return rows
 
 

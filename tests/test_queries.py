@@ -127,6 +127,106 @@ def test_ad_hoc_reads_only(spark, readings):
     assert spark.catalog.tableExists("fact_grid_intensity")
 
 
+@pytest.fixture
+def open_view(spark):
+    rows_in = spark.createDataFrame([(1, "a", [1, 2]), (2, "b", [3])], "id int, name string, list array<int>")
+    api.register_views({"v": rows_in})
+    spark.range(3).createOrReplaceTempView("private_numbers")
+    return rows_in
+
+
+def test_ad_hoc_takes_ordinary_queries(spark, open_view):
+    for text, n in {
+        "SELECT * FROM v": 2,
+        "SELECT name, count(*) AS n, max(id) FILTER (WHERE id > 0) AS m FROM v GROUP BY ALL ORDER BY ALL LIMIT 5 OFFSET 0": 2,
+        "SELECT DISTINCT a.name FROM v a JOIN v b ON a.id = b.id AND a.name <= b.name": 2,
+        "SELECT x FROM v LATERAL VIEW explode(list) t AS x WHERE x IN (SELECT id FROM v)": 2,
+        "WITH w(i) AS (SELECT id FROM v), z AS (SELECT i FROM w) SELECT i FROM z UNION ALL SELECT i FROM w": 4,
+        "SELECT id, sum(id) OVER (PARTITION BY name ORDER BY id ROWS UNBOUNDED PRECEDING) AS s FROM v": 2,
+        "SELECT * FROM (VALUES (1, 'x')) AS t(i, n) WHERE EXISTS (SELECT 1 FROM v WHERE v.id = t.i)": 1,
+        "SELECT CASE WHEN name LIKE 'a%' THEN upper(name) ELSE date_format(DATE '2024-01-02', 'yyyy') END AS c FROM v": 2,
+        "SELECT id, share FROM v, (SELECT avg(id) AS share FROM v) m": 2,
+        "SELECT name, transform(list, x -> x + 1) AS t FROM v EXCEPT SELECT name, list FROM v": 2,
+        "SELECT name FROM v GROUP BY name HAVING count(*) > 0": 2,
+        "SELECT * FROM (SELECT name, id FROM v) PIVOT (sum(id) FOR name IN ('a', 'b'))": 1,
+    }.items():
+        assert api.ad_hoc(spark, text).count() == n, text
+
+
+def test_ad_hoc_refuses_and_leaves_no_trace(spark, open_view, tmp_path):
+    out = tmp_path / "out"
+    before = {r.name for r in spark.catalog.listTables()}
+    spark.udf.register("plus", lambda x: x, "int")
+    for text in (
+        "SELECT transform(id) USING 'id -un' AS (who string) FROM v",
+        f"SELECT transform(id) USING 'touch {out}' AS (who string) FROM v",
+        f"INSERT OVERWRITE DIRECTORY '{out}' USING csv SELECT 1",
+        f"INSERT OVERWRITE LOCAL DIRECTORY '{out}' SELECT id FROM v",
+        f"FROM v INSERT OVERWRITE DIRECTORY '{out}' USING csv SELECT id",
+        f"CREATE TABLE t USING csv LOCATION '{out}' AS SELECT 1 AS a",
+        "EXECUTE IMMEDIATE 'DROP VIEW v'",
+        "EXECUTE IMMEDIATE 'SET spark.cindergrid.x=y'",
+        "BEGIN DROP VIEW v; END",
+        "DECLARE x INT DEFAULT 1",
+        "SET VAR x = 1",
+        "SET spark.cindergrid.x=y",
+        "CACHE TABLE private_numbers",
+        "ADD JAR '/tmp/x.jar'",
+        "USE default",
+        "EXPLAIN SELECT * FROM private_numbers",
+        "DESCRIBE private_numbers",
+        "SHOW TABLES",
+        "TRUNCATE TABLE v",
+        "SELECT java_method('java.lang.System', 'setProperty', 'cindergrid', 'b')",
+        "SELECT * FROM v WHERE id = (SELECT reflect('java.lang.System', 'setProperty', 'cindergrid', 'b'))",
+        "SELECT * FROM v ORDER BY try_reflect('java.lang.System', 'setProperty', 'cindergrid', 'b')",
+        "WITH w AS (SELECT java_method('java.lang.System', 'setProperty', 'cindergrid', 'b') AS p) SELECT p FROM w",
+        "SELECT x FROM v LATERAL VIEW explode(array(reflect('java.lang.System', 'setProperty', 'cindergrid', 'b'))) t AS x",
+        "SELECT plus(id) FROM v",
+        "SELECT session.plus(id) FROM v",
+        "SELECT input_file_name() FROM v",
+        "SELECT raise_error('x') FROM v",
+        "SELECT * FROM range(1000000000)",
+        "SELECT * FROM IDENTIFIER('private_numbers')",
+        "SELECT * FROM private_numbers",
+        "SELECT * FROM default.v",
+        "SELECT * FROM csv.`/etc/passwd`",
+        "SELECT * FROM v VERSION AS OF 1",
+        "SELECT (SELECT max(id) FROM private_numbers) AS m FROM v",
+        "SELECT * FROM v WHERE id IN (SELECT id FROM private_numbers)",
+        "WITH w AS (SELECT * FROM private_numbers) SELECT * FROM w",
+        "WITH private_numbers AS (SELECT * FROM private_numbers) SELECT * FROM private_numbers",
+        "SELECT a.id FROM v a CROSS JOIN v b",
+        "SELECT a.id FROM v a, v b",
+        "SELECT a.id FROM v a JOIN v b ON a.id < b.id",
+        "SELECT id FROM v a WHERE EXISTS (SELECT 1 FROM v b WHERE b.id < a.id)",
+        "SELECT a.id FROM v a LEFT JOIN LATERAL (SELECT b.id FROM v b) ON true",
+    ):
+        with pytest.raises((PermissionError, ParseException, AnalysisException)):
+            api.ad_hoc(spark, text).collect()
+            pytest.fail(text)
+    assert not out.exists()
+    assert {r.name for r in spark.catalog.listTables()} == before
+    assert spark.conf.get("spark.cindergrid.x", None) is None
+    assert spark._jvm.java.lang.System.getProperty("cindergrid") is None
+
+
+def test_ad_hoc_refuses_large_scans(spark, sf):
+    api.register_views({"lines": spark.read.parquet(f"{sf}/lineitem.parquet")})
+    assert api.ad_hoc(spark, "SELECT count(*) AS n FROM lines").first().n > 0
+    with pytest.raises(PermissionError, match="bytes"):
+        api.ad_hoc(spark, "SELECT count(*) AS n FROM lines", most_bytes=1000)
+
+
+def test_a_function_that_stands_in_for_a_built_in_is_refused(spark):
+    other = spark.newSession()
+    api.register_views({"v": other.createDataFrame([(1, "a")], "id int, name string")})
+    assert api.ad_hoc(other, "SELECT initcap(name) AS n FROM v").first().n == "A"
+    other.udf.register("initcap", lambda x: "not it", "string")
+    with pytest.raises(PermissionError):
+        api.ad_hoc(other, "SELECT initcap(name) FROM v")
+
+
 def test_records(cloud):
     answer = api.records(cloud.orderBy("id"), limit=5)
     assert answer["count"] == 5 and answer["data"][0]["cloud_provider"]
@@ -199,7 +299,7 @@ def test_no_cross_joins_and_no_python(spark, sf):
     from cindergrid.plans.testbed_queries import QUERIES
 
     started = {
-        "stream_hourly", "stream_upsert", "load_late", "export_parquet", "export_csv", "export_csv_limited",
+        "stream_hourly", "stream_upsert", "stream_corrected", "load_late", "refresh_touched", "export_parquet", "export_csv", "export_csv_limited",
         "export_csv_dump",
     }
     for name, query in QUERIES.items():
