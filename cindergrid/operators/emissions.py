@@ -107,6 +107,12 @@ def trend_label(change_percent):
 
 
 def carbon_trends(fact: DataFrame, ordered: bool = True) -> DataFrame:
+    """The trends straight from the fact."""
+    trends = trends_of_months(monthly_emissions(fact))
+    return trends.orderBy(F.desc("month"), "cloud_provider", "account_id") if ordered else trends
+
+
+def trends_of_months(monthly: DataFrame) -> DataFrame:
     """Month-over-month change, rolling average, year-to-date sum, shares and label.
 
     The windows run after the monthly aggregate, so an account's partition holds one row per
@@ -117,8 +123,8 @@ def carbon_trends(fact: DataFrame, ordered: bool = True) -> DataFrame:
     this_year = Window.partitionBy("cloud_provider", "account_id", F.year("month")).orderBy("month")
     total, previous = F.col("total_kgco2e"), F.col("prev_month_kgco2e")
     change = F.col("mom_change_kgco2e")
-    trends = (
-        monthly_emissions(fact)
+    return (
+        monthly
         .withColumn("prev_month_kgco2e", F.lag("total_kgco2e").over(account))
         .withColumn("rolling_3mo_avg_kgco2e", F.avg("total_kgco2e").over(account.rowsBetween(-2, 0)))
         .withColumn("ytd_total_kgco2e", F.sum("total_kgco2e").over(this_year))
@@ -148,7 +154,6 @@ def carbon_trends(fact: DataFrame, ordered: bool = True) -> DataFrame:
             trend_label(F.col("mom_change_percent")).alias("trend_indicator"),
         )
     )
-    return trends.orderBy(F.desc("month"), "cloud_provider", "account_id") if ordered else trends
 
 
 def trends_in_tonnes(trends: DataFrame) -> DataFrame:

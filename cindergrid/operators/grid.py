@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cindergrid.functions.buckets import INTENSITY, Scale, bucket
@@ -152,17 +152,42 @@ def daily_for_dashboards(daily: DataFrame) -> DataFrame:
 PERIOD_COLUMN = {"day": "date", "week": "week_start", "month": "month_start"}
 
 
-def period_rollup(fact: DataFrame, unit: str) -> DataFrame:
-    """Plain statistics per region and day, week or month."""
+def day_states(fact: DataFrame) -> DataFrame:
+    """What the rollups and statistics of longer periods add up: sums, counts and extremes per region and day.
+
+    States of different days never overlap, so a period is the plain sum of its days, and a month that
+    changes changes its own states only. A day is one row of its region, which makes distinct days a count.
+    """
+    grams = F.col(_G)
+    sums = {"intensity": grams, "fossil": F.col("fossil_fuel_percentage"), "renewable": F.col("renewable_percentage")}
+    return fact.groupBy("grid_region", "timestamp_day").agg(
+        *[total(value).alias(f"{name}_{kind}") for name, value in sums.items() for kind, total in (("sum", F.sum), ("count", F.count))],
+        F.min(grams).alias("intensity_min"),
+        F.max(grams).alias("intensity_max"),
+        F.count("*").alias("readings"),
+    ).withColumn("timestamp_month", start_of("month", F.col("timestamp_day")))
+
+
+def mean_of_states(name: str) -> Column:
+    """The mean over many states; NULL if they have no value."""
+    return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count"))
+
+
+def rollup_of_states(states: DataFrame, unit: str) -> DataFrame:
+    """Plain statistics per region and day, week or month, from the states of days."""
     if unit not in PERIOD_COLUMN:
         raise ValueError(f"unit must be one of {sorted(PERIOD_COLUMN)}, not {unit!r}")
     period = start_of(unit, F.col("timestamp_day")).cast("date").alias(PERIOD_COLUMN[unit])
-    grams = F.col(_G)
-    return fact.groupBy("grid_region", period).agg(
-        F.avg(grams).alias("avg_intensity"),
-        F.min(grams).alias("min_intensity"),
-        F.max(grams).alias("max_intensity"),
-        F.avg("fossil_fuel_percentage").alias("avg_fossil_percentage"),
-        F.avg("renewable_percentage").alias("avg_renewable_percentage"),
-        F.count("*").alias("readings_count"),
+    return states.groupBy("grid_region", period).agg(
+        mean_of_states("intensity").alias("avg_intensity"),
+        F.min("intensity_min").alias("min_intensity"),
+        F.max("intensity_max").alias("max_intensity"),
+        mean_of_states("fossil").alias("avg_fossil_percentage"),
+        mean_of_states("renewable").alias("avg_renewable_percentage"),
+        F.sum("readings").alias("readings_count"),
     )
+
+
+def period_rollup(fact: DataFrame, unit: str) -> DataFrame:
+    """The rollup straight from the fact."""
+    return rollup_of_states(day_states(fact), unit)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cindergrid.functions.buckets import CLEANLINESS, INTENSITY, bucket
+from cindergrid.operators.grid import day_states, mean_of_states
 
 # Region rules in order; a code ending in % is a prefix. For each attribute the
 # first matching rule that has a value for it wins; a dash means the rule has none.
@@ -79,28 +80,32 @@ def with_region_metadata(rows: DataFrame, code: str = "grid_region") -> DataFram
     return rows.withColumns(region_metadata(F.col(code)))
 
 
-def region_stats(fact: DataFrame) -> DataFrame:
-    """Coverage and intensity statistics per region, from one pass over the fact."""
-    grams = F.col("carbon_intensity_gco2eq_per_kwh")
-    return fact.groupBy("grid_region").agg(
+def stats_of_states(states: DataFrame) -> DataFrame:
+    """Coverage and intensity statistics per region from the states of its days."""
+    return states.groupBy("grid_region").agg(
         F.min("timestamp_day").alias("first_data_date"),
         F.max("timestamp_day").alias("last_data_date"),
-        F.count_distinct("timestamp_day").alias("days_of_data"),
-        F.avg(grams).alias("avg_carbon_intensity"),
-        F.min(grams).alias("min_carbon_intensity"),
-        F.max(grams).alias("max_carbon_intensity"),
-        F.avg("renewable_percentage").alias("avg_renewable_percentage"),
+        F.count("timestamp_day").alias("days_of_data"),
+        mean_of_states("intensity").alias("avg_carbon_intensity"),
+        F.min("intensity_min").alias("min_carbon_intensity"),
+        F.max("intensity_max").alias("max_carbon_intensity"),
+        mean_of_states("renewable").alias("avg_renewable_percentage"),
     )
 
 
+def region_stats(fact: DataFrame) -> DataFrame:
+    """The statistics straight from the fact, in one pass."""
+    return stats_of_states(day_states(fact))
+
+
 _STATS = [
     "first_data_date", "last_data_date", "days_of_data", "avg_carbon_intensity",
     "min_carbon_intensity", "max_carbon_intensity", "avg_renewable_percentage",
 ]
 
 
-def dim_grid_regions(fact: DataFrame) -> DataFrame:
-    """Every region of the fact with metadata, statistics and cleanliness.
+def dim_of_stats(stats: DataFrame) -> DataFrame:
+    """Every region with metadata, statistics and cleanliness.
 
     The statistics already hold one row per region and the metadata is a projection, so no
     join is needed. A NULL region keeps its row; nothing is known about it.
@@ -108,7 +113,7 @@ def dim_grid_regions(fact: DataFrame) -> DataFrame:
     known = F.col("grid_region").isNotNull()
     metadata = region_metadata(F.col("grid_region"))
     average = F.when(known, F.col("avg_carbon_intensity"))
-    return region_stats(fact).select(
+    return stats.select(
         "grid_region",
         *[F.when(known, expression).alias(name) for name, expression in metadata.items()],
         *[F.when(known, F.col(name)).alias(name) for name in _STATS],
@@ -120,16 +125,26 @@ def dim_grid_regions(fact: DataFrame) -> DataFrame:
     )
 
 
-def region_stats_table(fact: DataFrame) -> DataFrame:
+def dim_grid_regions(fact: DataFrame) -> DataFrame:
+    return dim_of_stats(region_stats(fact))
+
+
+def labelled(stats: DataFrame) -> DataFrame:
     """The statistics with the cleanliness label, as a side table next to a static dimension."""
-    return region_stats(fact).withColumn(
-        "cleanliness_category", bucket(F.col("avg_carbon_intensity"), CLEANLINESS)
-    )
+    return stats.withColumn("cleanliness_category", bucket(F.col("avg_carbon_intensity"), CLEANLINESS))
 
 
-def seed_with_stats(seed: DataFrame, fact: DataFrame) -> DataFrame:
+def region_stats_table(fact: DataFrame) -> DataFrame:
+    return labelled(region_stats(fact))
+
+
+def with_stats(seed: DataFrame, stats: DataFrame) -> DataFrame:
     """The static dimension with what the readings say about each region; unread regions stay."""
-    return seed.join(region_stats_table(fact), "grid_region", "left")
+    return seed.join(labelled(stats), "grid_region", "left")
+
+
+def seed_with_stats(seed: DataFrame, fact: DataFrame) -> DataFrame:
+    return with_stats(seed, region_stats(fact))
 
 
 # Which dimension column lists the regions of which provider.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -81,6 +81,8 @@ def upsert_parquet(
     partition_by: Sequence[str],
     version: str = "extracted_at",
     staging: str | None = None,
+    removed: DataFrame | None = None,
+    before: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Upsert into a partitioned Parquet table, touching only the batch's partitions.
 
@@ -88,7 +90,11 @@ def upsert_parquet(
     2. Target partitions between the lowest and the highest arriving one are read (the rest
        is pruned at run time), cut to those that really occur, and merged into the staging
        folder: Spark cannot overwrite what it reads. Then the folder is marked ready.
-    3. Dynamic partition overwrite moves the merged partitions in; the mark is taken away.
+    3. The merged partitions replace the old ones, those that come out empty go; the mark is taken away.
+
+    ``removed`` names keys (with their partition columns) whose rows go unless the batch has them again.
+    ``before`` is called with the staged batch before the table changes in any way, so what it
+    notes is known even if the run dies in the middle.
 
     A run that died before the mark has not touched the table. One that died after it may have
     replaced, or only removed, some partitions; the staging folder then has the only whole copy.
@@ -103,63 +109,122 @@ def upsert_parquet(
     newest = latest_per_key(batch, keys, version).select(*batch.columns)
     write_partitioned(newest, f"{staging}/arriving", partition_by, replace_all=True)
     arriving = spark.read.schema(batch.schema).parquet(f"{staging}/arriving").select(*batch.columns)
+    if before:
+        before(arriving)
+
+    named = [*dict.fromkeys([*keys, *partition_by])]
+    gone = arriving.select(*named)
+    if removed is not None:
+        gone = gone.unionByName(removed.select(*named))
+    touched = gone.select(*partition_by).distinct()
+    kept = _join_on(touched_partitions(target, gone, partition_by), gone, keys, "left_anti")
+    stage_replacement(kept.unionByName(arriving.select(*target.columns)), staging, partition_by, touched)
+    move_in(spark, path, staging, batch.schema, partition_by)
+
+
+def stage_replacement(
+    rows: DataFrame, staging: str, partition_by: Sequence[str], touched: DataFrame | None
+) -> None:
+    """Write what shall stand in the ``touched`` partitions (all, if None) beside the table, then mark it ready.
 
-    merged = replace_rows(touched_partitions(target, arriving, partition_by), arriving, keys)
-    write_partitioned(merged, f"{staging}/merged", partition_by, replace_all=True)
+    Touched partitions are stored as empty-handed folders of the same names, so those without rows are known.
+    """
+    spark = rows.sparkSession
+    if partition_by:
+        write_partitioned(rows, f"{staging}/merged", partition_by, replace_all=True)
+    else:
+        rows.write.mode("overwrite").parquet(f"{staging}/merged")
+    if touched is not None:
+        names = touched.select(*partition_by, F.lit(True).alias("touched")).coalesce(1)
+        names.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{staging}/touched")
+    else:
+        remove_folder(spark, f"{staging}/touched")
     _mark(spark, staging, ready=True)
-    move_in(spark, path, staging, batch.schema, partition_by)
 
 
 def move_in(
     spark: SparkSession, path: str, staging: str, schema: T.StructType, partition_by: Sequence[str]
 ) -> None:
-    """Put the merged partitions in place; they are complete, so doing it twice is harmless."""
+    """Put the staged rows in place; they are complete, so doing it twice is harmless.
+
+    They are written anew rather than renamed, because a rename is no single step on every storage.
+    """
     merged = spark.read.schema(schema).parquet(f"{staging}/merged")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *partition_by
-    ).parquet(path)
+    partial = has_folder(spark, f"{staging}/touched")
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partial else "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if partial:
+        left = _folders(spark, f"{staging}/merged", len(partition_by))
+        for name in _folders(spark, f"{staging}/touched", len(partition_by)) - left:
+            remove_folder(spark, f"{path}/{name}")
     _mark(spark, staging, ready=False)
     remove_folder(spark, staging)
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Through Hadoop, whatever the storage is."""
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and its file system, whatever the storage is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _path(spark, path)
+    files.delete(folder, True)
+
+
+def has_folder(spark: SparkSession, path: str) -> bool:
+    folder, files = _path(spark, path)
+    return files.exists(folder)
+
 
+def _folders(spark: SparkSession, path: str, depth: int) -> set[str]:
+    """Names of the partition folders ``depth`` levels below a path, one per partition."""
+    if depth == 0:
+        return {""}
+    folder, files = _path(spark, path)
+    found = [f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory()]
+    return {f"{name}/{rest}".rstrip("/") for name in found if "=" in name for rest in _folders(spark, f"{path}/{name}", depth - 1)}
 
-def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put a completely written folder in place of another; the old one goes last."""
-    names = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path, f"{path}-old")]
-    files = names[0].getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(names[2], True)
-    if files.exists(names[1]):
-        files.rename(names[1], names[2])
-    files.rename(names[0], names[1])
-    files.delete(names[2], True)
+
+def is_pending(spark: SparkSession, staging: str) -> bool:
+    """Whether staged rows are complete and not yet, or not wholly, in place."""
+    try:
+        return not spark.read.schema("id bigint").parquet(f"{staging}/ready").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
 
 
 def finish_pending(
     spark: SparkSession, path: str, staging: str, schema: T.StructType, partition_by: Sequence[str]
 ) -> bool:
-    """Complete an upsert that died while moving in; must run before a cursor reads the table.
+    """Complete a replacement that died while moving in; must run before a cursor reads the table.
 
     Otherwise a replaced newest partition would advance the cursor past older partitions that
     were not replaced yet.
     """
-    try:
-        pending = not spark.read.schema("id bigint").parquet(f"{staging}/ready").isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+    pending = is_pending(spark, staging)
     if pending:
         move_in(spark, path, staging, schema, partition_by)
     return pending
 
 
+def as_replaced(
+    spark: SparkSession, path: str, staging: str, schema: T.StructType, partition_by: Sequence[str]
+) -> DataFrame:
+    """The table at ``path`` as it is once a pending replacement has moved in, whatever the state it is in now."""
+    merged = spark.read.schema(schema).parquet(f"{staging}/merged")
+    if not has_folder(spark, f"{staging}/touched") or not has_folder(spark, path):
+        return merged
+    by = T.StructType([schema[c] for c in partition_by])
+    touched = spark.read.schema(by).parquet(f"{staging}/touched")
+    old = spark.read.schema(schema).parquet(path)
+    return _join_on(old, touched, partition_by, "left_anti").unionByName(merged)
+
+
 def _mark(spark: SparkSession, staging: str, ready: bool) -> None:
-    spark.range(int(ready)).write.mode("overwrite").parquet(f"{staging}/ready")
+    spark.range(int(ready)).coalesce(1).write.mode("overwrite").parquet(f"{staging}/ready")
 
 
 def touched_partitions(

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cindergrid.operators.upsert import upsert_parquet
-from cindergrid.plans.warehouse import build_marts, dashboard_tables
+from cindergrid.operators.upsert import remove_folder, upsert_parquet
+from cindergrid.plans import changes
+from cindergrid.plans.warehouse import CLOUD_FEEDS, GRID_FEEDS, build_marts, dashboard_tables, open_marts
 from cindergrid.schemas import NATURAL_KEYS, RAW_PERIOD
 from cindergrid.sources import feeds, landing
 from cindergrid.sources.cursors import LOAD_WINDOWS, initial_load, load_period
@@ -65,6 +66,8 @@ def _as_text(rows: DataFrame) -> DataFrame:
 
 
 FILES = "path string, length long, modified timestamp"
+#: Files that a load reads and notes at a time, about; their names are all that the driver holds.
+FILES_AT_A_TIME = 10_000
 
 
 def _not_loaded(spark: SparkSession, listed: DataFrame, path: str) -> DataFrame:
@@ -88,6 +91,7 @@ def load_feed(
     landed_after: datetime | None = None,
     lookback: int | None = None,
     every_file: bool = False,
+    files_at_a_time: int = FILES_AT_A_TIME,
 ) -> DataFrame:
     """Load what a feed has landed since the last run; returns the raw table.
 
@@ -95,37 +99,56 @@ def load_feed(
     has read are upserted, however late or corrected they are, and the version settles
     restatements. Files are known by path, length and modification time, listed in
     ``<raw_folder>/files/<feed>``, so one that appears with an old time is new and one that changed is
-    read again. ``every_file`` reads the whole archive, ``landed_after`` (UTC) the files since then. Only with an explicit ``lookback`` (in the feed's unit, before
-    ``as_of``) are older rows left out.
+    read again. ``every_file`` reads the whole archive, ``landed_after`` (UTC) the files since then. Only with
+    an explicit ``lookback`` (in the feed's unit, before ``as_of``) are older rows left out.
+
+    A large archive is taken in lots of about ``files_at_a_time`` files, each noted when it is stored: the driver
+    holds the names of one lot, and a load that dies goes on with the lot it was at.
 
     Lines that are no records, and rows without a key or time, go to the quarantine, by
-    default ``<raw_folder>/quarantine/<feed>``.
+    default ``<raw_folder>/quarantine/<feed>``. The months of all other rows are noted for the marts.
     """
-    return _load(spark, feed, paths, raw_folder, as_of, account, quarantine, landed_after, lookback, every_file)[0]
-
-
-def _load(
-    spark: SparkSession, feed: str, paths, raw_folder: str, as_of=None, account=None, quarantine=None,
-    landed_after=None, lookback=None, every_file=False,
-) -> tuple[DataFrame, date | None]:
-    """The raw table, and the first partition that the load touched."""
     done = f"{raw_folder}/files/{feed}"
-    # Collected, so that what is read and what is noted are the same files; only those to be read.
     listed = landing.list_files(spark, paths, landed_after).distinct()
-    files = (listed if every_file or landed_after else _not_loaded(spark, listed, done)).collect()
-    landed = landing.read_files(spark, _record_shape(feed), [f["path"] for f in files])
+    todo = listed if every_file or landed_after else _not_loaded(spark, listed, done)
+    # Listed once: what is read and what is noted are the same files, whatever lands meanwhile.
+    staged = f"{raw_folder}/staging/{feed}-files"
+    todo.write.mode("overwrite").parquet(staged)
+    todo = spark.read.schema(FILES).parquet(staged)
+    lots = max(1, -(-todo.count() // files_at_a_time))
+    for lot in range(lots):
+        files = todo.where(F.pmod(F.xxhash64("path"), F.lit(lots)) == lot).collect()
+        table = _load_files(spark, feed, files, raw_folder, as_of, account, quarantine, lookback)
+        # Written last: a lot that dies is done again from the same files.
+        spark.createDataFrame(files, FILES).coalesce(1).write.mode("append").parquet(done)
+    remove_folder(spark, staged)
+    return table
+
+
+def _load_files(spark: SparkSession, feed: str, files, raw_folder: str, as_of, account, quarantine, lookback) -> DataFrame:
+    """Parses the files once, sets bad records aside and upserts the rest."""
+    parsed = f"{raw_folder}/staging/{feed}-parsed"
+    landing.read_files(spark, _record_shape(feed), [f["path"] for f in files]).write.mode("overwrite").parquet(parsed)
+    landed = landing.parsed_landing(spark, _record_shape(feed), parsed)
     rows = normalise(landing.good_records(landed), feed, account)
     aside = f"{quarantine or raw_folder + '/quarantine'}/{feed}"
     set_aside(spark, landing.bad_records(landed).unionAll(_as_text(rows.where(~keyed(rows, feed)))), aside)
     arriving = rows.where(keyed(rows, feed))
     if lookback is not None:
         arriving = initial_load(arriving, feed, F.current_timestamp() if as_of is None else as_of, lookback)
+    table = _upsert(spark, feed, arriving, raw_folder)
+    remove_folder(spark, parsed)
+    return table
+
+
+def _upsert(spark: SparkSession, feed: str, arriving: DataFrame, raw_folder: str) -> DataFrame:
+    """Into the raw table; the months it changes are noted before it changes."""
     path = f"{raw_folder}/{feed}"
-    touched = arriving.agg(F.min(RAW_PERIOD).alias("first")).first()["first"]
-    upsert_parquet(spark, path, arriving, NATURAL_KEYS[feed], [RAW_PERIOD], staging=f"{raw_folder}/staging/{feed}")
-    # Written last: a load that dies is done again from the same files.
-    spark.createDataFrame(files, FILES).coalesce(1).write.mode("append").parquet(done)
-    return spark.read.schema(rows.schema).parquet(path), touched
+    upsert_parquet(
+        spark, path, arriving, NATURAL_KEYS[feed], [RAW_PERIOD], staging=f"{raw_folder}/staging/{feed}",
+        before=lambda staged: changes.note(raw_folder, feed, staged),
+    )
+    return spark.read.schema(arriving.schema).parquet(path)
 
 
 def load_export(
@@ -134,11 +157,7 @@ def load_export(
     """Upsert the nested feed from its typed table export; returns the raw table."""
     rows = normalise(landing.read_export(spark, paths, min_month), "gcp")
     set_aside(spark, _as_text(rows.where(~keyed(rows, "gcp"))), f"{raw_folder}/quarantine/gcp")
-    upsert_parquet(
-        spark, f"{raw_folder}/gcp", rows.where(keyed(rows, "gcp")), NATURAL_KEYS["gcp"], [RAW_PERIOD],
-        staging=f"{raw_folder}/staging/gcp",
-    )
-    return spark.read.schema(rows.schema).parquet(f"{raw_folder}/gcp")
+    return _upsert(spark, "gcp", rows.where(keyed(rows, "gcp")), raw_folder)
 
 
 def follow_feed(
@@ -159,7 +178,10 @@ def follow_feed(
         set_aside(spark, landing.bad_records(batch).unionAll(_as_text(rows.where(~keyed(rows, feed)))), aside)
         return rows.where(keyed(rows, feed))
 
-    return run_upsert(landed, f"{raw_folder}/{feed}", checkpoint, NATURAL_KEYS[feed], [RAW_PERIOD], accept=accept)
+    return run_upsert(
+        landed, f"{raw_folder}/{feed}", checkpoint, NATURAL_KEYS[feed], [RAW_PERIOD], accept=accept,
+        before=lambda staged: changes.note(raw_folder, feed, staged),
+    )
 
 
 def stored_raw(spark: SparkSession, raw_folder: str) -> dict[str, DataFrame]:
@@ -188,16 +210,39 @@ def refresh(
 ) -> dict[str, DataFrame]:
     """Load the given feeds, then build the marts from every feed loaded so far.
 
-    All months are built, or those from ``since`` on, or with ``touched_only`` those from the
-    first month that this load changed. ``lookback`` names feeds whose older rows are left out.
+    All months are built, or those from ``since`` on, or with ``touched_only`` those that have changed since the
+    marts were last stored: by this load, by loads of other runs and by runs that died before their marts. A
+    month that has no rows any more leaves the marts, and marts without changes are returned as they are
+    stored. ``lookback`` names feeds whose older rows are left out.
     The daily mart comes back in the dashboards' names, so that the result meets their contract.
     """
-    first = []
     for feed, paths in landed.items():
-        _, touched = _load(
+        load_feed(
             spark, feed, paths, raw_folder, as_of, None, quarantine, landed_after, (lookback or {}).get(feed)
         )
-        first += [touched] if touched else []
-    if touched_only and first:
-        since = min([*first, *([since] if since else [])])
-    return dashboard_tables(build_marts(spark, stored_raw(spark, raw_folder), mart_folder, since))
+    return dashboard_tables(follow_changes(spark, raw_folder, mart_folder, since, touched_only))
+
+
+def follow_changes(
+    spark: SparkSession, raw_folder: str, mart_folder: str, since: date | None = None, touched_only: bool = True
+) -> dict[str, DataFrame]:
+    """Bring the marts up to the raw tables; what has been noted until now is struck out when they are stored."""
+    if since and touched_only:
+        raise ValueError("either the touched months or all since one, not both")
+    raw, noted = stored_raw(spark, raw_folder), changes.waiting(spark, raw_folder)
+    if not touched_only:
+        marts = build_marts(spark, raw, mart_folder, since)
+        if since is None or min([since.replace(day=1), *noted.of(set(LOAD_WINDOWS))]) >= since.replace(day=1):
+            changes.strike_out(spark, noted)
+        return marts
+    sides = {"cloud": CLOUD_FEEDS, "grid": GRID_FEEDS}
+    stored = open_marts(spark, mart_folder)
+    marts = {}
+    for side, fact in (("cloud", "fact_cloud_carbon"), ("grid", "fact_grid_intensity")):
+        of_side = {feed: rows for feed, rows in raw.items() if feed in sides[side]}
+        if of_side and fact not in stored:  # never built, so no notes can be complete
+            marts |= build_marts(spark, of_side, mart_folder)
+        elif found := noted.of(sides[side]):
+            marts |= build_marts(spark, of_side, mart_folder, months={side: found})
+    changes.strike_out(spark, noted)
+    return open_marts(spark, mart_folder, stored.keys() - marts.keys()) | marts

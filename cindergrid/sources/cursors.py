@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 from datetime import date
 
@@ -47,6 +48,13 @@ def from_month(rows: DataFrame, feed: str, month: date) -> DataFrame:
     return rows.where(F.col(RAW_PERIOD) >= first) if RAW_PERIOD in rows.columns else rows
 
 
+def in_months(rows: DataFrame, feed: str, months: Collection[date]) -> DataFrame:
+    """Raw rows of exactly these months; on a stored raw table all other partitions are skipped."""
+    chosen = [F.lit(m) for m in months]
+    rows = rows.where(F.trunc(F.col(LOAD_WINDOWS[feed].cursor).cast("date"), "month").isin(chosen))
+    return rows.where(F.trunc(RAW_PERIOD, "month").isin(chosen)) if RAW_PERIOD in rows.columns else rows
+
+
 def lookback_start(feed: str, as_of: Column, lookback: int | None = None) -> Column:
     """First load: N*30 days back to the start of that month, N days back, or N hours back."""
     rule = LOAD_WINDOWS[feed]

@@ -48,6 +48,11 @@ def read_files(spark: SparkSession, feed: str, files: Sequence[str]) -> DataFram
     return parse_landing(_filled(spark.read.text([re.sub(r"([\\*?\[\]{}])", r"\\\1", f) for f in files])), feed)
 
 
+def parsed_landing(spark: SparkSession, feed: str, path: str) -> DataFrame:
+    """Parsed records, stored as :func:`read_files` returned them."""
+    return spark.read.schema(f"{LANDED[feed]}, {CORRUPT} string").parquet(path)
+
+
 def read_export(spark: SparkSession, paths: str | Sequence[str], min_month: date | None = None) -> DataFrame:
     """The typed table export of the nested feed, from ``min_month`` on; the bound reaches the scan."""
     rows = spark.read.schema(LANDED["gcp"]).parquet(*([paths] if isinstance(paths, str) else paths))

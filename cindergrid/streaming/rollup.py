@@ -14,6 +14,12 @@ from cindergrid.operators.upsert import touched_partitions, upsert_parquet
 POINT_KEYS = ["ba", "point_time"]
 HOUR_KEYS = ["grid_region", "timestamp_hour"]
 DAY = "day"
+# Stated, as a table whose last hour was corrected away has no file to read it from.
+HOURS = (
+    "grid_region string, timestamp_hour timestamp_ntz, data_source string, carbon_intensity_kgco2eq_per_kwh double, "
+    "carbon_intensity_gco2eq_per_kwh double, percentile_rank double, sum_kgco2_per_kwh double, points bigint, "
+    "extracted_at timestamp_ntz, day date"
+)
 
 
 def hourly_points(raw: DataFrame) -> DataFrame:
@@ -48,10 +54,10 @@ def run_hourly(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process what is available, upsert points and hours, stop.
 
     Each micro-batch is merged into ``<path>/points`` by authority and time; the hours that it
-    touches are computed anew from the stored points and merged into ``<path>/hours``. So every
-    hour is there as soon as it has a point, a late or corrected point changes its hour however
-    late it is, and a replayed batch changes nothing. Days partition both tables: a batch reads
-    and rewrites the days it has points of.
+    touches are computed anew from the stored points and take the place of what ``<path>/hours`` has of them.
+    So every hour is there as soon as it has a point that counts and goes when its last one is corrected
+    away, a late or corrected point changes its hour however late it is, and a replayed batch changes nothing.
+    Days partition both tables: a batch reads and rewrites the days it has points of.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -64,10 +70,13 @@ def run_hourly(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         hour = start_of("hour", F.col("point_time")).alias("hour")
         touched = points.select("ba", hour, DAY).distinct()
         same_days = touched_partitions(stored, touched, [DAY]).withColumn("hour", hour)
-        hours = hourly_points(same_days.join(touched, ["ba", "hour", DAY], "left_semi").select(*points.columns))
+        # Null-safe: points without an authority have their hours too.
+        same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("ba", "hour", DAY)]
+        of_hours = same_days.alias("l").join(touched.alias("r"), same, "left_semi").select(*points.columns)
         upsert_parquet(
-            spark, f"{path}/hours", hours.withColumn(DAY, F.to_date("timestamp_hour")), HOUR_KEYS, [DAY],
+            spark, f"{path}/hours", hourly_points(of_hours).withColumn(DAY, F.to_date("timestamp_hour")), HOUR_KEYS, [DAY],
             staging=f"{checkpoint}-staging/hours",
+            removed=touched.select(F.col("ba").alias("grid_region"), F.col("hour").alias("timestamp_hour"), DAY),
         )
 
     return (
@@ -79,4 +88,4 @@ def run_hourly(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def read_hours(spark, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/hours").drop(DAY)
+    return spark.read.schema(HOURS).parquet(f"{path}/hours").drop(DAY)

@@ -18,19 +18,20 @@ def run_upsert(
     partition_by: Sequence[str],
     version: str = "extracted_at",
     accept: Callable[[DataFrame], DataFrame] | None = None,
+    before: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Merge everything available into ``path``.
 
     A batch that is replayed after a failure first completes what the lost try had begun to
     move in, then finds its own rows and replaces them, so at-least-once delivery gives an exact
-    table. ``accept`` turns a micro-batch into the rows to merge.
+    table. ``accept`` turns a micro-batch into the rows to merge; ``before`` sees them before they are merged.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         # One staging folder per stream: whatever a lost try left there is completed first.
         upsert_parquet(
             batch.sparkSession, path, accept(batch) if accept else batch, keys, partition_by, version,
-            staging=f"{checkpoint}-staging",
+            staging=f"{checkpoint}-staging", before=before,
         )
 
     return (
