@@ -149,11 +149,13 @@ def incremental_since(spark, sf):
         rule = cursors.LOAD_WINDOWS[names[0]]
         back = F.expr("INTERVAL 36 HOURS" if rule.unit == "hour" else "INTERVAL 150 DAYS")
         at = F.col(rule.cursor)
-        marks = rows.groupBy("feed").agg(F.max(F.when(at <= now - back, at)).alias("mark"))
+        loaded = [F.max(F.when((F.col("feed") == feed) & (at <= now - back), at)).alias(feed) for feed in names]
+        # One subquery has the marks of all feeds of the group; rows are not joined with it.
+        marks = rows.agg(F.struct(*loaded).alias("marks")).scalar()
         extents.append(_extents(
-            rows.join(marks, "feed"), names,
-            lambda feed, now=now: F.coalesce(
-                cursors.resume_start(feed, F.col("mark")), cursors.lookback_start(feed, now)
+            rows, names,
+            lambda feed, now=now, marks=marks: F.coalesce(
+                cursors.resume_start(feed, marks[feed]), cursors.lookback_start(feed, now)
             ),
             now,
         ))
@@ -545,6 +547,47 @@ def stream_hourly(spark, sf):
     return read_hours(spark, folder)
 
 
+@query
+def stream_corrected(spark, sf):
+    """Every third hour is corrected to nothing after the stream has read it, so it must go again."""
+    folder = work_folder(spark, "stream_corrected")
+    points = testbed.moer_raw(spark, sf)
+    corrections = points.where(F.hour("point_time") % 3 == 0).withColumns(
+        {"moer": F.lit(0.0), "moer_kgco2_per_kwh": F.lit(0.0), "extracted_at": F.col("extracted_at") + F.expr("INTERVAL 1 DAY")}
+    )
+    for landed in (points, corrections):
+        landed.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(points.schema).parquet(f"{folder}/in")
+        run_hourly(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return read_hours(spark, f"{folder}/out")
+
+
+@query
+def refresh_touched(spark, sf):
+    """The marts follow restated, lost and late months without being built anew.
+
+    Of the months of the year, every fourth lands late, the one before it is restated to nothing, and the one
+    after it is doubled by a load whose marts are never built.
+    """
+    folder = work_folder(spark, "refresh_touched")
+    raw, marts = f"{folder}/raw", f"{folder}/marts"
+    kind = F.month("usage_month") % 4
+
+    def land(number: int, which: Column, factor: float) -> dict[str, str]:
+        lines = testbed.tonnes_lines(testbed.native_raw(spark, sf, "AWS"), factor)
+        lines.where(which).select("value").write.text(f"{folder}/in/{number}")
+        return {"aws": f"{folder}/in/{number}"}
+
+    refresh.refresh(spark, land(1, kind != 2, 1.0), raw, marts)
+    refresh.refresh(spark, land(2, kind == 0, 0.0), raw, marts, touched_only=True)
+    refresh.load_feed(spark, "aws", land(3, kind == 1, 2.0)["aws"], raw)
+    found = refresh.refresh(spark, land(4, kind == 2, 1.0), raw, marts, touched_only=True)
+    return found["fact_cloud_carbon"].select(
+        "cloud_provider", "account_id", "service_name", "region", "usage_month_start", "scope1_kgco2e", "scope3_kgco2e",
+        "total_kgco2e", "total_mtco2e",
+    )
+
+
 @query
 def load_late(spark, sf):
     """The odd days land after the even ones have been loaded; nothing may be missing."""

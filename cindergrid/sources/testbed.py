@@ -186,23 +186,29 @@ def landed_gcp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landed_tonnes(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
-    """Provider reports as JSON text in tonnes, parsed like a landed file."""
-    lines = native_raw(spark, sf_dir, provider).select(
+def tonnes_lines(native: DataFrame, factor: float = 1.0) -> DataFrame:
+    """Provider reports as JSON text in tonnes: ``value`` and the ``usage_month`` it holds."""
+    tonnes = lambda scope: F.col(scope) / KG_PER_TONNE * factor
+    return native.select(
         F.to_json(
             F.struct(
                 F.col("account_id").alias("AccountId"),
                 F.date_format("usage_month", "yyyy-MM-dd").alias("Month"),
                 F.col("service_name").alias("ServiceName"),
                 F.col("region").alias("Region"),
-                (F.col("scope1_kgco2e") / KG_PER_TONNE).alias("Scope1"),
-                (F.col("scope2_location_based_kgco2e") / KG_PER_TONNE).alias("Scope2LocationBased"),
-                (F.col("scope2_market_based_kgco2e") / KG_PER_TONNE).alias("Scope2MarketBased"),
-                (F.col("scope3_kgco2e") / KG_PER_TONNE).alias("Scope3"),
+                tonnes("scope1_kgco2e").alias("Scope1"),
+                tonnes("scope2_location_based_kgco2e").alias("Scope2LocationBased"),
+                tonnes("scope2_market_based_kgco2e").alias("Scope2MarketBased"),
+                tonnes("scope3_kgco2e").alias("Scope3"),
             )
-        ).alias("value")
+        ).alias("value"),
+        "usage_month",
     )
-    return parse_landing(lines, "tonnes")
+
+
+def landed_tonnes(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
+    """The same, parsed like a landed file."""
+    return parse_landing(tonnes_lines(native_raw(spark, sf_dir, provider)).select("value"), "tonnes")
 
 
 def landed_ccf(spark: SparkSession, sf_dir: str) -> DataFrame:

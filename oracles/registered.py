@@ -307,6 +307,20 @@ SELECT ba AS grid_region, date_trunc('hour', ts) AS timestamp_hour, 'WattTime' A
        sum(moer_kg) AS sum_kgco2_per_kwh, count(*) AS points, max(ts) AS extracted_at
 FROM {POINTS} WHERE moer > 0 GROUP BY 1, 2""",
     HOUR + " percentile_rank sum_kgco2_per_kwh")
+add("stream_corrected", f"""
+SELECT ba AS grid_region, date_trunc('hour', ts) AS timestamp_hour, 'WattTime' AS data_source,
+       avg(moer_kg) AS carbon_intensity_kgco2eq_per_kwh,
+       avg(moer_kg * 1000) AS carbon_intensity_gco2eq_per_kwh, avg(share) AS percentile_rank,
+       sum(moer_kg) AS sum_kgco2_per_kwh, count(*) AS points, max(ts) AS extracted_at
+FROM {POINTS} WHERE moer > 0 AND hour(ts) % 3 <> 0 GROUP BY 1, 2""",
+    HOUR + " percentile_rank sum_kgco2_per_kwh")
+add("refresh_touched", """
+SELECT cloud_provider, account_id, service_name, region, usage_month_start, factor * scope1_kgco2e AS scope1_kgco2e,
+       factor * scope3_kgco2e AS scope3_kgco2e, factor * total_market_based_kgco2e AS total_kgco2e,
+       factor * total_market_based_kgco2e / 1000 AS total_mtco2e
+FROM (SELECT *, CASE month(usage_month) % 4 WHEN 1 THEN 2 ELSE 1 END AS factor FROM stg_native
+      WHERE cloud_provider = 'AWS' AND month(usage_month) % 4 <> 0)""",
+    "scope1_kgco2e scope3_kgco2e total_kgco2e total_mtco2e")
 add("load_late", f"""
 SELECT id, ba, ba AS ba_name, ts AS point_time, moer, moer_kg AS moer_kgco2_per_kwh,
        share AS percent, 300 AS frequency, 'RTM' AS market FROM {POINTS}""",
