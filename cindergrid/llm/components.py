@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cindergrid.llm.scratch import Scratch
 from cindergrid.llm.words import importable
-from cindergrid.session import work_folder
 
 #: Edges that one task reduces; some 200 bytes each while it does.
 TASK_EDGES = 500_000
@@ -71,22 +71,24 @@ def components(edges: DataFrame, label: str = "components", task_edges: int = TA
     """
     spark = edges.sparkSession
     importable(spark)
+    scratch = Scratch(spark, label)
 
-    def stored(rows: DataFrame) -> DataFrame:
-        path = work_folder(spark, label)
-        rows.write.parquet(path)
-        return spark.read.parquet(path)
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        """The only table that is still needed."""
+        table = scratch.store(rows, name)
+        scratch.free(table)
+        return table
 
-    pairs = stored(edges.where("a <> b").select("a", "b"))
+    pairs = stored(edges.where("a <> b").select("a", "b"), "edges")
     tasks = max(1, -(-pairs.count() // task_edges))
-    now = stored(_forest(pairs.coalesce(tasks)))
+    now = stored(_forest(pairs.coalesce(tasks)), "forest")
     while tasks > 1:
         # Done when every node has one edge, to a node that has none.
         twice = now.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
         further = now.select(F.col("v").alias("u")).join(now.select("u"), "u", "left_semi")
         if twice.unionAll(further).isEmpty():
             break
-        now = stored(_star(_star(now, True), False))
+        now = stored(_star(_star(now, True), False), "round")
     rays = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     centres = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return rays.unionByName(centres)

@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cindergrid.llm.scratch import Scratch
 from cindergrid.llm.words import importable
-from cindergrid.session import work_folder
 
 SCALE = 256
 #: Rows of a block, rows of a run of blocks, runs whose anchors form a group, runs of a page of zone maps.
@@ -332,12 +332,8 @@ def mine(
     """
     spark = rows.sparkSession
     importable(spark)
-
-    def stored(table: DataFrame, name: str) -> DataFrame:
-        path = work_folder(spark, f"negatives-{name}")
-        table.write.parquet(path)
-        return spark.read.parquet(path)
-
+    scratch = Scratch(spark, "negatives")
+    stored = scratch.store
     taken = rows.select(
         F.col(row_id).cast("long").alias("id"),
         (F.col(label) if isinstance(label, str) else label).cast("long").alias("label"),
@@ -366,7 +362,9 @@ def mine(
     second = stored(anchors.select(*names).join(_opened(best, low, high), ["a_run", "a_block"]), "windows")
     needed = stored(_needed(zones, second, kind, exact, False), "second-reads")
     found = _search(blocks, second, needed, kind, exact, False, negatives)
-    ranked = _best(found, ["a_run", "a_block", "place", "tag"], negatives)
-    return ranked.select(
+    ranked = _best(found, ["a_run", "a_block", "place", "tag"], negatives).select(
         "anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")
     )
+    answer = stored(ranked, "answer")
+    scratch.free(answer)
+    return answer

@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cindergrid.llm.bitmaps import holds, key_of, marked
+from cindergrid.llm.scratch import Scratch
 from cindergrid.llm.shingles import mixed
 from cindergrid.llm.words import FOLD, importable, raw_bytes
-from cindergrid.session import work_folder
 
 #: Occurrences from which a term has a further entry in the signature.
 LEVELS = (1, 2, 3, 4, 6, 8, 12, 16, 32)
@@ -304,12 +304,7 @@ def search(
     """
     spark = docs.sparkSession
     importable(spark)
-
-    def stored(table: DataFrame, name: str) -> DataFrame:
-        path = work_folder(spark, f"search-{name}")
-        table.write.parquet(path)
-        return spark.read.parquet(path)
-
+    stored = Scratch(spark, "search").store
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     sizes = index.select(F.size("ids").cast("long").alias("n"), "lengths")
     n_docs = sizes.agg(F.sum("n")).first()[0] or 0

@@ -24,6 +24,7 @@ from cindergrid.llm import (
 )
 from cindergrid.llm.spans import written
 from cindergrid.llm.sql import ORACLES  # noqa: F401
+from cindergrid.operators.upsert import remove_folder
 from cindergrid.session import work_folder
 
 
@@ -120,10 +121,9 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of each document."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    judged = quality_rules.judge(docs, quality_rules.stored_reference(docs))
+    judged = quality_rules.judged(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), keep=["doc_id", "lang"])
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return judged.select("doc_id", *[F.col(f"__quality.{c}").alias(c) for c in counts])
+    return judged.select("row.doc_id", *[F.col(f"verdict.{c}").alias(c) for c in counts])
 
 
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +140,10 @@ def op12_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty best documents for each benchmark item."""
     docs = _table(spark, sf_dir, "documents")
-    index = lexical_search.build(docs, work_folder(spark, "signatures"))
-    return lexical_search.search(docs, index, _table(spark, sf_dir, "benchmark"))
+    path = work_folder(spark, "signatures")
+    found = lexical_search.search(docs, lexical_search.build(docs, path), _table(spark, sf_dir, "benchmark"))
+    remove_folder(spark, path)  # the answer is stored
+    return found
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

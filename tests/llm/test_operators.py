@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 import text_brute as brute
 from pyspark.sql import functions as F
-from text_fixtures import SMALL, docs, empty, folder, items, rows  # noqa: F401
+from text_fixtures import crowded, SMALL, docs, empty, folder, items, rows  # noqa: F401
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -103,6 +103,25 @@ def test_prefix_tree_counts_links_by_weight():
         assert tree.n_links() == [sum(int(weights[j]) for j, y in enumerate(sets) if j != i and near(x, y)) for i, x in enumerate(sets)]
 
 
+def test_a_chain_of_dissimilar_sets_exchanges_little(spark, monkeypatch):
+    """Texts that share passages with their neighbours only are one family, and no set meets more than a few blocks of it."""
+    for name, value in (("BLOCK_SETS", 8), ("BUCKET_ROWS", 3_000)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(51)
+    passages = [" ".join(f"w{k}x{j}" for j in range(12)) for k in range(606)]
+    texts = [" ".join(passages[k : k + 6]) for k in range(600)]
+    texts += [texts[k] + " more" for k in rng.sample(range(600), 40)]
+    seen = []
+    exchanged = ngram_join._exchanged
+    monkeypatch.setattr(ngram_join, "_exchanged", lambda *a: seen.append(exchanged(*a)) or seen[-1])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(df).collect()}
+    assert got == brute.components(list(enumerate(texts)))
+    blocks = seen[0].agg(F.max("blocks")).first()[0]
+    assert blocks > 50  # one family of many blocks
+    assert seen[0].count() < 14 * len(texts)  # against 640 * (blocks - 1) if all blocks met
+
+
 def test_null_ids_take_no_part_in_passage_removal(spark):
     long = "x" * 30 + "passage that is longer than fifty bytes, certainly so"
     df = spark.createDataFrame([(None, long), (2, long), (3, long + "!")], "doc_id long, text string")
@@ -131,13 +150,57 @@ def test_labelers_learned_by_em_and_classifier():
             code = code * 3 + v + 1
         counts[code * 4] = counts.get(code * 4, 0) + 1
     chance, tables = pii.reliabilities(counts)
-    assert tables[0][True][1] > 0.7 and tables[0][False][-1] > 0.7
+    assert tables[0][True][1] > 0.75 and tables[0][False][-1] > 0.75
     assert abs(tables[2][True][1] - tables[2][False][1]) < 0.1
     good = pii.accepted(pii.train(counts))
     assert all((pii._decode(c)[1][0] == 1) == (c in good) for c in counts if pii._decode(c)[1][0])
     assert pii.accepted(pii.train({})) == []
 
 
+@pytest.mark.parametrize("wrong", [0.0, 0.1])
+def test_em_recovers_planted_reliabilities(wrong):
+    """Three labelers that know something, of different coverage and precision, in two kinds: each to within 0.05."""
+    rng = random.Random(21)
+    planted = {1: [(0.9, wrong), (0.7, 0.2), (0.6, 0.1)], 4: [(0.75, wrong), (0.85, 0.1), (0.7, 0.25)]}
+    for kind, labelers in planted.items():
+        counts, truths = {}, {}
+        for _ in range(20_000):
+            truth = rng.random() < 0.4
+            code = kind
+            for right, against in labelers:
+                draw = rng.random()
+                vote = 1 if draw < right else -1 if draw < right + against * (1 - right) else 0
+                code = code * 3 + (vote if truth else -vote) + 1
+            counts[code * 4] = counts.get(code * 4, 0) + 1
+            truths[code * 4] = truths.get(code * 4, 0) + truth
+        chance, tables = pii.reliabilities(counts)
+        for k, (right, _) in enumerate(labelers):
+            assert tables[k][True][1] == pytest.approx(right, abs=0.05)
+            assert tables[k][False][-1] == pytest.approx(right, abs=0.05)
+        off = sum(n * abs(chance[c] - truths[c] / n) for c, n in counts.items()) / 20_000
+        assert off < 0.05
+
+
+def test_a_labeler_may_be_good_for_one_kind_only():
+    rng = random.Random(22)
+    counts, right, all_of = {}, 0, 0
+    codes = []
+    for kind, good in ((1, 0), (3, 1)):
+        for _ in range(5000):
+            truth = rng.random() < 0.5
+            votes = [(1 if truth else -1) if rng.random() < (0.95 if k == good else 0.6) else (-1 if truth else 1) for k in range(3)]
+            code = kind
+            for v in votes:
+                code = code * 3 + v + 1
+            counts[code * 4] = counts.get(code * 4, 0) + 1
+            codes.append((code * 4, truth))
+    chance, _ = pii.reliabilities(counts)
+    for code, truth in codes:
+        all_of += 1
+        right += (chance[code] > 0.5) == truth
+    assert right / all_of > 0.9
+
+
 def test_looser_personal_data_is_added_beside_the_base(spark):
     texts = ["Please call (212) 555-0147 today. "] * 30 + ["mail bob@site.org or +44 20 7946 0958, thanks "] * 30 + ["order 123-45-6780 part 123-45-6780 "] * 30
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -162,6 +225,33 @@ def test_entropy_spans_and_their_suppression(spark):
     assert got == {0: [("entropy", 4, 27)], 1: [], 2: [], 3: [], 4: []}
 
 
+SECRET_ALPHABETS = {
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "both": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "lower and digits": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "upper and digits": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "alphanumeric": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "base64": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/",
+    "upper hex": "0123456789ABCDEF",
+}
+
+
+def test_recall_of_random_secrets_and_alarms_on_words(spark):
+    """Of random strings of every class nine in ten are found at the least length already; of words put together one in ten is not let through."""
+    rng = random.Random(41)
+    texts = [(f"{name} {n}", "key " + "".join(rng.choice(a) for _ in range(n)) + " end") for name, a in SECRET_ALPHABETS.items() for n in (20, 32) for _ in range(300)]
+    words = [w for w in brute.VOCABULARY if len(w) > 2]
+    for _ in range(600):
+        joined = "".join(rng.choice(words) for _ in range(7))
+        texts.append(("words", "key " + rng.choice([joined, joined.upper(), joined.title(), joined + "2024", joined.replace("stone", "stone_")]) + " end"))
+    df = spark.createDataFrame(texts, "what string, text string").repartition(4)
+    found = secrets.scan(df).select("what", (F.size("__spans") > 0).cast("int").alias("hit")).groupBy("what").agg(F.avg("hit").alias("share"))
+    share = {r["what"]: r["share"] for r in found.collect()}
+    assert {k: v for k, v in share.items() if k != "words" and v < 0.9} == {}
+    assert share["words"] < 0.1
+
+
 def test_notices_with_edits_are_found_and_placed(spark):
     rng = random.Random(4)
     finder = licenses.Finder(licenses.NOTICES)
@@ -178,6 +268,40 @@ def test_notices_with_edits_are_found_and_placed(spark):
     assert span["label"] == "apache" and text[span["start"] : span["end"]].startswith("Licensed undr") and 0 < span["edits"] <= 3
 
 
+def test_recall_of_planted_notices():
+    """Notices with up to the allowed edits at random places, between other words: nine in ten at least, for each notice."""
+    rng = random.Random(43)
+    finder = licenses.Finder(licenses.NOTICES)
+    for notice, label in finder.notices:
+        hits = 0
+        for _ in range(60):
+            text = list(notice)
+            for _ in range(rng.randrange(licenses.edits_allowed(notice) + 1)):
+                k = rng.randrange(len(text))
+                rng.choice([lambda k=k: text.__setitem__(k, rng.choice("aeqz")), lambda k=k: text.pop(k), lambda k=k: text.insert(k, "x")])()
+            line = " " + brute.prose(rng, 12).replace(",", "").replace(".", "") + " " + " ".join("".join(text).split()) + " lamp cloud "
+            hits += any(finder.notices[i][1] == label for i, *_ in finder.spans(line))
+        assert hits >= 54, notice
+    clean = [" " + brute.prose(rng, 400).replace(",", "").replace(".", "") + " " for _ in range(200)]
+    assert sum(len(finder.spans(x)) for x in clean) == 0
+
+
+def test_many_notices_in_one_long_text(spark):
+    """Work grows with the text: ten times the notices take about ten times as long, not a hundred."""
+    import time
+
+    took = {}
+    for n in (2_000, 20_000):
+        text = "é Licensed under the Apache License, version 2. " * n
+        start = time.time()
+        row = licenses.find_notices(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+        took[n] = time.time() - start
+        assert row["n_base"] == n and row["last_word"] == row["n_words"] - 4 and len(row["spans"]) >= n
+        last = row["spans"][-1]
+        assert text[last["start"] : last["end"]].startswith(("Licensed", "Apache", "under"))
+    assert took[20_000] < 40 * max(took[2_000], 0.5)
+
+
 def test_decontamination_in_parts_and_its_places(spark, docs, items):
     df = spark.createDataFrame(items, "item_id long, text string")
     whole = decontaminate.scan(docs.select("doc_id", "text"), df)
@@ -320,6 +444,20 @@ def test_distance_of_histograms(spark):
     assert got == [pytest.approx(0), pytest.approx(1), None]
 
 
+def test_documents_without_a_reference_of_their_own(spark):
+    """Without a language, or in one of few words, a text is held against all references and may be far from each."""
+    rng = random.Random(31)
+    good = [(k, brute.prose(rng, 150), "en") for k in range(20)]
+    good += [(100 + k, " ".join(rng.choice(["der", "die", "und", "das", "ist", "von", f"Haus{rng.randrange(40)}", f"Weg{rng.randrange(40)}"]) for _ in range(150)), "de") for k in range(20)]
+    junk = " ".join(rng.choice(["%$#@!", "||||", "&*(", "<<>>"]) + str(rng.randrange(99)) for _ in range(150))
+    asked = [(200, brute.prose(rng, 150), None), (201, junk, None), (202, junk, "xx"), (203, good[25][1], "xx"), (204, junk, "en"), (205, brute.prose(rng, 20), None)]
+    df = spark.createDataFrame(good + asked, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.kept(df).select("doc_id", F.lit(True).alias("kept")).collect()}
+    assert {i for i, *_ in good} <= set(got) and {i for i in got if i >= 200} == {200, 203}
+    alone = quality_rules.kept(df.where("doc_id IN (201, 202)"))
+    assert alone.count() == 2  # no language has words enough: the counted rules decide
+
+
 def test_pipeline_against_its_plain_version(spark, sf):
     """Each stage against what its contract says about its own input."""
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -350,6 +488,23 @@ def test_pipeline_against_its_plain_version(spark, sf):
         docs = after
 
 
+def test_stages_whatever_the_columns_are_called(spark, crowded):
+    """Columns named like the stages' and operators' own come through every stage as they were."""
+    docs = spark.read.parquet(f"{crowded}/documents.parquet")
+    before = {(r["doc_id"], r["text"]): repr(r) for r in docs.collect()}
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        path = tempfile.mkdtemp() + "/stage"
+        stage(spark, docs, crowded).write.parquet(path)
+        docs, plain = spark.read.parquet(path), stage(spark, plain, crowded)
+        assert docs.columns == [*plain.columns, *docs.columns[len(plain.columns) :]]
+        got = docs.collect()
+        assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((r["doc_id"], r["text"]) for r in plain.collect())
+        assert all(repr(r) == before[r["doc_id"], r["text"]] for r in got)
+    assert docs.count() > 0
+    assert corpus_pipeline.STAGES[4][1](spark, docs, crowded).count() == docs.count()
+
+
 def test_near_copies_that_share_an_id_with_another_text(spark):
     rng = random.Random(11)
     a, b, c = (brute.prose(rng, 80) for _ in range(3))

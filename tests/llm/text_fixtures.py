@@ -60,7 +60,7 @@ def empty(spark, tmp_path_factory):
     return path
 
 
-CLASHES = "id name key number n times registers hashes group run dims anchor vector kinds rank item low high near linked place n_words n_shingles set_id component_id size source_size target taken spans base kept n_bytes lang_pred score part seq start b block place shard match bucket".split()
+CLASHES = "id name key number n times registers hashes group run dims anchor vector kinds rank item low high near linked place n_words n_shingles set_id component_id row text_ __text __words __quality __id __key __source __copies __copy __spans __items __n_words __once name copy copies verdict words hashes size source_size target taken spans base kept n_bytes lang_pred score part seq start b block place shard match bucket".split()
 
 
 @pytest.fixture(scope="session")
