@@ -16,29 +16,44 @@ from cindergrid.llm import decontaminate, mixing, ngram_join, quality_rules, tok
 from cindergrid.session import work_folder
 
 
+def _held(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns but the text) and ``text``: whatever the columns are called, no name of ours meets theirs."""
+    others = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias("row") if others else F.lit(True).alias("row"), "text")
+
+
+def _released(held: DataFrame, columns: list[str]) -> DataFrame:
+    return held.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, judged against the languages of these documents."""
-    return quality_rules.kept(docs, quality_rules.stored_reference(docs))
+    """Documents that the quality rules keep, judged against the languages of these documents.
+
+    A NULL or empty text goes; repeated rows stay or go alike; an empty table stays empty.
+    """
+    return quality_rules.kept(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group connected by shingle similarity: the one with the least doc_id.
 
-    Rows are told by doc_id and text, so texts that share an id are judged apart. Rows that repeat both
-    go too; other rows without a doc_id stay.
+    Rows are told by doc_id and 128 bits of the text, so texts that share an id are judged apart, and texts
+    are shuffled once. Rows that repeat both go too; other rows without a doc_id stay, as do texts without words.
     """
-    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"))
+    named = [F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("name")]
+    key = F.coalesce(F.unhex(F.md5("text")), F.lit(b"")).alias("key")
+    row = F.struct(named[0], F.col("doc_id").alias("id"), named[1], key)
     found = ngram_join.join(docs.select(row.alias("doc_id"), "text"))
-    others = found.where("NOT doc_id.none AND doc_id <> component_id").select("doc_id.id", "doc_id.key").distinct()
-    others = others.withColumnsRenamed({"id": "__id", "key": "__key"})
-    kept = docs.join(others, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
-    return kept.select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    stay = found.where("doc_id.none OR doc_id = component_id").select("doc_id.none", "doc_id.name", "doc_id.key").distinct()
+    held = _held(docs).withColumns({"none": F.col("row.doc_id").isNull(), "name": F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")), "key": key})
+    # The join has rows of one key together, where the second of them goes without another shuffle.
+    return _released(held.join(stay, ["none", "name", "key"], "left_semi").dropDuplicates(["none", "name", "key"]), docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
-    found = decontaminate.scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(F.size("__spans") == 0).select(*docs.columns)
+    """Documents without a window of a benchmark item; NULL and empty texts and repeated rows stay."""
+    found = decontaminate.scan(_held(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _released(found.where(F.size("__spans") == 0), docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +61,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     So a source's words come near its target over its documents, and no document is cut. Rows are told by
     doc_id, text and source, so those without a doc_id or with one in common each get their own copies;
-    equal rows share theirs evenly.
+    equal rows share theirs evenly, and texts without words are never taken.
     """
     key = F.xxhash64("text")
     taken = mixing.mix(docs, key=key).where("size > 0").groupBy("doc_id", "source", "row_key")
@@ -55,16 +70,15 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     draw = F.conv(F.substring(F.md5(F.concat(F.lit("copies:"), named)), 1, 8), 16, 10).cast("long")
     rest = (F.pmod("taken", "size") / F.col("size")) * F.lit(2**32) > draw
     copies = (F.floor(F.col("taken") / F.col("size")) + rest.cast("long")).cast("int")
-    counted = taken.select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("row_key").alias("__key"), copies.alias("__copies")
-    ).where("__copies > 0")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (key == F.col("__key"))
-    repeated = docs.join(counted, same)
-    return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    counted = taken.select("doc_id", "source", "row_key", copies.alias("copies")).where("copies > 0")
+    held = _held(docs)
+    same = held["row.doc_id"].eqNullSafe(counted["doc_id"]) & held["row.source"].eqNullSafe(counted["source"]) & (F.xxhash64(held["text"]) == counted["row_key"])
+    repeated = held.join(counted, same).select("row", "text", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return _released(repeated, docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Place, number and checksum of each row's ids in the written token store."""
+    """Place, number and checksum of each row's ids in the written token store; a NULL text has the end id alone."""
     import public_tokenizers
 
     path = work_folder(spark, "corpus-tokens")
