@@ -5,13 +5,14 @@
    as leading zeros and mantissa: 6 and 10 bits. So that small sets fill their buckets, a shingle enters ``copies``
    times with different hashes, which leaves the Jaccard similarity as it is; ``copies`` goes by the size of the set,
    and a set near a change of ``copies`` has both sketches, so two similar sets always have one in common.
-3. ``BANDS`` draws of ``BAND`` registers are the keys under which sets meet. Sets of a key are tied in stars: first in
-   every piece of text, so that a key of very many sets sends one of them on, then in buckets of keys.
+3. ``BANDS`` draws of ``BAND`` registers are the keys under which sets meet. Sets of a key are tied in stars, in buckets
+   of keys; a key of many sets in one piece of text is tied there already and sends one of them on.
 4. A tie is dropped if the sizes exclude it or its estimate, corrected for chance collisions of registers, lies
    ``SIGMAS`` standard deviations below the threshold; the rest is verified on the full sets.
    Each set first tries its strongest tie; then ties between sets that are not connected yet.
-5. A key whose stars hold a tie that failed may still hold a link between two of its other sets. Such keys
-   are listed with all their sets, and pairs not yet connected are tried in rounds of growing distance until all are.
+5. A key whose stars hold a tie that failed may still hold a link between two of its other sets. Sets are therefore
+   gathered at the components that they are tied to, and where these are several, those outside the largest
+   one are held against all others there, in tasks of bounded size.
 6. Components over verified links; each document gets the least doc_id of its component.
 
 A link at the threshold itself shares no key with probability under 1e-8, and less the more similar the sets are.
@@ -30,12 +31,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cindergrid.llm.bitmaps import holds, marked
 from cindergrid.llm.blocks import planes, unplaned
 from cindergrid.llm.components import components
+from cindergrid.llm.scratch import Scratch
 from cindergrid.llm.shingles import mixed, shingle_sets
 from cindergrid.llm.words import importable, raw_bytes, slices
 from cindergrid.session import work_folder
@@ -52,8 +54,10 @@ SIGMAS = 6.5
 CHANCE = 1 / (2 * np.log(2))
 #: Text of a piece, pieces whose sets are tied before they are sent, keys of a bucket.
 PIECE, PIECES, BUCKET_KEYS = 2 << 20, 8, 1_000_000
-#: Distance up to which the first round of step 5 pairs the sets of a key; each round doubles it.
-NEAR = 64
+#: Sets of a key in one piece that it sends on; with more it sends the first one only.
+SENT = 32
+#: Sets that ask, and sets that answer, in a task of step 5.
+HOME_SETS = 2000
 
 _draw = np.random.default_rng(12)
 _PICKS = np.stack([_draw.permutation(REGISTERS)[:BAND] for _ in range(BANDS)])
@@ -108,6 +112,21 @@ def estimate(one: np.ndarray, other: np.ndarray, n: int, m: int) -> float:
     return (share - chance) / (1 - chance)
 
 
+def estimates(one: np.ndarray, others: np.ndarray, n: int, m: np.ndarray) -> np.ndarray:
+    """The same for one set and many others."""
+    used = ((one != 0xFFFF) | (others != 0xFFFF)).sum(1)
+    chance = CHANCE / (1 << MANTISSA) * n * m / (n + m) ** 2
+    share = ((one == others) & (one != 0xFFFF)).sum(1) / np.maximum(1, used)
+    return (share - chance) / (1 - chance)
+
+
+def overlap_reaches(one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether two full sets are similar."""
+    at = np.minimum(np.searchsorted(other, one), len(other) - 1)
+    both = int(np.count_nonzero(other[at] == one))
+    return 100 * both >= PERCENT * (len(one) + len(other) - both)
+
+
 def lowest_estimate(used: int = REGISTERS) -> float:
     t = PERCENT / 100
     return t - SIGMAS * np.sqrt(t * (1 - t) / used)
@@ -168,8 +187,12 @@ def _met(docs: DataFrame, n_buckets: int) -> DataFrame:
         by_rank = np.argsort(rank)
         keys = np.concatenate([k for _, k in seen])
         owner = np.repeat(rank, [len(k) for _, k in seen])
-        first, pairs, counts = _stars(keys, owner)
-        key, owner = keys[first], owner[first]
+        order = np.lexsort((owner, keys))
+        keys, owner = keys[order], owner[order]
+        runs = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
+        many = np.repeat(np.diff(runs) > SENT, np.diff(runs))
+        first, pairs, counts = _stars(keys[many], owner[many])
+        key, owner = (np.concatenate([x[~many], x[many][first]]) for x in (keys, owner))
         bucket = ((key >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
         rows = []
         order = np.lexsort((key, bucket))
@@ -212,10 +235,10 @@ def _met(docs: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def _ties(met: DataFrame) -> DataFrame:
-    """(a, b, bands): stars over the sets of each key, by name."""
+    """(a, b, bands, near): stars over the sets of each key, by name; ``near`` tells a tie that some piece made."""
 
     def tie(rows: pa.Table) -> pa.Table:
-        kinds = [pa.binary(), pa.binary(), pa.int64()]
+        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.bool_()]
         ties: dict[tuple[bytes, bytes], int] = {}
         tables = [np.frombuffer(r, "V16") for r in rows["names"].to_pylist()]
         owners = [unplaned(r, np.uint32) for r in rows["owners"].to_pylist()]
@@ -238,11 +261,11 @@ def _ties(met: DataFrame) -> DataFrame:
             _, pairs, counts = _stars(key, owner)
             for (x, y), k in zip(pairs.tolist(), counts.tolist(), strict=True):
                 ties[shown[x].tobytes(), shown[y].tobytes()] = k
-        columns = [[a for a, _ in ties], [b for _, b in ties], list(ties.values())]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "bands"])
+        columns = [[a for a, _ in ties], [b for _, b in ties], list(ties.values()), [rows["bucket"][0].as_py() < 0] * len(ties)]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "bands", "near"])
 
-    each = met.groupBy("bucket").applyInArrow(tie, "a binary, b binary, bands long")
-    return each.groupBy("a", "b").agg(F.sum("bands").alias("bands"))
+    each = met.groupBy("bucket").applyInArrow(tie, "a binary, b binary, bands long, near boolean")
+    return each.groupBy("a", "b").agg(F.sum("bands").alias("bands"), F.max("near").alias("near"))
 
 
 SKETCH = "name binary, n long, times array<int>, registers array<binary>, hashes binary"
@@ -309,10 +332,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, stored) -> DataFrame:
         for batch in batches:
             linked = []
             for x, y in zip(batch.column("hashes_a"), batch.column("hashes_b"), strict=True):
-                one, other = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                at = np.minimum(np.searchsorted(other, one), len(other) - 1)
-                both = int(np.count_nonzero(other[at] == one))
-                linked.append(100 * both >= PERCENT * (len(one) + len(other) - both))
+                linked.append(overlap_reaches(*(np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
     out = "a binary, b binary"
@@ -331,51 +351,85 @@ def _crossing(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.where(~F.coalesce("in_a", "a").eqNullSafe(F.coalesce("in_b", "b"))).drop("in_a", "in_b")
 
 
-def _shared_keys(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The keys under which the sets of these pairs meet."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.zeros(0, np.uint64)]
-            for row in batch.to_pylist():
-                for times in set(row["times_a"]) & set(row["times_b"]):
-                    one, other = (
-                        band_keys(np.frombuffer(row[f"registers_{x}"][row[f"times_{x}"].index(times)], np.uint16)[None], times)[0] for x in "ab"
-                    )
-                    found.append(one[one == other])
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], names=["key"])
-
-    return _paired(pairs, sets, ["times", "registers"]).mapInArrow(run, "key long").distinct()
-
-
-def _members(sets: DataFrame, keys: DataFrame, bitmap) -> DataFrame:
-    """(key, name, place, size): all sets of the given keys, numbered within each key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple[int, bytes]] = []
-            for row in batch.to_pylist():
-                for times, found in zip(row["times"], row["registers"], strict=True):
-                    own = band_keys(np.frombuffer(found, np.uint16)[None], times)[0].view(np.int64)
-                    out += [(int(k), row["name"]) for k in own[holds(bitmap.value, own)]]
-            columns = list(zip(*out, strict=True)) or [[]] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(list(columns[0]), pa.int64()), pa.array(list(columns[1]), pa.binary())], names=["key", "name"])
+def _meetings(ties: DataFrame, found: DataFrame) -> DataFrame:
+    """(home, i, j, name, component, asks, roles): the sets, gathered where each pair that shares a key meets.
+
+    Two sets of a key are tied to its first set, directly or over the first one of a piece of text. So a set's homes
+    are the components of what it is tied to, and those of a first one that it is tied to in a piece: few,
+    however many keys it has.
+    Homes of one component are closed. In the others all sets but those of the largest component ask; each asks
+    all others of the home, in parts of at most about ``HOME_SETS`` that ask and as many that answer.
+    """
+    of = found.select(F.col("node").alias("name"), "component")
+    ends = ties.select(F.col("a").alias("name")).unionByName(ties.select(F.col("b").alias("name"))).distinct()
+    own = ends.join(of, "name", "left").withColumn("component", F.coalesce("component", "name"))
+    tied = ties.select(F.col("a").alias("name"), F.col("b").alias("to"), "near")
+    homes = own.select("name", F.col("component").alias("home"))
+    for some in (tied, tied.where("near")):
+        over = some.join(homes.select(F.col("name").alias("to"), "home"), "to").select("name", "home")
+        homes = homes.unionByName(over).distinct()
+    placed = homes.join(own, "name")
+    counted = placed.groupBy("home", "component").agg(F.count(F.lit(1)).alias("n"))
+    shape = counted.groupBy("home").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    shape = shape.where("all > most AND all > 2").select(
+        "home", "largest", F.ceil((F.col("all") - F.col("most")) / HOME_SETS).alias("askers"), F.ceil(F.col("all") / HOME_SETS).alias("blocks")
+    )
+    placed = placed.join(shape, "home").withColumn("asks", F.col("component") != F.col("largest"))
+    lot = lambda n: F.pmod(F.xxhash64("name"), F.col(n))
+    every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    asking = placed.where("asks").withColumns({"i": lot("askers"), "j": F.explode(every("blocks"))})
+    answering = placed.withColumns({"i": F.explode(every("askers")), "j": lot("blocks")}).withColumn("asks", F.lit(False))
+    both = asking.select("home", "i", "j", "name", "component", "asks").unionByName(answering.select("home", "i", "j", "name", "component", "asks"))
+    return both.groupBy("home", "i", "j", "name", "component").agg(F.max("asks").alias("asks"), F.count(F.lit(1)).alias("roles"))
+
+
+def _met_links(meetings: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links of each meeting that join two components, estimated first and then verified."""
+    lowest = lowest_estimate()
 
-    found = sets.select("name", "times", "registers").mapInArrow(run, "key long, name binary").join(keys, "key")
-    return found.withColumns(
-        {"place": F.row_number().over(Window.partitionBy("key").orderBy("name")), "size": F.count(F.lit(1)).over(Window.partitionBy("key"))}
-    ).where("size > 2")
+    def meet(rows: pa.Table) -> pa.Table:
+        names, parts = rows["name"].to_pylist(), rows["component"].to_pylist()
+        asks = np.array(rows["asks"].to_pylist(), bool)
+        # A set that asks answers too if it stands in this block, and then it has two roles.
+        answers = ~asks | (np.asarray(rows["roles"]) > 1)
+        sizes = np.asarray(rows["n"])
+        times, found = rows["times"].to_pylist(), rows["registers"].to_pylist()
+        hashes = [np.frombuffer(h, np.uint64) for h in rows["hashes"].to_pylist()]
+        up: dict[bytes, bytes] = {}
+
+        def root(x: bytes) -> bytes:
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        out = []
+        for grade in sorted({t for ts in times for t in ts}):
+            mine = [k for k, ts in enumerate(times) if grade in ts]
+            matrix = np.stack([np.frombuffer(found[k][times[k].index(grade)], np.uint16) for k in mine])
+            mine = np.array(mine)
+            ys = np.flatnonzero(answers[mine])
+            for x in np.flatnonzero(asks[mine]).tolist():
+                k = int(mine[x])
+                other = mine[ys]
+                fits = (100 * np.minimum(sizes[k], sizes[other]) >= PERCENT * np.maximum(sizes[k], sizes[other])) & (other != k)
+                near = estimates(matrix[x], matrix[ys[fits]], int(sizes[k]), sizes[other[fits]]) >= lowest
+                for j in other[fits][near].tolist():
+                    a, b = root(parts[k]), root(parts[j])
+                    if a != b and overlap_reaches(hashes[k], hashes[j]):
+                        up[a] = b
+                        out.append((names[k], names[j]))
+        columns = list(zip(*out, strict=True)) or [[]] * 2
+        return pa.table([pa.array(list(c), pa.binary()) for c in columns], names=["a", "b"])
+
+    rows = meetings.join(sets, "name")
+    return rows.groupBy("home", "i", "j").applyInArrow(meet, "a binary, b binary")
 
 
 def links(docs: DataFrame, n_sets: int) -> DataFrame:
     """(node, component) of every set that is similar to another, by name; ``docs`` has the texts."""
     spark = docs.sparkSession
-
-    def stored(rows: DataFrame, label: str) -> DataFrame:
-        path = work_folder(spark, f"hyperminhash-{label}")
-        rows.write.parquet(path)
-        return spark.read.parquet(path)
-
+    scratch = Scratch(spark, "hyperminhash")
+    stored = scratch.store
     n_buckets = max(1, -(-n_sets * BANDS // BUCKET_KEYS))
     ties = stored(_ties(_met(docs, n_buckets)), "ties")
     ends = ties.select(F.explode(F.array("a", "b")).alias("name")).distinct()
@@ -390,22 +444,12 @@ def links(docs: DataFrame, n_sets: int) -> DataFrame:
     open_ = _crossing(ties.select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti"), found)
     tried = tried.unionByName(_similar(open_, sets, stored))
     found = components(tried.where("linked"), "hyperminhash-components")
-    # Step 5: keys with a tie that failed between sets that are still apart.
-    keys = stored(_shared_keys(_crossing(tried.where("NOT linked").select("a", "b"), found), sets), "open-keys")
-    members = stored(_members(sets, keys, spark.sparkContext.broadcast(marked(keys))), "members")
-    largest, near, far = members.agg(F.max("size")).first()[0] or 0, 1, NEAR
-    while near <= largest // 2:
-        steps = F.explode(F.sequence(F.lit(near), F.least(F.lit(far - 1), F.floor(F.col("size") / 2)).cast("int")))
-        left = members.where(F.floor(F.col("size") / 2) >= near).withColumn("step", steps)
-        left = left.select("key", F.col("name").alias("a"), ((F.col("place") + F.col("step") - 1) % F.col("size") + 1).alias("place"))
-        pairs = left.join(members.select("key", "place", F.col("name").alias("b")), ["key", "place"])
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = stored(_crossing(pairs.join(done, ["a", "b"], "left_anti"), found), "pairs")
-        if not pairs.isEmpty():
-            tried = tried.unionByName(_similar(pairs, sets, stored))
-            found = components(tried.where("linked"), "hyperminhash-components")
-        near, far = far, 2 * far
+    # Step 5: links between sets of a key whose ties to its first set have failed.
+    meetings = stored(_meetings(ties, found), "meetings")
+    if not meetings.isEmpty():
+        more = stored(_met_links(meetings, sets), "met-links")
+        found = components(tried.where("linked").select("a", "b").unionByName(more), "hyperminhash-components")
+    scratch.free()
     return found
 
 

@@ -62,7 +62,13 @@ def test_zone_maps_leave_blocks_unread(spark, monkeypatch):
         monkeypatch.setattr(hard_negatives, name, value)
     asked = []
     needed = hard_negatives._needed
-    monkeypatch.setattr(hard_negatives, "_needed", lambda *a: asked.append(needed(*a)) or asked[-1])
+
+    def counted(*a):
+        rows = needed(*a)
+        asked.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(hard_negatives, "_needed", counted)
     got = result(hard_negatives.mine(spark.createDataFrame(points, "vec_id long, embedding array<double>, label int"), F.col("vec_id") == 50))
     anchor = [p for p in points if p[0] == 50][0]
     whole = {p[0]: np.floor(256 * np.array(p[1])).astype(int) for p in points}
@@ -74,7 +80,7 @@ def test_zone_maps_leave_blocks_unread(spark, monkeypatch):
         fits = sorted((-score[j], j) for j in label if label[j] != anchor[2] and 50 * -p <= 100 * score[j] <= 95 * -p)[:3]
         want += [(50, i, k + 1, j, -p, -s) for k, (s, j) in enumerate(fits)]
     assert got == sorted(want, key=repr)
-    assert asked[0].count() < 20  # of 80 blocks
+    assert asked[0] < 20  # of 80 blocks
 
 
 def test_bounds_hold_for_every_row(spark):
@@ -121,7 +127,8 @@ def test_near_duplicates_around_the_threshold(spark, tmp_path):
     assert got == brute.components(rows, 2)
 
 
-def test_pairs_left_by_failed_ties_are_tried(spark, monkeypatch):
+@pytest.mark.parametrize(("homes", "sent"), [(7, 32), (2000, 2)])
+def test_pairs_left_by_failed_ties_are_tried(spark, monkeypatch, homes, sent):
     """With one key for nearly all sets, the stars are refuted and only step 5 can find the links."""
     rng = random.Random(13)
     rows = []
@@ -129,7 +136,8 @@ def test_pairs_left_by_failed_ties_are_tried(spark, monkeypatch):
         base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
         rows += [(2 * k, base), (2 * k + 1, base + " more")]
     monkeypatch.setattr(hyperminhash, "band_keys", lambda found, times: np.full((len(found), 1), times, np.uint64))
-    monkeypatch.setattr(hyperminhash, "NEAR", 4)
+    monkeypatch.setattr(hyperminhash, "HOME_SETS", homes)
+    monkeypatch.setattr(hyperminhash, "SENT", sent)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in hyperminhash.near_duplicates(spark.createDataFrame(rows, TEXT)).collect()}
     assert got == brute.components(rows, 2)
 
@@ -152,6 +160,9 @@ def test_estimates_are_close_and_corrected():
         a, b = hyperminhash.registers([one, other], times)
         true = len(np.intersect1d(one, other)) / len(np.union1d(one, other))
         assert abs(hyperminhash.estimate(a, b, len(one), len(other)) - true) < 0.09
+        assert hyperminhash.estimates(a, np.stack([b, a]), len(one), np.array([len(other), len(one)])).tolist() == [
+            hyperminhash.estimate(a, b, len(one), len(other)), hyperminhash.estimate(a, a, len(one), len(one))
+        ]
     # Sets without a common shingle: with a short mantissa many registers agree by chance, and the correction takes them out.
     ones = [rng.integers(1, 1 << 63, 4000, dtype=np.uint64) for _ in range(40)]
     found = hyperminhash.registers(ones, 1) >> np.uint16(8)
