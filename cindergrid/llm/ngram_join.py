@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from cindergrid.llm.blocks import planes, unplaned
 from cindergrid.llm.components import components
+from cindergrid.llm.scratch import Scratch
 from cindergrid.llm.shingles import set_id, shingle_sets
 from cindergrid.llm.words import importable, raw_bytes, slices
 from cindergrid.session import work_folder
@@ -403,15 +404,11 @@ def similar_sets(docs: DataFrame, copies: DataFrame, n_sets: int, n_shingles: in
     other sets similar to it; ``copies`` (set_id, copies) says how many rows the sets of several rows have.
     """
     spark = docs.sparkSession
-
-    def stored(rows: DataFrame, label: str) -> DataFrame:
-        path = work_folder(spark, label)
-        rows.write.parquet(path)
-        return spark.read.parquet(path)
-
+    scratch = Scratch(spark, "ngram")
+    stored = scratch.store
     n_buckets = max(1, -(-n_shingles // BUCKET_ROWS))
     heavy = spark.sparkContext.broadcast(heavy_shingles(docs, n_sets, text))
-    ordered = stored(_ordered(_shared(_blocks(docs, text, heavy, n_buckets), n_buckets)), "ngram-sets")
+    ordered = stored(_ordered(_shared(_blocks(docs, text, heavy, n_buckets), n_buckets)), "sets")
     families = _families(ordered)
     sizes = families.join(ordered.select("set_id", (F.octet_length("tokens") / 8).alias("t")), "set_id").groupBy("family").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("t") / BLOCK_TOKENS)).cast("int").alias("blocks")
@@ -420,15 +417,18 @@ def similar_sets(docs: DataFrame, copies: DataFrame, n_sets: int, n_shingles: in
         "set_id", "family", "blocks", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("block")
     )
     placed = placed.join(copies, "set_id", "left").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long")))
-    members = stored(ordered.select("set_id", "n", "tokens").join(placed, "set_id"), "ngram-members")
+    members = stored(ordered.select("set_id", "n", "tokens").join(placed, "set_id"), "members")
     pair = "a long, b long, n_links long"
-    near = stored(members.select("family", "block", "set_id", "n", "tokens", "copies").groupBy("family", "block").applyInArrow(_within, pair), "ngram-links")
+    near = stored(members.select("family", "block", "set_id", "n", "tokens", "copies").groupBy("family", "block").applyInArrow(_within, pair), "links")
     large = members.where("blocks > 1")
     if large.isEmpty():
+        scratch.free(near)
         return near
     paired = _exchanged(ordered, members).join(near.select(F.col("a").alias("set_id"), F.col("b").alias("known")), "set_id")
     far = paired.select("family", "i", "j", "set_id", "n", "tokens", "copies", "known", "low").groupBy("family", "i", "j").applyInArrow(_across, pair)
-    return near.unionByName(stored(far, "ngram-links"))
+    further = stored(far, "links")
+    scratch.free(near, further)
+    return near.unionByName(further)
 
 
 def _exchanged(ordered: DataFrame, members: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Quality rules: counted rules and the divergence of a document from its language's reference.
 
-Only DataFrame functions. A document is described by counts over its whole text, made once and stored;
-the reference of a language sums the character-class and common-word counts of all its documents. The
-verdict compares both histograms with the Jensen-Shannon distance (base 2, so 0 to 1).
+Only DataFrame functions. A document is described by counts over its whole text; the reference of
+a language sums the character-class and common-word counts of all its documents. The verdict
+compares both histograms with the Jensen-Shannon distance (base 2, so 0 to 1).
 
 A document is held against the reference of its language. If that is NULL, or has too few words
 behind it, it is held against the ``FALLBACK`` references of the most words, and is only far off if it is far from each.
@@ -117,13 +117,11 @@ def _counted(rows: DataFrame, text: str) -> DataFrame:
     return rows.select("row", *counts, "chars", "common")
 
 
-def stored_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Every row of ``docs`` (of its columns ``keep``, by default all) with its counts, as a stored table."""
+def stored_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """Every row of ``docs``, of its columns ``keep``, with its counts, as a stored table."""
     path = work_folder(docs.sparkSession, "quality-counts")
-    rows = _counted(_held(docs), text)
-    if keep is not None:
-        rows = rows.withColumn("row", F.struct(*[F.col("row")[c].alias(c) for c in keep]))
-    rows.write.parquet(path)
+    counts = _counted(_held(docs), text)
+    counts.withColumn("row", F.struct(*[F.col("row")[c].alias(c) for c in keep])).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
@@ -213,15 +211,23 @@ def judge(docs: DataFrame, references: DataFrame, text: str = "text", lang: str
     return judge_counts(_counted(_held(docs), text), references, lang, **limits).select("row.*", F.col("verdict").alias("__quality"))
 
 
-def judged(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
-    """``row`` and ``verdict`` of every row, against the references of these documents; the texts are counted once."""
-    counts = stored_counts(docs, text, keep)
+def judged(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
+    """``row`` (of the columns ``keep``) and ``verdict`` of every row, against the references of these documents.
+
+    The texts are counted once; the counts are stored without them.
+    """
+    counts = stored_counts(docs, keep, text)
     return judge_counts(counts, _stored(reference(counts, lang)), lang)
 
 
 def kept(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, against the references of these documents."""
+    """The rows of ``docs`` that the rules keep, against the references of these documents.
+
+    The rows come out with their texts, so the counts are not stored beside them, which would be a second copy of
+    the corpus: the references take a pass of their own, without the windows of words.
+    """
+    verdicts = judge_counts(_counted(_held(docs), text), stored_reference(docs, text, lang), lang)
     # A generator, unlike a filter, stays above the projections; below them every use of a column
     # would be computed anew.
     once = F.when(F.col("verdict.kept"), F.array(F.lit(True)))
-    return judged(docs, text, lang).select("row", F.explode(once).alias("once")).select("row.*")
+    return verdicts.select("row", F.explode(once).alias("once")).select("row.*")
