@@ -23,7 +23,7 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from cindergrid.llm.words import importable, slices
 END_ID = 2
 #: A segment is closed once it has as many ids; a single longer document is a segment of its own.
 SEGMENT_IDS = 1 << 20
-#: Remembered pieces per worker, some 200 bytes each: two generations of half as many. When the younger
+#: Remembered pieces (words) per worker, some 200 bytes each: two generations of half as many. When the younger
 #: is full it becomes the older one, from which a piece is fetched back when it is met again.
 MEMO_PIECES = 1_200_000
 _MAGIC = b"DAC1"
@@ -128,53 +128,80 @@ class Segment:
         return self.ids(int(self.starts[k]), int(self.starts[k + 1]))
 
 
+class _Memo(dict):
+    """Ids of strings, made when first asked for. ``turn`` forgets what a generation has not asked for."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        self[key] = found = self.make(key) if found is None else found
+        return found
+
+    def turn(self, most: int) -> None:
+        if len(self) > most:
+            self.older = dict(self)
+            self.clear()
+
+
 class Encoder:
-    """A tokenizer with a bounded memory of pieces.
+    """A tokenizer with a bounded memory of words.
 
-    The byte-level pre-tokenizer never joins what stands on both sides of a single space into one
-    piece, so a text may be encoded space by space, each space going with what follows it. Where
-    white space stands on both sides of a space, or a special token occurs, the whole text is encoded.
+    A text of ASCII and Latin letters is cut into words as the byte-level pre-tokenizer does, and each word goes to the
+    tokenizer's model once. Other texts are cut at single spaces, each going with what follows it, which the
+    pre-tokenizer never joins with what stands before. Where white space stands on both sides of a space there, or a
+    special token occurs, the whole text is encoded.
     """
 
     _APART = re.compile(r"\s \s")
+    _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+    _PLAIN = re.compile(f"[\\t-\\r -~{_LATIN}]*")
+    _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\\s{_LATIN}0-9]+|\\s+(?!\\S)|\\s+", re.ASCII)
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words = _Memo(self._word)
         from tokenizers.pre_tokenizers import ByteLevel
 
         pre = self.tokenizer.pre_tokenizer
-        self.byte_level = isinstance(pre, ByteLevel) and not pre.add_prefix_space and self.tokenizer.normalizer is None
+        self.byte_level = isinstance(pre, ByteLevel) and not pre.add_prefix_space and pre.use_regex and self.tokenizer.normalizer is None
+        # The letter that stands for each byte in the model's vocabulary.
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {**{b: b for b in shown}, **{b: 256 + k for k, b in enumerate(hidden)}}
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _word(self, word: str) -> bytes:
+        if not self._PLAIN.fullmatch(word):
+            return self._whole([word])[0]
+        shown = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+
+    def _cut(self, text: str) -> list[str]:
+        if self._PLAIN.fullmatch(text):
+            return self._WORDS.findall(text)
+        first, *rest = text.split(" ")
+        return [w for p in (first, *[" " + p for p in rest]) for w in (self._WORDS.findall(p) if self._PLAIN.fullmatch(p) else [p])]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian u32."""
-        distinct = list(dict.fromkeys(texts))
-        whole = [t for t in distinct if not self.byte_level or self._APART.search(t) or any(s in t for s in self.special)]
-        done = dict(zip(whole, self._plain(whole), strict=True))
-        cut = {t: t.split(" ") for t in distinct if t not in done}
-        firsts = self._plain([pieces[0] for pieces in cut.values()])
-        wanted = set().union(*[pieces[1:] for pieces in cut.values()])
-        missing = wanted - self.memo.keys()
-        if len(self.memo) + len(missing) > MEMO_PIECES // 2:
-            self.memo, self.older = {}, self.memo
-            missing = wanted
-        back = missing & self.older.keys()
-        self.memo.update((p, self.older[p]) for p in back)
-        fresh = list(missing - back)
-        for a in range(0, len(fresh), 20_000):
-            part = fresh[a : a + 20_000]
-            self.memo.update(zip(part, self._plain([" " + p for p in part]), strict=True))
-        known = self.memo.__getitem__
-        for (text, pieces), first in zip(cut.items(), firsts, strict=True):
-            done[text] = first + b"".join(map(known, pieces[1:]))
+        done: dict[str, bytes] = {}
+        for text in texts:
+            if text not in done:
+                special = not self.byte_level or any(s in text for s in self.special)
+                if special or not self._PLAIN.fullmatch(text) and self._APART.search(text):
+                    done[text] = self._whole([text])[0]
+                else:
+                    done[text] = b"".join(map(self.words.__getitem__, self._cut(text)))
+                    self.words.turn(MEMO_PIECES // 2)
         return [done[t] for t in texts]
 
 

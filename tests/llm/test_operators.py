@@ -345,6 +345,15 @@ def test_piecewise_encoding_equals_whole_texts(monkeypatch):
         assert encoder.encode(part) == want
 
 
+def test_a_word_is_encoded_once_whatever_stands_around_it():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = token_store.Encoder(open(path, encoding="utf-8").read())
+    texts = [f"x{mark}\n Zérgowi{mark} it's" for mark in ["", ".", ",", "!", ";", " ", "\t", "  ", "...", "12"]]
+    want = [np.array(x.ids, "<u4").tobytes() for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want
+    assert [w for w in encoder.words if "Z" in w] == [" Zérgowi"]
+
+
 def test_ids_read_back(spark, docs, rows):
     path = tempfile.mkdtemp() + "/store"
     token_store.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"), segment_ids=200)
