@@ -12,7 +12,8 @@ document with a smaller id, judged on the input. Texts are UTF-8 bytes; passages
    lies within equal phrases is settled by step 1.
 3. Dictionary order. The suffixes of owned phrases that begin with a shared anchor's passage are sorted by
    the names of their first ``LENGTH`` bytes (two rolling hashes, 96 bits), and each group of equals gets its
-   least owner. Parse and dictionary combine: a document loses the passages of phrases it doesn't
+   least owner. Passages that follow each other are sent as their bytes, which their bucket names again: a passage more
+   is a byte more, not a name. Parse and dictionary combine: a document loses the passages of phrases it doesn't
    own, and those of its own phrases that a smaller owner has.
 
 All three passes read the texts anew and exchange blocks of hashes. What a task knows by itself (a phrase,
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindergrid.llm.blocks import BLOCK, packed, rows_of, unpacked
+from cindergrid.llm.blocks import BLOCK, packed, planes, rows_of, unpacked, unplaned
 from cindergrid.llm.shingles import mixed, powers
 from cindergrid.llm.words import importable, raw_bytes, slices
 from cindergrid.session import work_folder
@@ -130,8 +131,8 @@ def _documents(piece: pa.RecordBatch) -> tuple[list[int], list[bytes], list[int]
     return [ids[i] for i in use], [raws[i] for i in use], use
 
 
-# What a block of hashes is about.
-PHRASES, ANCHORS, PASSAGES = 0, 1, 2
+# What a block of hashes is about; RUNS has bytes in place of the names of passages.
+PHRASES, ANCHORS, PASSAGES, RUNS = 0, 1, 2, 3
 
 
 def _least(kind: int, key: np.ndarray, extra: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,6 +174,45 @@ def _answers(kind: int, key: np.ndarray, doc: np.ndarray, n_buckets: int) -> Ite
         yield (-1 - row[0], *row[1:])
 
 
+def _runs(parsed: Parsed, some: np.ndarray, anchors: np.ndarray, n_buckets: int) -> Iterator[tuple]:
+    """Rows of blocks with the bytes of the passages ``some`` (places, ascending), side by side where they share an anchor."""
+    if not len(some):
+        return
+    new = np.concatenate([[True], np.diff(some) != 1])
+    new[1:] |= (anchors[some[1:]] != anchors[some[:-1]]) | (parsed.part[some[1:]] != parsed.part[some[:-1]])
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.append(first, len(some))) + LENGTH - 1
+    first = some[first]
+    bucket = ((anchors[first] >> np.uint64(20)) % np.uint64(n_buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    first, sizes, bucket, doc = first[order], sizes[order], bucket[order], parsed.doc()[first[order]]
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0, [True]]))
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        n = sizes[a:b]
+        at = np.arange(n.sum()) + np.repeat(parsed.at[first[a:b]] - np.cumsum(n) + n, n)
+        docs, owner = np.unique(doc[a:b], return_inverse=True)
+        yield int(bucket[a]), RUNS, parsed.data[at].tobytes(), planes(n.astype(np.uint32)), planes(owner.astype(np.uint32)), planes(docs)
+
+
+def _asked(block: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per kind: keys, extras and documents of a block's questions; runs are named passage by passage."""
+    if block["kind"][0].as_py() != RUNS:
+        yield from unpacked(block)
+        return
+    found = []
+    for raw, sizes, owner, docs in zip(*[block[n].to_pylist() for n in ("keys", "extras", "owners", "docs")], strict=True):
+        ends = np.cumsum(unplaned(sizes, np.uint32).astype(np.int64))
+        doc = unplaned(docs, np.int64)[unplaned(owner, np.uint32)]
+        edges = [0, *(np.flatnonzero(np.diff(ends // PIECE)) + 1).tolist(), len(ends)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if b > a:
+                begins = [ends[a - 1] if a else 0, *ends[a : b - 1]]
+                parsed = Parsed(doc[a:b].tolist(), [raw[x:y] for x, y in zip(begins, ends[a:b], strict=True)])
+                key, extra = parsed.names(np.arange(len(parsed.at)))
+                found.append((key, extra, parsed.doc()))
+    yield PASSAGES, *[np.concatenate(x) for x in zip(*found, strict=True)]
+
+
 def _exchange(questions: DataFrame, n_buckets: int) -> DataFrame:
     """``doc_id``, ``kind`` and ``keys`` (sorted u64) of all answers, one row per document and kind."""
 
@@ -181,7 +221,7 @@ def _exchange(questions: DataFrame, n_buckets: int) -> DataFrame:
         if bucket < 0:  # answered already: pass on
             return block
         out = []
-        for kind, key, extra, doc in unpacked(block):
+        for kind, key, extra, doc in _asked(block):
             answered, _ = _least(kind, key, extra, doc)
             out += list(_answers(kind, key[answered], doc[answered], n_buckets))
         return rows_of(out)
@@ -261,7 +301,10 @@ def _second_pass(docs: DataFrame, n_buckets: int) -> DataFrame:
                 some = np.flatnonzero(ask)
                 if len(some):
                     key, extra = parsed.names(some)
-                    yield from rows_of(list(_questions(PASSAGES, key, extra, doc[some], n_buckets))).to_batches()
+                    answered, sent = _least(PASSAGES, key, extra, doc[some])
+                    out = list(_answers(PASSAGES, key[answered], doc[some[answered]], n_buckets))
+                    out += list(_runs(parsed, np.sort(some[sent]), anchors, n_buckets))
+                    yield from rows_of(out).to_batches()
 
     return docs.mapInArrow(run, BLOCK)
 

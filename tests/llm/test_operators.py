@@ -345,6 +345,24 @@ def test_piecewise_encoding_equals_whole_texts(monkeypatch):
         assert encoder.encode(part) == want
 
 
+def test_passages_travel_as_bytes_and_are_named_alike():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(n)).encode() for n in (3000, 49, 50, 700)]
+    parsed = suffix_dedup.Parsed([5, 6, 7, 8], texts)
+    some = np.array([k for k in range(len(parsed.at)) if k % 97])
+    anchors = parsed.anchors()
+    rows = list(suffix_dedup._runs(parsed, some, anchors, 3))
+    assert sum(len(x) for r in rows for x in r[2:]) < 10 * len(some)
+    want = sorted(zip(*[x.tolist() for x in (*parsed.names(some), parsed.doc()[some])], strict=True))
+    got = []
+    for bucket in {r[0] for r in rows}:
+        block = suffix_dedup.rows_of([r for r in rows if r[0] == bucket])
+        for kind, key, extra, doc in suffix_dedup._asked(block):
+            assert kind == suffix_dedup.PASSAGES
+            got += zip(key.tolist(), extra.tolist(), doc.tolist(), strict=True)
+    assert sorted(got) == want
+
+
 def test_a_word_is_encoded_once_whatever_stands_around_it():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder = token_store.Encoder(open(path, encoding="utf-8").read())
