@@ -54,6 +54,24 @@ DECLARED = {
 }
 
 
+def _counted_with(table: DataFrame, present: Sequence[str], single: str) -> DataFrame:
+    """not_null of ``present`` and unique of ``single`` in one pass: (check_name, column_name, failures)."""
+    groups = table.groupBy(F.col(single).cast("string").alias("value")).agg(
+        F.count("*").alias("occurrences"), *[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(present)]
+    )
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0))
+    once = groups.agg(
+        total(F.when(F.col("value").isNotNull(), F.col("occurrences") - 1)).alias("extra"),
+        *[total(f"c{i}").alias(f"c{i}") for i in range(len(present))],
+    )
+    row = lambda check, column, value: F.struct(
+        F.lit(check).alias("check_name"), F.lit(column).alias("column_name"), F.col(value).alias("failures")
+    )
+    return once.select(F.inline(F.array(
+        *[row("not_null", c, f"c{i}") for i, c in enumerate(present)], row("unique", single, "extra")
+    )))
+
+
 def suite(
     tables: Mapping[str, DataFrame],
     declared: Mapping[str, tuple[Sequence[str], Sequence[str]]] = DECLARED,
@@ -61,27 +79,30 @@ def suite(
 ) -> DataFrame:
     """Every declared check: (table_name, check_name, column_name, failures).
 
-    All not_null checks of a model share one pass. ``unique`` counts the rows beyond the first of
-    each value. With ``failures`` the repeated values are stored below that folder, per model.
+    All not_null checks of a model share one pass, with its first ``unique``, which counts the rows beyond the
+    first of each value. With ``failures`` the repeated values are stored below that folder, per model, in
+    passes of their own.
     """
     found = []
     for name, (present, single) in declared.items():
         if name not in tables:
             continue
-        counted = not_null(tables[name], present)
-        found.append(counted.select(
-            F.lit(name).alias("table_name"), F.lit("not_null").alias("check_name"), "column_name",
-            F.col("null_count").alias("failures"),
-        ))
-        for column in single:
+        label, alone = F.lit(name).alias("table_name"), list(single)
+        if single and not failures:
+            found.append(_counted_with(tables[name], present, alone.pop(0)).select(label, "*"))
+        else:
+            counted = not_null(tables[name], present)
+            found.append(counted.select(
+                label, F.lit("not_null").alias("check_name"), "column_name", F.col("null_count").alias("failures")
+            ))
+        for column in alone:
             repeated = unique(tables[name], column)
             if failures:
                 repeated.write.mode("overwrite").parquet(f"{failures}/{name}/unique_{column}")
                 repeated = tables[name].sparkSession.read.parquet(f"{failures}/{name}/unique_{column}")
             extra = F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias("failures")
             found.append(repeated.agg(extra).select(
-                F.lit(name).alias("table_name"), F.lit("unique").alias("check_name"),
-                F.lit(column).alias("column_name"), "failures",
+                label, F.lit("unique").alias("check_name"), F.lit(column).alias("column_name"), "failures"
             ))
     return reduce(DataFrame.unionByName, found)
 

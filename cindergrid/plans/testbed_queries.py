@@ -653,22 +653,35 @@ def dq_unique(spark, sf):
 
 @query
 def dq_suite(spark, sf):
-    """The declared checks of all raw, staging and mart tables."""
+    """The declared checks of all raw, staging and mart tables.
+
+    Monthly reports, staged estimates and the grid fact are computed once and stored, as many models derive from them.
+    """
+
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        path = work_folder(spark, f"dq_suite-{name}")
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    native = stored(testbed.native_raw(spark, sf), "native")
     raw = {
-        "gcp": testbed.raw_gcp(spark, sf), "aws": testbed.raw_aws(spark, sf), "azure": testbed.raw_azure(spark, sf),
+        **testbed.native_feeds(native),
         "ccf": testbed.raw_ccf(spark, sf), "grid": testbed.grid_raw(spark, sf), "moer": testbed.moer_raw(spark, sf),
     }
-    stage = {
-        "gcp": staging.stage_gcp, "aws": staging.stage_aws, "azure": staging.stage_azure,
-        "ccf": staging.stage_ccf, "grid": staging.stage_grid, "moer": staging.stage_moer,
+    stage = {"gcp": staging.stage_gcp, "aws": staging.stage_aws, "azure": staging.stage_azure, "grid": staging.stage_grid, "moer": staging.stage_moer}
+    staged = {
+        **{feed: stage[feed](raw[feed]) for feed in stage},
+        "ccf": stored(staging.stage_ccf(raw["ccf"]), "stg_ccf"),
     }
+    fact = emissions.fact_cloud_carbon([staging.stage_native(native, F.col("cloud_provider"))], staged["ccf"])
+    readings = stored(grid_fact(spark, sf), "fact_grid_intensity")
     return quality.suite({
         **{f"raw_{feed}": rows for feed, rows in raw.items()},
-        **{f"stg_{feed}": stage[feed](rows) for feed, rows in raw.items()},
-        "fact_cloud_carbon": cloud_fact(spark, sf),
-        "carbon_trends_monthly": trends(spark, sf),
-        "fact_grid_intensity": grid_fact(spark, sf),
-        "grid_intensity_daily": daily(spark, sf),
+        **{f"stg_{feed}": rows for feed, rows in staged.items()},
+        "fact_cloud_carbon": fact,
+        "carbon_trends_monthly": emissions.carbon_trends(fact, ordered=False),
+        "fact_grid_intensity": readings,
+        "grid_intensity_daily": grid.grid_intensity_daily(readings),
         "dim_grid_regions": testbed.region_dim(spark, sf),
     })
 

@@ -125,18 +125,32 @@ def native_raw(spark: SparkSession, sf_dir: str, provider: str | None = None) ->
     return native_monthly(lines)
 
 
-def raw_gcp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return native_raw(spark, sf_dir, "GCP").withColumnsRenamed(
+def _gcp(native: DataFrame) -> DataFrame:
+    return native.withColumnsRenamed(
         {"account_id": "project_id", "service_name": "service_description", "region": "location_region"}
     )
 
 
+def _azure(native: DataFrame) -> DataFrame:
+    return native.withColumnRenamed("account_id", "subscription_id")
+
+
+def raw_gcp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gcp(native_raw(spark, sf_dir, "GCP"))
+
+
 def raw_aws(spark: SparkSession, sf_dir: str) -> DataFrame:
     return native_raw(spark, sf_dir, "AWS")
 
 
 def raw_azure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return native_raw(spark, sf_dir, "Azure").withColumnRenamed("account_id", "subscription_id")
+    return _azure(native_raw(spark, sf_dir, "Azure"))
+
+
+def native_feeds(native: DataFrame) -> dict[str, DataFrame]:
+    """The raw tables of the three providers, from the reports of all."""
+    of = lambda provider: native.where(F.col("cloud_provider") == provider)
+    return {"gcp": _gcp(of("GCP")), "aws": of("AWS"), "azure": _azure(of("Azure"))}
 
 
 def ccf_daily(lines: DataFrame) -> DataFrame:

@@ -69,3 +69,13 @@ def test_contract_gate(spark):
     assert quality.require_contract({"t": one, "u": one.limit(0)}, {"t": ["a"], "u": ["a"]}) == ["u: no rows"]
     with pytest.raises(ValueError, match="t: missing columns b; |u: table is missing"):
         quality.require_contract({"t": one}, {"t": ["a", "b"], "u": ["a"]})
+
+
+def test_suite_counts_nulls_and_repeats_in_one_pass(spark):
+    table = spark.createDataFrame([(1, None), (1, "x"), (None, "y"), (None, None), (2, "z")], "id long, at string")
+    once = quality.suite({"t": table}, {"t": (["id", "at"], ["id"])})
+    want = [("t", "not_null", "at", 2), ("t", "not_null", "id", 2), ("t", "unique", "id", 1)]
+    assert sorted(map(tuple, once.collect())) == want
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    empty = quality.suite({"t": table.limit(0)}, {"t": (["id"], ["id"])})
+    assert sorted(map(tuple, empty.collect())) == [("t", "not_null", "id", 0), ("t", "unique", "id", 0)]
