@@ -166,16 +166,28 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "keys", "owners", "names"])
 
 
-def _stars(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of (key, set) pairs, sets by rank: the first of each key (places), and for all others their set and that first one."""
+def _slots(keys: np.ndarray) -> np.ndarray:
+    """(keys, 2): one of 128 bits for each key, so that pairs which share a key share a bit."""
+    bit = np.uint64(1) << (keys & np.uint64(63))
+    upper = keys >> np.uint64(6) & np.uint64(1) != 0
+    return np.stack([np.where(upper, np.uint64(0), bit), np.where(upper, bit, np.uint64(0))], 1)
+
+
+def _stars(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of (key, set) pairs, sets by rank: the first of each key (places), and for all others their set and that first one.
+
+    Each such pair once, with the number of its keys and their slots.
+    """
     order = np.lexsort((owner, key))
     key, owner = key[order], owner[order]
     fresh = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
     first = np.flatnonzero(fresh)
     hub = owner[first][np.cumsum(fresh) - 1]
     ray = owner != hub
-    pairs = np.stack([owner[ray], hub[ray]], 1)
-    return order[first], *np.unique(pairs, axis=0, return_counts=True)
+    pairs, at, counts = np.unique(np.stack([owner[ray], hub[ray]], 1), axis=0, return_inverse=True, return_counts=True)
+    slots = np.zeros((len(pairs), 2), np.uint64)
+    np.bitwise_or.at(slots, at.ravel(), _slots(key[ray]))
+    return order[first], pairs, counts, slots
 
 
 def _met(docs: DataFrame, n_buckets: int) -> DataFrame:
@@ -191,7 +203,7 @@ def _met(docs: DataFrame, n_buckets: int) -> DataFrame:
         keys, owner = keys[order], owner[order]
         runs = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
         many = np.repeat(np.diff(runs) > SENT, np.diff(runs))
-        first, pairs, counts = _stars(keys[many], owner[many])
+        first, pairs, counts, slots = _stars(keys[many], owner[many])
         key, owner = (np.concatenate([x[~many], x[many][first]]) for x in (keys, owner))
         bucket = ((key >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
         rows = []
@@ -205,7 +217,8 @@ def _met(docs: DataFrame, n_buckets: int) -> DataFrame:
         for b in np.unique(to).tolist():
             mine = to == b
             table, place = np.unique(pairs[mine], return_inverse=True)
-            rows.append((b, planes(counts[mine].astype(np.uint32)), planes(place.ravel().astype(np.uint32)), names[by_rank[table]].tobytes()))
+            about = np.concatenate([counts[mine, None].astype(np.uint64), slots[mine]], 1)
+            rows.append((b, planes(about.ravel()), planes(place.ravel().astype(np.uint32)), names[by_rank[table]].tobytes()))
         return _packed(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,18 +248,22 @@ def _met(docs: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def _ties(met: DataFrame) -> DataFrame:
-    """(a, b, bands, near): stars over the sets of each key, by name; ``near`` tells a tie that some piece made."""
+    """(a, b, bands, near, low, high): stars over the sets of each key, by name; ``near`` tells a tie that some piece made.
+
+    ``low`` and ``high`` are the slots of the keys that tie them.
+    """
 
     def tie(rows: pa.Table) -> pa.Table:
-        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.bool_()]
-        ties: dict[tuple[bytes, bytes], int] = {}
+        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+        ties: dict[tuple[bytes, bytes], tuple[int, int, int]] = {}
         tables = [np.frombuffer(r, "V16") for r in rows["names"].to_pylist()]
         owners = [unplaned(r, np.uint32) for r in rows["owners"].to_pylist()]
         if rows["bucket"][0].as_py() < 0:
             for table, owner, n in zip(tables, owners, rows["keys"].to_pylist(), strict=True):
-                for (x, y), k in zip(owner.reshape(-1, 2).tolist(), unplaned(n, np.uint32).tolist(), strict=True):
+                for (x, y), (k, low, high) in zip(owner.reshape(-1, 2).tolist(), unplaned(n, np.int64).reshape(-1, 3).tolist(), strict=True):
                     pair = table[x].tobytes(), table[y].tobytes()
-                    ties[pair] = ties.get(pair, 0) + k
+                    had = ties.get(pair, (0, 0, 0))
+                    ties[pair] = had[0] + k, had[1] | low, had[2] | high
         else:
             raw = np.concatenate(tables)
             words = raw.view(">u8").reshape(-1, 2)
@@ -258,14 +275,16 @@ def _ties(met: DataFrame) -> DataFrame:
             before = np.cumsum([0, *map(len, tables)])
             owner = rank[np.concatenate([o + b for o, b in zip(owners, before, strict=False)])]
             key = np.concatenate([unplaned(k, np.uint64) for k in rows["keys"].to_pylist()])
-            _, pairs, counts = _stars(key, owner)
-            for (x, y), k in zip(pairs.tolist(), counts.tolist(), strict=True):
-                ties[shown[x].tobytes(), shown[y].tobytes()] = k
-        columns = [[a for a, _ in ties], [b for _, b in ties], list(ties.values()), [rows["bucket"][0].as_py() < 0] * len(ties)]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "bands", "near"])
+            _, pairs, counts, slots = _stars(key, owner)
+            for (x, y), k, (low, high) in zip(pairs.tolist(), counts.tolist(), slots.view(np.int64).tolist(), strict=True):
+                ties[shown[x].tobytes(), shown[y].tobytes()] = k, low, high
+        about = list(zip(*ties.values(), strict=True)) or [[]] * 3
+        columns = [[a for a, _ in ties], [b for _, b in ties], about[0], [rows["bucket"][0].as_py() < 0] * len(ties), *about[1:]]
+        return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "bands", "near", "low", "high"])
 
-    each = met.groupBy("bucket").applyInArrow(tie, "a binary, b binary, bands long, near boolean")
-    return each.groupBy("a", "b").agg(F.sum("bands").alias("bands"), F.max("near").alias("near"))
+    each = met.groupBy("bucket").applyInArrow(tie, "a binary, b binary, bands long, near boolean, low long, high long")
+    totals = [F.sum("bands").alias("bands"), F.max("near").alias("near"), F.bit_or("low").alias("low"), F.bit_or("high").alias("high")]
+    return each.groupBy("a", "b").agg(*totals)
 
 
 SKETCH = "name binary, n long, times array<int>, registers array<binary>, hashes binary"
@@ -355,19 +374,22 @@ def _meetings(ties: DataFrame, found: DataFrame) -> DataFrame:
     """(home, i, j, name, component, asks, roles): the sets, gathered where each pair that shares a key meets.
 
     Two sets of a key are tied to its first set, directly or over the first one of a piece of text. So a set's homes
-    are the components of what it is tied to, and those of a first one that it is tied to in a piece: few,
-    however many keys it has.
+    are the components of what it is tied to, and those of what a first one that it is tied to in a piece is tied to by
+    the same key: at most two for each of its keys, however many sets share them, but for chance hits of slots.
     Homes of one component are closed. In the others all sets but those of the largest component ask; each asks
     all others of the home, in parts of at most about ``HOME_SETS`` that ask and as many that answer.
     """
     of = found.select(F.col("node").alias("name"), "component")
     ends = ties.select(F.col("a").alias("name")).unionByName(ties.select(F.col("b").alias("name"))).distinct()
     own = ends.join(of, "name", "left").withColumn("component", F.coalesce("component", "name"))
-    tied = ties.select(F.col("a").alias("name"), F.col("b").alias("to"), "near")
-    homes = own.select("name", F.col("component").alias("home"))
-    for some in (tied, tied.where("near")):
-        over = some.join(homes.select(F.col("name").alias("to"), "home"), "to").select("name", "home")
-        homes = homes.unionByName(over).distinct()
+    # Every tie once, with the component of the set it leads to.
+    tied = ties.join(own.select(F.col("name").alias("b"), F.col("component").alias("home")), "b")
+    first = own.select("name", F.col("component").alias("home")).unionByName(tied.select(F.col("a").alias("name"), "home")).distinct()
+    # From a first one of a piece on to what it is tied to by the same keys.
+    onward = tied.groupBy(F.col("a").alias("to"), "home").agg(F.bit_or("low").alias("to_low"), F.bit_or("high").alias("to_high"))
+    near = ties.where("near").select(F.col("a").alias("name"), F.col("b").alias("to"), "low", "high")
+    over = near.join(onward, (near["to"] == onward["to"]) & ((F.col("low").bitwiseAND(F.col("to_low")) != 0) | (F.col("high").bitwiseAND(F.col("to_high")) != 0)))
+    homes = first.unionByName(over.select("name", "home")).distinct()
     placed = homes.join(own, "name")
     counted = placed.groupBy("home", "component").agg(F.count(F.lit(1)).alias("n"))
     shape = counted.groupBy("home").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("most"))

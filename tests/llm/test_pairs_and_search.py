@@ -237,3 +237,18 @@ def test_bitmap_holds_its_keys(spark):
     assert len(bitmap) == 1 << 11 and bitmaps.holds(bitmap, keys, 14).all()
     others = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 5000)
     assert bitmaps.holds(bitmap, others, 14).mean() < 0.4
+
+
+def test_a_set_goes_on_from_a_first_one_by_its_own_keys_only(spark):
+    from cindergrid.llm import hyperminhash
+
+    keys = np.array([3, 3 + 64, 3 + 128], np.uint64)
+    assert hyperminhash._slots(keys).tolist() == [[8, 0], [0, 8], [8, 0]]
+    rows = [("s", "x", True, 1), ("x", "h1", False, 1), ("x", "h2", False, 2), ("x", "h3", False, 4), ("t", "h1", False, 8)]
+    rows = [(a.encode(), b.encode(), 1, near, low, 0) for a, b, near, low in rows]
+    ties = spark.createDataFrame(rows, "a binary, b binary, bands long, near boolean, low long, high long")
+    found = spark.createDataFrame([], "node binary, component binary")
+    places: dict = {}
+    for r in hyperminhash._meetings(ties, found).collect():
+        places.setdefault(bytes(r["home"]), set()).add(bytes(r["name"]))
+    assert places == {b"h1": {b"s", b"x", b"t", b"h1"}}
