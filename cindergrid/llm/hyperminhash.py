@@ -9,9 +9,9 @@
    of keys; a key of many sets in one piece of text is tied there already and sends one of them on.
 4. A tie is dropped if the sizes exclude it or its estimate, corrected for chance collisions of registers, lies
    ``SIGMAS`` standard deviations below the threshold; the rest is verified on the full sets.
-   Each set first tries its strongest tie; then ties between sets that are not connected yet.
-5. A key whose stars hold a tie that failed may still hold a link between two of its other sets. Sets are therefore
-   gathered at the components that they are tied to, and where these are several, those outside the largest
+   Each set first tries its strongest tie; then each two components that ties lead across try the strongest of these.
+5. A key whose stars hold a tie that failed or was not tried may still hold a link between two of its sets. Sets are
+   therefore gathered at the components that they are tied to, and where these are several, those outside the largest
    one are held against all others there, in tasks of bounded size.
 6. Components over verified links; each document gets the least doc_id of its component.
 
@@ -362,15 +362,32 @@ def _similar(pairs: DataFrame, sets: DataFrame, stored) -> DataFrame:
     return stored(full.unionByName(far), "verified")
 
 
-def _crossing(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose sets are not connected yet."""
-    for x in "ab":
-        own = found.select(F.col("node").alias(x), F.col("component").alias(f"in_{x}"))
-        pairs = pairs.join(own, x, "left")
-    return pairs.where(~F.coalesce("in_a", "a").eqNullSafe(F.coalesce("in_b", "b"))).drop("in_a", "in_b")
+def _ends(ties: DataFrame) -> DataFrame:
+    """(name): the sets that have a tie."""
+    return ties.select(F.col("a").alias("name")).unionByName(ties.select(F.col("b").alias("name"))).distinct()
+
+
+def _leads(ties: DataFrame, found: DataFrame, tried: DataFrame) -> DataFrame:
+    """(a, home, low, high, bands, b): all ties of a set that lead to one component as one row, with their slots.
+
+    ``bands`` and ``b`` are those of the strongest one that was not tried, NULL if all were.
+    """
+    of = found.select(F.col("node").alias("b"), F.col("component").alias("home"))
+    rows = ties.join(tried.select("a", "b", F.lit(True).alias("tested")), ["a", "b"], "left").join(of, "b", "left")
+    rows = rows.withColumns({"home": F.coalesce("home", "b"), "best": F.when(F.col("tested").isNull(), F.struct("bands", "b"))})
+    led = rows.groupBy("a", "home").agg(F.bit_or("low").alias("low"), F.bit_or("high").alias("high"), F.max("best").alias("best"))
+    return led.select("a", "home", "low", "high", "best.bands", "best.b")
+
+
+def _crossing(leads: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b): of each two components that ties lead across, the strongest tie that was not tried."""
+    own = found.select(F.col("node").alias("a"), F.col("component").alias("own"))
+    pairs = leads.where("b IS NOT NULL").join(own, "a", "left").withColumn("own", F.coalesce("own", "a")).where("own <> home")
+    best = pairs.groupBy(F.least("own", "home"), F.greatest("own", "home")).agg(F.max(F.struct("bands", "a", "b")).alias("best"))
+    return best.select("best.a", "best.b")
 
 
-def _meetings(ties: DataFrame, found: DataFrame) -> DataFrame:
+def _meetings(ties: DataFrame, found: DataFrame, leads: DataFrame | None = None, stored=lambda rows, name: rows) -> DataFrame:
     """(home, i, j, name, component, asks, roles): the sets, gathered where each pair that shares a key meets.
 
     Two sets of a key are tied to its first set, directly or over the first one of a piece of text. So a set's homes
@@ -378,21 +395,24 @@ def _meetings(ties: DataFrame, found: DataFrame) -> DataFrame:
     the same key: at most two for each of its keys, however many sets share them, but for chance hits of slots.
     Homes of one component are closed. In the others all sets but those of the largest component ask; each asks
     all others of the home, in parts of at most about ``HOME_SETS`` that ask and as many that answer.
+    ``leads`` may be those of earlier components, which only have grown together since.
     """
     of = found.select(F.col("node").alias("name"), "component")
-    ends = ties.select(F.col("a").alias("name")).unionByName(ties.select(F.col("b").alias("name"))).distinct()
-    own = ends.join(of, "name", "left").withColumn("component", F.coalesce("component", "name"))
-    # Every tie once, with the component of the set it leads to.
-    tied = ties.join(own.select(F.col("name").alias("b"), F.col("component").alias("home")), "b")
+    own = _ends(ties).join(of, "name", "left").withColumn("component", F.coalesce("component", "name"))
+    if leads is None:
+        leads = _leads(ties, found, ties.select("a", "b").limit(0))
+    now = of.select(F.col("name").alias("home"), F.col("component").alias("grown"))
+    tied = leads.select("a", "home", "low", "high").join(now, "home", "left").withColumn("home", F.coalesce("grown", "home"))
     first = own.select("name", F.col("component").alias("home")).unionByName(tied.select(F.col("a").alias("name"), "home")).distinct()
     # From a first one of a piece on to what it is tied to by the same keys.
     onward = tied.groupBy(F.col("a").alias("to"), "home").agg(F.bit_or("low").alias("to_low"), F.bit_or("high").alias("to_high"))
     near = ties.where("near").select(F.col("a").alias("name"), F.col("b").alias("to"), "low", "high")
     over = near.join(onward, (near["to"] == onward["to"]) & ((F.col("low").bitwiseAND(F.col("to_low")) != 0) | (F.col("high").bitwiseAND(F.col("to_high")) != 0)))
     homes = first.unionByName(over.select("name", "home")).distinct()
-    placed = homes.join(own, "name")
+    placed = stored(homes.join(own, "name"), "homes")
     counted = placed.groupBy("home", "component").agg(F.count(F.lit(1)).alias("n"))
     shape = counted.groupBy("home").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    # Two sets alone in a home of two components have the only tie between these, and that one was tried.
     shape = shape.where("all > most AND all > 2").select(
         "home", "largest", F.ceil((F.col("all") - F.col("most")) / HOME_SETS).alias("askers"), F.ceil(F.col("all") / HOME_SETS).alias("blocks")
     )
@@ -454,20 +474,19 @@ def links(docs: DataFrame, n_sets: int) -> DataFrame:
     stored = scratch.store
     n_buckets = max(1, -(-n_sets * BANDS // BUCKET_KEYS))
     ties = stored(_ties(_met(docs, n_buckets)), "ties")
-    ends = ties.select(F.explode(F.array("a", "b")).alias("name")).distinct()
     first = F.conv(F.hex(F.substring("name", 1, 8)), 16, -10).cast("long")
-    bitmap = spark.sparkContext.broadcast(marked(ends.select(first.alias("key"))))
+    bitmap = spark.sparkContext.broadcast(marked(_ends(ties).select(first.alias("key"))))
     raw = stored(_tied_sets(docs, bitmap), "sets")
     once = ["n", "times", "registers", "hashes"]
     sets = raw.groupBy("name").agg(*[F.first(c).alias(c) for c in once])
     strongest = ties.groupBy("a").agg(F.max_by("b", F.struct("bands", "b")).alias("b"))
     tried = _similar(strongest, sets, stored)
     found = components(tried.where("linked"), "hyperminhash-components")
-    open_ = _crossing(ties.select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti"), found)
-    tried = tried.unionByName(_similar(open_, sets, stored))
+    leads = stored(_leads(ties, found, tried), "leads")
+    tried = tried.unionByName(_similar(_crossing(leads, found), sets, stored))
     found = components(tried.where("linked"), "hyperminhash-components")
-    # Step 5: links between sets of a key whose ties to its first set have failed.
-    meetings = stored(_meetings(ties, found), "meetings")
+    # Step 5: links between sets of a key whose ties to its first set have failed or were not tried.
+    meetings = stored(_meetings(ties, found, leads, stored), "meetings")
     if not meetings.isEmpty():
         more = stored(_met_links(meetings, sets), "met-links")
         found = components(tried.where("linked").select("a", "b").unionByName(more), "hyperminhash-components")

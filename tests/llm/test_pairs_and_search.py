@@ -252,3 +252,34 @@ def test_a_set_goes_on_from_a_first_one_by_its_own_keys_only(spark):
     for r in hyperminhash._meetings(ties, found).collect():
         places.setdefault(bytes(r["home"]), set()).add(bytes(r["name"]))
     assert places == {b"h1": {b"s", b"x", b"t", b"h1"}}
+
+
+def test_two_components_try_one_of_the_ties_between_them(spark, monkeypatch):
+    """Two groups of near copies that share keys but no link: few pairs are asked for, however many ties lead across."""
+    rng = random.Random(5)
+    base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))
+    texts = [edited(rng, t, 0.01) for t in (base, edited(rng, base, 0.12)) for _ in range(150)]
+    rows = list(enumerate(texts))
+    asked, similar = [], hyperminhash._similar
+
+    def counted(pairs, sets, stored):
+        asked.append(pairs.count())
+        return similar(pairs, sets, stored)
+
+    monkeypatch.setattr(hyperminhash, "_similar", counted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in hyperminhash.near_duplicates(spark.createDataFrame(rows, TEXT)).collect()}
+    assert got == brute.components(rows, 2) and len({c for _, c in got.values()}) == 2
+    assert asked[0] < 300 and asked[1] <= 3
+
+
+def test_ties_by_an_earlier_component_lead_to_what_it_has_grown_into(spark):
+    rows = [("s", "h1", True, 3), ("s", "h2", False, 1), ("t", "h2", False, 4), ("u", "h3", False, 2), ("h1", "h0", False, 1), ("h3", "h0", False, 9)]
+    rows = [(a.encode(), b.encode(), n, near, n, 0) for a, b, near, n in rows]
+    ties = spark.createDataFrame(rows, "a binary, b binary, bands long, near boolean, low long, high long")
+    kind = "node binary, component binary"
+    earlier = spark.createDataFrame([(b"h1", b"h0"), (b"h0", b"h0")], kind)
+    grown = spark.createDataFrame([(b"h1", b"h0"), (b"h2", b"h0"), (b"h0", b"h0")], kind)
+    tried = ties.where("a = 'h1'").select("a", "b")
+    leads = hyperminhash._leads(ties, earlier, tried)
+    assert result(hyperminhash._crossing(leads, earlier)) == sorted((a.encode(), b.encode()) for a, b in [("s", "h1"), ("s", "h2"), ("t", "h2"), ("u", "h3"), ("h3", "h0")])
+    assert result(hyperminhash._meetings(ties, grown, leads)) == result(hyperminhash._meetings(ties, grown))
