@@ -412,7 +412,7 @@ def _meetings(ties: DataFrame, found: DataFrame, leads: DataFrame | None = None,
     placed = stored(homes.join(own, "name"), "homes")
     counted = placed.groupBy("home", "component").agg(F.count(F.lit(1)).alias("n"))
     shape = counted.groupBy("home").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("most"))
-    # Two sets alone in a home of two components have the only tie between these, and that one was tried.
+    # Two sets alone in a home of two components have a tie that was tried, or meet in another home as well.
     shape = shape.where("all > most AND all > 2").select(
         "home", "largest", F.ceil((F.col("all") - F.col("most")) / HOME_SETS).alias("askers"), F.ceil(F.col("all") / HOME_SETS).alias("blocks")
     )
